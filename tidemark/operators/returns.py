@@ -47,15 +47,14 @@ def within_lookback(returns: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> D
     return returns.filter(F.col("price_date") >= F.date_sub(newest, lookback_days))
 
 
-def _window_start(prices: DataFrame, lookback_days: int, newest: Column) -> Column:
-    """A day no later than the first day of the lookback window, found from recent prices only.
+def _window_start(prices: DataFrame, lookback_days: int) -> Column:
+    """A day no later than the first day of the lookback window, from one hash aggregate.
 
-    An instrument with two recent price dates and no missing or zero close among its
-    recent prices certainly has a return on its last date, so the newest return is at least
-    that recent. Where no instrument qualifies, the whole history is kept.
+    An instrument with two price dates and no missing or zero close certainly has a return
+    on its last date, so the newest return is at least that recent. Where no instrument
+    qualifies, the whole history is kept.
     """
-    recent = prices.filter(F.col("price_date") >= F.date_sub(newest, lookback_days))
-    per_instrument = recent.groupBy("instrument_id").agg(
+    per_instrument = prices.groupBy("instrument_id").agg(
         F.min("price_date").alias("first"),
         F.max("price_date").alias("last"),
         F.count_if(F.col("close_price").isNull() | (F.col("close_price") == 0)).alias("unusable"),
@@ -75,31 +74,18 @@ def lookback_returns(
     the price before it. So every price older than the window is folded into one carry row
     per instrument, its latest: the fold is a hash aggregate whose map side already drops
     all but one old row per instrument and task, and only window-sized groups reach the
-    shuffle and the sort.
-
-    ``as_of`` caps the prices used; a daily job that knows its date saves the scan for the
-    newest one.
+    shuffle and the sort. ``as_of`` caps the prices used.
     """
-    prices = prices.select("instrument_id", "price_date", "close_price")
-    if as_of is None:
-        prices = prices.filter(F.col("price_date").isNotNull())
-        newest = prices.filter(F.col("close_price").isNotNull()).agg(F.max("price_date")).scalar()
-    else:
-        newest = F.lit(as_of)
-        prices = prices.filter(F.col("price_date") <= newest)
-
-    carry_day = F.date_sub(_window_start(prices, lookback_days, newest), 1)
-    slotted = prices.withColumns(
-        {"carry_day": carry_day, "slot": F.greatest(F.col("price_date"), carry_day)}
-    )
-    folded = slotted.groupBy("instrument_id", "slot", "carry_day").agg(
-        F.max_by("close_price", "price_date").alias("close_price")
+    prices = prices.select("instrument_id", "price_date", "close_price").filter(
+        F.col("price_date").isNotNull() if as_of is None else F.col("price_date") <= F.lit(as_of)
     )
-    returns = (
-        _with_return(folded.withColumnRenamed("slot", "price_date"))
-        .filter(F.col("price_date") > F.col("carry_day"))
-        .drop("carry_day")
+    folded = (
+        prices.withColumn("carry_day", F.date_sub(_window_start(prices, lookback_days), 1))
+        .withColumn("slot", F.greatest("price_date", "carry_day"))
+        .groupBy("instrument_id", "slot", "carry_day")
+        .agg(F.max_by("close_price", "price_date").alias("close_price"))
     )
-    return within_lookback(returns, lookback_days).select(
-        "instrument_id", "price_date", "close_price", "prev_close", "daily_return"
+    returns = _with_return(folded.withColumnRenamed("slot", "price_date")).filter(
+        F.col("price_date") > F.col("carry_day")
     )
+    return within_lookback(returns.drop("carry_day"), lookback_days)

@@ -7,8 +7,13 @@ wrong on purpose, so that cleaning has work to do.
 
 from __future__ import annotations
 
+from datetime import date
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.sources.tables import fetch_row
+
 
 class Tables:
     """Lazy access to the parquet tables of one folder and to the frames derived from them."""
@@ -20,14 +25,13 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def last_day(self) -> Column:
-        """Newest trade or price date, from two one-column scans."""
+    @cached_property
+    def last_day(self) -> date:
+        """The job's date: the newest trade or price date, which a scheduler would hand over."""
         shipped = self.read("lineitem").agg(F.max("l_shipdate")).scalar()
         ordered = self.read("orders").agg(F.max("o_orderdate")).scalar()
-        return F.to_date(F.greatest(shipped, ordered))
-
-    def last_price_day(self) -> Column:
-        return F.to_date(self.read("lineitem").agg(F.max("l_shipdate")).scalar())
+        newest = self.spark.range(1).select(F.to_date(F.greatest(shipped, ordered)).alias("day"))
+        return fetch_row(newest)["day"]
 
     def raw_trades(self) -> DataFrame:
         """One trade per line, in the layout of ``schemas.RAW_TRADES``."""

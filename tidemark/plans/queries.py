@@ -52,20 +52,20 @@ def _silver_prices(t: Tables) -> DataFrame:
 
 
 def _current_positions(t: Tables) -> DataFrame:
-    return positions.snapshot_at(_silver_trades(t), _silver_prices(t), t.last_day())
+    return positions.snapshot_at(_silver_trades(t), _silver_prices(t), t.last_day)
 
 
 def _snapshots(t: Tables, frequency: str = "month") -> DataFrame:
-    return positions.position_snapshots(_silver_trades(t), _silver_prices(t), t.last_day(), frequency)
+    return positions.position_snapshots(_silver_trades(t), _silver_prices(t), t.last_day, frequency)
 
 
 def _recent_returns(t: Tables) -> DataFrame:
-    return returns.lookback_returns(t.daily_prices(), as_of=t.last_price_day())
+    return returns.lookback_returns(t.daily_prices())
 
 
 def _position_var(t: Tables) -> DataFrame:
     return var.position_var(
-        _current_positions(t), var.instrument_var(_recent_returns(t)), as_of=t.last_day()
+        _current_positions(t), var.instrument_var(_recent_returns(t)), as_of=t.last_day
     )
 
 
@@ -123,7 +123,7 @@ def instrument_var_full_history(t: Tables) -> DataFrame:
 @query
 def instrument_var_short_history(t: Tables) -> DataFrame:
     """Parts as instruments: too few returns for most of them, so VaR is NULL."""
-    recent = returns.lookback_returns(t.daily_prices("l_partkey"), as_of=t.last_price_day())
+    recent = returns.lookback_returns(t.daily_prices("l_partkey"))
     return _rounded(var.instrument_var(recent), 6, *_VAR_COLUMNS)
 
 
@@ -159,7 +159,7 @@ def complete_risk_metrics(t: Tables) -> DataFrame:
     """Month-end snapshots, so that the P&L columns have a history to come from."""
     monthly = pnl.position_pnl(_snapshots(t))
     level = var.position_var(
-        monthly, var.instrument_var(_recent_returns(t)), as_of=F.last_day(t.last_day())
+        monthly, var.instrument_var(_recent_returns(t)), as_of=F.last_day(F.lit(t.last_day))
     )
     df = var.complete_risk_metrics(level).drop("created_at", "counterparty_id")
     keep = ("metric_id", "as_of_date", "instrument_id", "book_id")

@@ -1,0 +1,127 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from builders import day, prices, rows, trades
+
+from tidemark.operators import silver
+from tidemark.schemas import DIM_TRADES, conform
+
+
+@pytest.mark.parametrize(
+    "change, valid",
+    [
+        ({}, True),
+        ({"trade_type": " sell "}, True),
+        ({"settlement_date": day(0)}, True),
+        ({"settlement_date": None}, False),
+        ({"settlement_date": day(-1)}, False),
+        ({"quantity": None}, False),
+        ({"quantity": Decimal(-1)}, False),
+        ({"quantity": Decimal(0)}, False),
+        ({"price": Decimal(0)}, False),
+        ({"price": None}, False),
+        ({"trade_type": None}, False),
+        ({"trade_type": "XFER"}, False),
+        ({"trade_date": None}, False),
+    ],
+)
+def test_validity(spark, change, valid):
+    assert silver.normalize_trades(trades(spark, change)).first()["is_valid"] is valid
+
+
+def test_normalisation(spark):
+    source = trades(
+        spark,
+        {"trade_id": "a", "status": None, "currency": " usd", "trade_type": "Buy "},
+        {"trade_id": "b", "status": ""},
+        {"trade_id": "c", "status": " open ", "settlement_date": day(5), "quantity": Decimal("2.5")},
+    )
+    df = silver.normalize_trades(source)
+    assert rows(df, "trade_id", "status", "currency", "trade_type", "settlement_days", "notional_value") == [
+        ("a", "OPEN", "USD", "BUY", 2, Decimal(50)),
+        ("b", "", "USD", "BUY", 2, Decimal(50)),
+        ("c", "OPEN", "USD", "BUY", 5, Decimal("12.5")),
+    ]
+    assert dict(df.dtypes)["notional_value"] == "decimal(37,8)"
+
+
+def test_latest_ingested_copy_survives(spark):
+    copies = trades(
+        spark,
+        {"ingestion_timestamp": datetime(2024, 1, 2), "price": Decimal(7)},
+        {"ingestion_timestamp": datetime(2024, 1, 3), "price": Decimal(6)},
+        {"ingestion_timestamp": datetime(2024, 1, 1), "price": Decimal(9)},
+        {"trade_id": None},
+        {"trade_id": None},
+        stamp=True,
+    )
+    assert rows(silver.latest_copy(copies, ["trade_id"]), "trade_id", "price") == [
+        ("t1", Decimal(6)),
+        (None, Decimal(5)),
+    ]
+
+
+def test_tied_copies_do_not_depend_on_partitioning(spark):
+    copies = trades(spark, *[{"price": Decimal(p), "book_id": f"b{p % 3}"} for p in range(1, 40)], stamp=True)
+    survivors = {
+        rows(silver.latest_copy(copies.repartition(n), ["trade_id"]), "price", "book_id")[0] for n in (1, 3, 7)
+    }
+    assert survivors == {(Decimal(39), "b0")}
+
+
+def test_invalid_latest_copy_hides_a_valid_one(spark):
+    copies = trades(
+        spark,
+        {"ingestion_timestamp": datetime(2024, 1, 1)},
+        {"ingestion_timestamp": datetime(2024, 1, 2), "quantity": Decimal(-1)},
+        stamp=True,
+    )
+    assert silver.silver_trades(copies).count() == 0
+
+
+def test_hot_trade_id_is_reduced_before_the_shuffle(spark):
+    copies = trades(spark, *[{"price": Decimal(p)} for p in range(1, 9)])
+    plan = silver.latest_copy(copies, ["trade_id"])._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("row_number(), 1, Partial")
+    assert plan.index("row_number(), 1, Final") < plan.index("Exchange") < partial
+
+
+def test_trade_summary_is_sorted(spark):
+    df = silver.trade_summary(
+        silver.silver_trades(
+            trades(
+                spark,
+                {"trade_id": "1", "trade_type": "SELL"},
+                {"trade_id": "2", "currency": "EUR"},
+                {"trade_id": "3", "price": Decimal(8)},
+                {"trade_id": "4"},
+            )
+        )
+    )
+    assert [tuple(r) for r in df.collect()] == [
+        ("BUY", "EUR", "OPEN", 1, Decimal(50), Decimal(5)),
+        ("BUY", "USD", "OPEN", 2, Decimal(130), Decimal("6.5")),
+        ("SELL", "USD", "OPEN", 1, Decimal(50), Decimal(5)),
+    ]
+
+
+def test_silver_prices_drop_bad_quotes_and_copies(spark):
+    source = prices(
+        spark,
+        {"price_id": "keep"},
+        {"price_id": "drop-copy"},
+        {"price_id": "negative", "close_price": Decimal(-1), "price_date": day(1)},
+        {"price_id": "inverted", "high_price": Decimal(1), "low_price": Decimal(2), "price_date": day(2)},
+        {"price_id": "half", "low_price": Decimal(2), "price_date": day(3)},
+        {"price_id": "missing", "close_price": None, "price_date": day(4)},
+    )
+    kept = [r[0] for r in rows(silver.silver_prices(source), "price_id")]
+    assert kept == ["half", "keep", "missing"]
+
+
+def test_conform_casts_and_fills(spark):
+    df = conform(silver.silver_trades(trades(spark, {})), DIM_TRADES)
+    assert df.columns == DIM_TRADES.fieldNames()
+    row = df.first()
+    assert row["created_at"] is None and row["quantity"] == Decimal(10)

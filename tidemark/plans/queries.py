@@ -542,7 +542,9 @@ def model_tables(t: Tables) -> DataFrame:
     path = scratch_folder(t.spark, "model")
     database = _table_name("model")
     t.spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
-    tables.create_model_tables(t.spark, database, path=path)
+    tables.create_model_tables(
+        t.spark, database, path=path, partitioned=("fct_positions", "fct_risk_metrics")
+    )
     content = {
         "dim_trades": _silver_trades(t),
         "dim_instruments": t.instruments(),

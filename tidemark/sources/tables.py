@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,14 +78,22 @@ def create_table_if_absent(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT,
 
 
 def create_model_tables(
-    spark: SparkSession, database: str, fmt: str = DEFAULT_FORMAT, path: str | None = None
+    spark: SparkSession,
+    database: str,
+    fmt: str = DEFAULT_FORMAT,
+    path: str | None = None,
+    partitioned: Collection[str] = tuple(MODEL),
 ) -> None:
-    """Create the six typed tables that are missing, with their partitions and comments."""
+    """Create the six typed tables that are missing, with their partitions and comments.
+
+    Where a day holds few rows, daily partitions cost more than they save: name in
+    ``partitioned`` only the tables that should have theirs.
+    """
     for name, (schema, partition, comment) in MODEL.items():
         columns = ", ".join(
             f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
         )
-        layout = f"PARTITIONED BY ({partition}) " if partition else ""
+        layout = f"PARTITIONED BY ({partition}) " if partition and name in partitioned else ""
         location = f"LOCATION '{path}/{name}' " if path else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING {fmt} "

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_MONEY = "decimal(28,2)"
+from tidemark.operators.positions import MONEY
 
 
 def position_pnl(snapshots: DataFrame) -> DataFrame:
@@ -28,12 +28,12 @@ def position_pnl(snapshots: DataFrame) -> DataFrame:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
-    previous = F.coalesce(F.last("unrealized_pnl", ignorenulls=True).over(before), F.lit(0).cast(_MONEY))
-    daily = snapshots.withColumn("daily_pnl", (F.col("unrealized_pnl") - previous).cast(_MONEY))
+    previous = F.coalesce(F.last("unrealized_pnl", ignorenulls=True).over(before), F.lit(0).cast(MONEY))
+    daily = snapshots.withColumn("daily_pnl", (F.col("unrealized_pnl") - previous).cast(MONEY))
     return daily.select(
         "*",
-        F.sum("daily_pnl").over(to_date("month")).cast(_MONEY).alias("mtd_pnl"),
-        F.sum("daily_pnl").over(to_date("year")).cast(_MONEY).alias("ytd_pnl"),
+        F.sum("daily_pnl").over(to_date("month")).cast(MONEY).alias("mtd_pnl"),
+        F.sum("daily_pnl").over(to_date("year")).cast(MONEY).alias("ytd_pnl"),
     )
 
 

@@ -14,6 +14,9 @@ from tidemark.functions import period_end, period_start, side
 
 POSITION_KEY = ("instrument_id", "book_id", "currency")
 
+# Wider than the stored decimal(18,2): sums over a hot position must not overflow on the way.
+MONEY = "decimal(28,2)"
+
 
 def _movements(trades: DataFrame, *groups: str | Column) -> DataFrame:
     """Signed quantity and cost summed per position; combined on the map side, so hot positions shrink there."""
@@ -25,16 +28,17 @@ def _movements(trades: DataFrame, *groups: str | Column) -> DataFrame:
 
 def _valued(positions: DataFrame) -> DataFrame:
     quantity = F.col("quantity").cast("decimal(18,4)")
-    value = quantity * F.col("close_price").cast("decimal(18,4)")
+    value = F.round(quantity * F.col("close_price").cast("decimal(18,4)"), 2)
+    cost = F.round("cost_basis", 2)
     return positions.select(
-        F.concat_ws("|", *POSITION_KEY).alias("position_id"),
+        F.concat_ws("|", *[F.coalesce(k, F.lit("")) for k in POSITION_KEY]).alias("position_id"),
         "as_of_date",
         "instrument_id",
         "book_id",
         quantity.alias("quantity"),
-        F.round("cost_basis", 2).cast("decimal(28,2)").alias("cost_basis"),
-        F.round(value, 2).cast("decimal(28,2)").alias("market_value"),
-        (F.round(value, 2) - F.round("cost_basis", 2)).cast("decimal(28,2)").alias("unrealized_pnl"),
+        cost.cast(MONEY).alias("cost_basis"),
+        value.cast(MONEY).alias("market_value"),
+        (value - cost).cast(MONEY).alias("unrealized_pnl"),
         "currency",
     )
 

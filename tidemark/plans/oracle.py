@@ -276,7 +276,7 @@ _oracle("silver_prices", f"{_PRICE_COLUMNS} FROM silver_prices", "silver_prices"
 
 _SIGNED = "CASE trade_type WHEN 'BUY' THEN quantity WHEN 'SELL' THEN -quantity END"
 _VALUE_COLUMNS = """
-           concat_ws('|', instrument_id, book_id, currency) AS position_id, instrument_id, book_id, currency,
+           coalesce(instrument_id, '') || '|' || coalesce(book_id, '') || '|' || coalesce(currency, '') AS position_id, instrument_id, book_id, currency,
            quantity, round(cost_basis, 2) AS cost_basis, round(quantity * close_price, 2) AS market_value,
            round(quantity * close_price, 2) - round(cost_basis, 2) AS unrealized_pnl"""
 
@@ -752,3 +752,4 @@ _oracle(
     "(SELECT count(*) FROM risk_metrics) AS fct_risk_metrics_cnt",
     "silver_trades", "instruments", "counterparties", "silver_prices", "current_positions", "risk_metrics",
 )
+_oracle("bronze_sample_size", "SELECT least(10, count(*)) AS sampled_rows FROM raw_trades", "raw_trades")

@@ -90,19 +90,19 @@ def with_lineage(scan: DataFrame, date_column: str, ingested_at: datetime | None
     )
 
 
-# frequency -> last day of the period that starts on a given date
-_PERIOD_ENDS = {
-    "day": lambda start: start,
-    "week": lambda start: F.date_add(start, 6),
-    "month": F.last_day,
+# frequency -> (first day of a date's period, last day of the period starting on a date)
+_PERIODS = {
+    "day": (lambda date: date, lambda start: start),
+    "week": (lambda date: F.trunc(date, "week"), lambda start: F.date_add(start, 6)),
+    "month": (lambda date: F.trunc(date, "month"), F.last_day),
 }
 
 
 def period_start(date: Column, frequency: str) -> Column:
-    if frequency not in _PERIOD_ENDS:
-        raise ValueError(f"frequency must be one of {sorted(_PERIOD_ENDS)}, not {frequency!r}")
-    return F.date_trunc(frequency, date).cast("date")
+    if frequency not in _PERIODS:
+        raise ValueError(f"frequency must be one of {sorted(_PERIODS)}, not {frequency!r}")
+    return _PERIODS[frequency][0](date)
 
 
 def period_end(start: Column, frequency: str) -> Column:
-    return _PERIOD_ENDS[frequency](start)
+    return _PERIODS[frequency][1](start)

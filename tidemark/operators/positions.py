@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import period_end, period_start, side
+from tidemark.functions import lookup_join, period_end, period_start, side
 
 POSITION_KEY = ("instrument_id", "book_id", "currency")
 
@@ -57,7 +57,7 @@ def snapshot_at(trades: DataFrame, prices: DataFrame, as_of: date | Column) -> D
         .groupBy("instrument_id")
         .agg(F.max_by("close_price", "price_date").alias("close_price"))
     )
-    return _valued(held.join(closes, "instrument_id", "left").withColumn("as_of_date", day))
+    return _valued(lookup_join(held, closes, "instrument_id").withColumn("as_of_date", day))
 
 
 def _carried_forward(changes: DataFrame, key: tuple[str, ...], last: Column, frequency: str) -> DataFrame:

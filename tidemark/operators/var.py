@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import level_tag
+from tidemark.functions import level_tag, lookup_join
 from tidemark.schemas import FCT_RISK_METRICS
 
 LEVELS = (0.95, 0.99)
@@ -74,12 +74,10 @@ def attach_var(positions: DataFrame, var: DataFrame, levels: Sequence[float] = L
     """Position VaR and CVaR: market value times the size of the instrument's return.
 
     A position without VaR stays, with NULL. A short position yields a negative figure.
-    The join carries no hint: adaptive execution broadcasts the per-instrument side when it
-    measures small and otherwise splits a hot instrument's positions.
     """
     value = F.col("market_value").cast("double")
     tags = [f"{kind}_{level_tag(level)}" for level in levels for kind in ("var", "cvar")]
-    joined = positions.join(var.select("instrument_id", *[f"{t}_pct" for t in tags]), "instrument_id", "left")
+    joined = lookup_join(positions, var.select("instrument_id", *[f"{t}_pct" for t in tags]), "instrument_id")
     return joined.withColumns({t: value * F.abs(F.col(f"{t}_pct")) for t in tags})
 
 

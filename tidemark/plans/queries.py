@@ -15,6 +15,7 @@ from tidemark.functions import (
     clean_code,
     clean_status,
     is_valid_trade,
+    lookup_join,
     notional,
     settlement_days,
     with_lineage,
@@ -78,7 +79,7 @@ def _trade_risk(t: Tables) -> DataFrame:
         F.col("notional_value").alias("credit_exposure"),
     )
     size = var.instrument_var(_recent_returns(t)).select("instrument_id", F.abs("var_95_pct").alias("size"))
-    return trades.join(size, "instrument_id", "left").withColumn(
+    return lookup_join(trades, size, "instrument_id").withColumn(
         "var_95", F.col("credit_exposure").cast("double") * F.col("size")
     )
 

@@ -95,6 +95,17 @@ def test_pnl_runs_within_month_and_year(spark):
     ]
 
 
+@pytest.mark.parametrize("when", [date(2023, 12, 30), date(2024, 1, 1), date(2024, 1, 2), date(2024, 2, 1), date(2024, 2, 3)])
+def test_one_day_of_pnl_equals_the_series(spark, when):
+    series = [(date(2023, 12, 30), 5), (date(2023, 12, 31), 7), (date(2024, 1, 1), None), (date(2024, 1, 2), None),
+              (date(2024, 1, 3), 10), (date(2024, 2, 1), None), (date(2024, 2, 3), 11)]
+    history = snapshots(spark, *series)
+    expected = pnl.position_pnl(history).filter(f"as_of_date = '{when}'")
+    found = pnl.pnl_at(history, when)
+    assert found.columns == expected.columns and found.dtypes == expected.dtypes
+    assert rows(found) == rows(expected)
+
+
 def test_daily_pnl_adds_up_to_unrealised(spark):
     df = pnl.position_pnl(positions.position_snapshots(*history(spark), frequency="week"))
     totals = df.groupBy("position_id").agg({"daily_pnl": "sum"}).collect()

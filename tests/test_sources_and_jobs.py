@@ -103,6 +103,22 @@ def test_gold_appends_or_replaces_its_snapshot(spark, tmp_path):
     assert tables.read_table(spark, gold).count() == 5
 
 
+def test_gold_with_cvar_and_pnl(spark, tmp_path):
+    prices, held, gold = (str(tmp_path / n) for n in ("prices", "held", "gold"))
+    tables.overwrite(closes(spark, [("A", day(d), 100.0 + (d % 7)) for d in range(60)]), prices)
+    snapshot = spark.createDataFrame(
+        [("p1", day(58), "A", "b1", D(10), D(4)), ("p1", day(59), "A", "b1", D(20), D(9))],
+        "position_id string, as_of_date date, instrument_id string, book_id string, market_value decimal(18,2), "
+        "unrealized_pnl decimal(18,2)")
+    tables.append_partitioned(snapshot, held, ["as_of_date"])
+    jobs.publish_risk_metrics(spark, prices, held, gold, complete=True)
+    jobs.publish_risk_metrics(spark, prices, held, gold, complete=True, as_of=day(58))
+    stored = tables.read_table(spark, gold)
+    assert rows(stored, "as_of_date", "daily_pnl", "ytd_pnl", "market_exposure") == [
+        (day(58), D(4), D(4), D(10)), (day(59), D(5), D(9), D(20))]
+    assert stored.filter("cvar_95 is null or cvar_95 < var_95").count() == 0
+
+
 def test_newest_snapshot_prunes_partitions(spark, tmp_path):
     from tidemark.operators.var import latest_snapshot
 

@@ -6,7 +6,9 @@ snapshot dates, not of trades.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.positions import MONEY
 
@@ -37,6 +39,44 @@ def position_pnl(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def pnl_at(snapshots: DataFrame, as_of: date | Column) -> DataFrame:
+    """The rows of ``position_pnl`` for one date, from one aggregate instead of windows.
+
+    Daily P&L telescopes: a running sum is the last known unrealised P&L minus the one
+    known before the sum began. So a daily job needs four values per position, which are
+    combined on the map side; history is neither sorted nor kept.
+    """
+    day = F.lit(as_of)
+    when, known = F.col("as_of_date"), F.col("unrealized_pnl")
+    begins = {"day": day, "month": F.trunc(day, "month"), "year": F.trunc(day, "year")}
+    base = {
+        unit: F.max_by(known, F.when(known.isNotNull() & (when < begin), when)).alias(f"before_{unit}")
+        for unit, begin in begins.items()
+    }
+    seen = {
+        unit: F.count(F.when(when >= begins[unit], known)).alias(f"known_in_{unit}") for unit in ("month", "year")
+    }
+    history = (
+        snapshots.filter(when <= day)
+        .groupBy("position_id")
+        .agg(F.max_by(known, F.when(known.isNotNull(), when)).alias("newest"), *base.values(), *seen.values())
+    )
+
+    def since(unit: str) -> Column:
+        return F.col("newest") - F.coalesce(f"before_{unit}", F.lit(0).cast(MONEY))
+
+    profit = {
+        "daily_pnl": F.when(known.isNotNull(), since("day")),
+        "mtd_pnl": F.when(F.col("known_in_month") > 0, since("month")),
+        "ytd_pnl": F.when(F.col("known_in_year") > 0, since("year")),
+    }
+    current = snapshots.filter(when == day)
+    # One row per position on both sides: no hot keys, so the grouping's partitions can be reused.
+    return current.join(history, "position_id", "left").select(
+        *current.columns, *[c.cast(MONEY).alias(name) for name, c in profit.items()]
+    )
+
+
 def book_pnl(pnl: DataFrame) -> DataFrame:
     """P&L of whole books per snapshot date."""
     return pnl.groupBy("book_id", "currency", "as_of_date").agg(

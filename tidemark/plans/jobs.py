@@ -12,7 +12,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import with_lineage
-from tidemark.operators import demo, quality, returns, silver, var
+from tidemark.operators import demo, pnl, quality, returns, silver, var
 from tidemark.schemas import DEMO_PRICES
 from tidemark.sources import files, tables
 
@@ -83,15 +83,21 @@ def publish_risk_metrics(
     lookback_days: int = returns.LOOKBACK_DAYS,
     as_of: date | None = None,
     rerunnable: bool = False,
+    complete: bool = False,
     fmt: str = tables.DEFAULT_FORMAT,
 ) -> DataFrame:
     """Compute VaR for one snapshot and add it to gold; returns the summary per book.
 
-    ``rerunnable`` replaces the snapshot's partition where the default appends to it.
+    ``rerunnable`` replaces the snapshot's partition where the default appends to it;
+    ``complete`` fills in CVaR and P&L, which are otherwise NULL.
     """
     recent = returns.lookback_returns(tables.read_table(spark, prices, fmt), lookback_days, as_of)
     held = tables.read_table(spark, positions, fmt)
-    metrics = var.risk_metrics(var.position_var(held, var.instrument_var(recent), as_of=as_of))
+    if complete:
+        day = held.agg(F.max("as_of_date")).scalar() if as_of is None else as_of
+        held = pnl.pnl_at(held, day)
+    level = var.position_var(held, var.instrument_var(recent), as_of=as_of)
+    metrics = var.complete_risk_metrics(level) if complete else var.risk_metrics(level)
     write = tables.replace_touched_partitions if rerunnable else tables.append_partitioned
     write(metrics, gold, ["as_of_date"], fmt)
     return var.book_summary(var.latest_snapshot(tables.read_table(spark, gold, fmt), as_of))

@@ -381,6 +381,13 @@ _oracle(
     + " FROM pnl_month",
     "pnl_month",
 )
+_oracle(
+    "latest_pnl",
+    "SELECT position_id, as_of_date, instrument_id, book_id, currency, "
+    + _money("unrealized_pnl", "daily_pnl", "mtd_pnl", "ytd_pnl")
+    + " FROM pnl_week WHERE as_of_date = (SELECT max(as_of_date) FROM pnl_week)",
+    "pnl_week",
+)
 _oracle(
     "book_pnl_weekly",
     "SELECT book_id, currency, as_of_date, "

@@ -17,6 +17,8 @@ from tidemark.functions import (
     is_valid_trade,
     lookup_join,
     notional,
+    period_end,
+    period_start,
     settlement_days,
     with_lineage,
 )
@@ -254,6 +256,14 @@ def position_pnl(t: Tables) -> DataFrame:
     return _rounded(df, 2, "unrealized_pnl", "daily_pnl", "mtd_pnl", "ytd_pnl")
 
 
+@query
+def latest_pnl(t: Tables) -> DataFrame:
+    weekly = _snapshots(t, "week")
+    newest = period_end(period_start(F.lit(t.last_day), "week"), "week")
+    df = pnl.pnl_at(weekly, newest).drop("quantity", "cost_basis", "market_value")
+    return _rounded(df, 2, "unrealized_pnl", "daily_pnl", "mtd_pnl", "ytd_pnl")
+
+
 @query
 def book_pnl_weekly(t: Tables) -> DataFrame:
     weekly = pnl.position_pnl(_snapshots(t, "week"))

@@ -106,6 +106,11 @@ def test_one_day_of_pnl_equals_the_series(spark, when):
     assert rows(found) == rows(expected)
 
 
+def test_all_pnl_windows_share_one_sort(spark):
+    plan = pnl.position_pnl(snapshots(spark, (date(2024, 1, 1), 5)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+
+
 def test_daily_pnl_adds_up_to_unrealised(spark):
     df = pnl.position_pnl(positions.position_snapshots(*history(spark), frequency="week"))
     totals = df.groupBy("position_id").agg({"daily_pnl": "sum"}).collect()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.operators.positions import MONEY
 
@@ -20,22 +20,21 @@ def position_pnl(snapshots: DataFrame) -> DataFrame:
     before the first), so the daily figures of a position add up to its latest unrealised
     P&L. A snapshot without a value has no daily P&L and leaves the running sums as they were.
     """
-    by_date = Window.partitionBy("position_id").orderBy("as_of_date")
-    before = by_date.rowsBetween(Window.unboundedPreceding, -1)
-
-    def to_date(unit: str) -> Window:
-        return (
-            Window.partitionBy("position_id", F.trunc("as_of_date", unit))
-            .orderBy("as_of_date")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-
-    previous = F.coalesce(F.last("unrealized_pnl", ignorenulls=True).over(before), F.lit(0).cast(MONEY))
-    daily = snapshots.withColumn("daily_pnl", (F.col("unrealized_pnl") - previous).cast(MONEY))
+    # Date order spelled as year, month, day: the three windows then share one sort.
+    dated = snapshots.withColumns({"_year": F.year("as_of_date"), "_month": F.month("as_of_date")})
+    position = Window.partitionBy("position_id").orderBy("_year", "_month", "as_of_date")
+    year = Window.partitionBy("position_id", "_year").orderBy("_month", "as_of_date")
+    month = Window.partitionBy("position_id", "_year", "_month").orderBy("as_of_date")
+
+    def to_date(window: WindowSpec) -> Column:
+        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum("daily_pnl").over(running).cast(MONEY)
+
+    earlier = position.rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.coalesce(F.last("unrealized_pnl", ignorenulls=True).over(earlier), F.lit(0).cast(MONEY))
+    daily = dated.withColumn("daily_pnl", (F.col("unrealized_pnl") - previous).cast(MONEY))
     return daily.select(
-        "*",
-        F.sum("daily_pnl").over(to_date("month")).cast(MONEY).alias("mtd_pnl"),
-        F.sum("daily_pnl").over(to_date("year")).cast(MONEY).alias("ytd_pnl"),
+        *snapshots.columns, "daily_pnl", to_date(month).alias("mtd_pnl"), to_date(year).alias("ytd_pnl")
     )
 
 

@@ -759,4 +759,4 @@ _oracle(
     "(SELECT count(*) FROM risk_metrics) AS fct_risk_metrics_cnt",
     "silver_trades", "instruments", "counterparties", "silver_prices", "current_positions", "risk_metrics",
 )
-_oracle("bronze_sample_size", "SELECT least(10, count(*)) AS sampled_rows FROM raw_trades", "raw_trades")
+_oracle("bronze_sample_size", "SELECT least(10, count(*)) AS sampled_rows FROM lineitem")

@@ -4,7 +4,7 @@ from decimal import Decimal as D
 import pytest
 from builders import closes, day, rows
 
-from tidemark.operators import demo, positions, quality
+from tidemark.operators import demo, quality
 from tidemark.plans import jobs
 from tidemark.schemas import DEMO_PRICES, FCT_POSITIONS, MODEL, conform
 from tidemark.sources import files, tables
@@ -98,6 +98,7 @@ def test_gold_appends_or_replaces_its_snapshot(spark, tmp_path):
     jobs.publish_risk_metrics(spark, prices, held, gold, as_of=day(1))
     assert rows(jobs.publish_risk_metrics(spark, prices, held, gold, rerunnable=True)) == first
     stored = tables.read_table(spark, gold)
+    assert dict(stored.dtypes)["var_95"] == "decimal(18,2)"
     assert rows(stored, "metric_id") == [("p1_var",), ("p2_var",), ("p3_var",)]
     jobs.publish_risk_metrics(spark, prices, held, gold)
     assert tables.read_table(spark, gold).count() == 5
@@ -227,7 +228,11 @@ def test_positions_from_silver_files(spark, tmp_path):
     jobs.refine_trades(spark, bronze, silver)
     quotes = str(tmp_path / "pb")
     jobs.ingest_prices(spark, landed(tmp_path, "p", PRICES_CSV), quotes)
-    clean = jobs.refine_prices(spark, quotes, str(tmp_path / "ps"))
-    df = positions.snapshot_at(tables.read_table(spark, silver), clean, date(2024, 2, 10))
+    jobs.refine_prices(spark, quotes, str(tmp_path / "ps"))
+    held = str(tmp_path / "held")
+    jobs.publish_positions(spark, silver, str(tmp_path / "ps"), held, date(2024, 2, 9))
+    jobs.publish_positions(spark, silver, str(tmp_path / "ps"), held, date(2024, 2, 10))
+    df = jobs.publish_positions(spark, silver, str(tmp_path / "ps"), held, date(2024, 2, 10), rerunnable=True)
+    assert tables.read_table(spark, held).count() == 4
     assert rows(df, "position_id", "quantity", "cost_basis", "market_value") == [
         ("A|b1|USD", D(10), D(55), D(25)), ("|b1|USD", D(-4), D(-24), None)]

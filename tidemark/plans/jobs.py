@@ -12,8 +12,8 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import with_lineage
-from tidemark.operators import demo, pnl, quality, returns, silver, var
-from tidemark.schemas import DEMO_PRICES
+from tidemark.operators import demo, pnl, positions, quality, returns, silver, var
+from tidemark.schemas import DEMO_PRICES, FCT_POSITIONS, FCT_RISK_METRICS, conform
 from tidemark.sources import files, tables
 
 YEAR_MONTH = ("year", "month")
@@ -75,10 +75,29 @@ def refine_prices(
     return tables.read_table(spark, target, fmt)
 
 
+def publish_positions(
+    spark: SparkSession,
+    trades: str,
+    prices: str,
+    target: str,
+    as_of: date,
+    rerunnable: bool = False,
+    fmt: str = tables.DEFAULT_FORMAT,
+) -> DataFrame:
+    """Add the snapshot of one date to the position table; returns what was written."""
+    held = positions.snapshot_at(
+        tables.read_table(spark, trades, fmt), tables.read_table(spark, prices, fmt), as_of
+    )
+    stored = conform(held.withColumn("created_at", F.current_timestamp()), FCT_POSITIONS)
+    write = tables.replace_touched_partitions if rerunnable else tables.append_partitioned
+    write(stored, target, ["as_of_date"], fmt)
+    return var.latest_snapshot(tables.read_table(spark, target, fmt), as_of)
+
+
 def publish_risk_metrics(
     spark: SparkSession,
     prices: str,
-    positions: str,
+    held_positions: str,
     gold: str,
     lookback_days: int = returns.LOOKBACK_DAYS,
     as_of: date | None = None,
@@ -89,17 +108,18 @@ def publish_risk_metrics(
     """Compute VaR for one snapshot and add it to gold; returns the summary per book.
 
     ``rerunnable`` replaces the snapshot's partition where the default appends to it;
-    ``complete`` fills in CVaR and P&L, which are otherwise NULL.
+    ``complete`` fills in CVaR and P&L, which are otherwise NULL. Figures are computed as
+    doubles and stored in the decimal types of the gold table.
     """
     recent = returns.lookback_returns(tables.read_table(spark, prices, fmt), lookback_days, as_of)
-    held = tables.read_table(spark, positions, fmt)
+    held = tables.read_table(spark, held_positions, fmt)
     if complete:
         day = held.agg(F.max("as_of_date")).scalar() if as_of is None else as_of
         held = pnl.pnl_at(held, day)
     level = var.position_var(held, var.instrument_var(recent), as_of=as_of)
     metrics = var.complete_risk_metrics(level) if complete else var.risk_metrics(level)
     write = tables.replace_touched_partitions if rerunnable else tables.append_partitioned
-    write(metrics, gold, ["as_of_date"], fmt)
+    write(conform(metrics, FCT_RISK_METRICS), gold, ["as_of_date"], fmt)
     return var.book_summary(var.latest_snapshot(tables.read_table(spark, gold, fmt), as_of))
 
 
@@ -122,7 +142,7 @@ def build_demo_positions(
 
 def publish_demo_risk_metrics(
     spark: SparkSession,
-    positions: str,
+    held_positions: str,
     prices: str,
     table: str,
     fmt: str = tables.DEFAULT_FORMAT,
@@ -131,7 +151,7 @@ def publish_demo_risk_metrics(
 ) -> DataFrame:
     """Store the mock P&L as a catalog table, replacing it or (``keep_existing``) only if absent."""
     metrics = demo.demo_risk_metrics(
-        tables.read_table(spark, positions, fmt), tables.read_table(spark, prices, fmt)
+        tables.read_table(spark, held_positions, fmt), tables.read_table(spark, prices, fmt)
     )
     store = tables.create_table_if_absent if keep_existing else tables.create_or_replace_table
     store(metrics, table, fmt, path)

@@ -367,6 +367,7 @@ _POSITION_COLUMNS = "SELECT position_id, as_of_date, instrument_id, book_id, cur
     "quantity", "cost_basis", "market_value", "unrealized_pnl"
 )
 _oracle("current_positions", f"{_POSITION_COLUMNS} FROM current_positions", "current_positions")
+_oracle("publish_positions_job", f"{_POSITION_COLUMNS} FROM current_positions", "current_positions")
 _oracle("position_snapshots", f"{_POSITION_COLUMNS} FROM snapshots_month", "snapshots_month")
 _oracle(
     "latest_snapshot",
@@ -727,7 +728,19 @@ _oracle(
     f"SELECT price_id, price_date, instrument_id, {_money('close_price', digits=4)} FROM silver_prices",
     "silver_prices",
 )
-_oracle("publish_risk_metrics_job", _BOOK_SUMMARY, "risk_metrics")
+_step(
+    "stored_metrics",
+    "SELECT * REPLACE (CAST(round(var_95, 2) AS DECIMAL(18,2)) AS var_95, "
+    "CAST(round(var_99, 2) AS DECIMAL(18,2)) AS var_99) FROM risk_metrics",
+    "risk_metrics",
+)
+_oracle(
+    "publish_risk_metrics_job",
+    "SELECT book_id, count(*) AS position_count, CAST(sum(var_95) AS DOUBLE) AS total_var_95, "
+    "CAST(sum(var_99) AS DOUBLE) AS total_var_99, CAST(sum(market_exposure) AS DOUBLE) AS total_exposure "
+    "FROM stored_metrics GROUP BY book_id",
+    "stored_metrics",
+)
 _step(
     "dated_prices",
     f"SELECT *, {_YEAR_MONTH.format('price_date')} FROM raw_prices",

@@ -472,12 +472,28 @@ def refine_prices_job(t: Tables) -> DataFrame:
     return _rounded(df.select("price_id", "price_date", "instrument_id", "close_price"), 4, "close_price")
 
 
+def _published_positions(t: Tables) -> str:
+    """The position table written by its job from stored silver tables, twice: a rerun changes nothing."""
+    trades, prices, held = (scratch_folder(t.spark, p) for p in ("trades", "prices", "positions"))
+    tables.overwrite(_silver_trades(t), trades)
+    tables.overwrite(_silver_prices(t), prices)
+    jobs.publish_positions(t.spark, trades, prices, held, t.last_day)
+    jobs.publish_positions(t.spark, trades, prices, held, t.last_day, rerunnable=True)
+    return held
+
+
+@query
+def publish_positions_job(t: Tables) -> DataFrame:
+    df = tables.read_table(t.spark, _published_positions(t)).drop("created_at")
+    return _rounded(df, 2, *_POSITION_MONEY)
+
+
 @query
 def publish_risk_metrics_job(t: Tables) -> DataFrame:
-    """Silver tables on storage, gold written twice: the rerun replaces its own partition."""
-    prices, held, gold = (scratch_folder(t.spark, p) for p in ("prices", "positions", "gold"))
+    """Stored prices and positions, gold written twice: the rerun replaces its own partition."""
+    prices, gold = scratch_folder(t.spark, "prices"), scratch_folder(t.spark, "gold")
     tables.overwrite(t.daily_prices(), prices)
-    tables.append_partitioned(_current_positions(t), held, ["as_of_date"])
+    held = _published_positions(t)
     jobs.publish_risk_metrics(t.spark, prices, held, gold)
     df = jobs.publish_risk_metrics(t.spark, prices, held, gold, rerunnable=True)
     return _rounded(df, 2, "total_var_95", "total_var_99", "total_exposure")

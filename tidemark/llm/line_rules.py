@@ -112,15 +112,19 @@ def judged_documents(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     split = covered.withColumn("failed_lines", F.filter("lines", line_fails))
     failed_chars = F.length(without(F.array_join("failed_lines", ""), SPACES))
-    return split.select(
+    kept_chars = F.col("word_chars") - failed_chars
+    verdict = split.select(
         "doc_id", *along, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
         F.size("failed_lines").cast("long").alias("n_failed_lines"),
-        (F.col("word_chars") - failed_chars).cast("long").alias("kept_chars"),
+        kept_chars.cast("long").alias("kept_chars"),
         F.when(F.size("failed_lines") == 0, F.array_join("lines", "\n"))
         .otherwise(F.array_join(F.filter("lines", lambda x: ~line_fails(x)), "\n")).alias("clean_text"),
-    ).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("kept_chars") * 100 >= F.col("word_chars") * MIN_KEPT_PERCENT))
+        (~base_failed & (kept_chars * 100 >= F.col("word_chars") * MIN_KEPT_PERCENT)).alias("kept"),
+    )
+    # A generator, since a filter on the result would otherwise be pushed down through all these
+    # projections, its columns written out in it, and the arrays computed once per element.
+    return verdict.select(F.inline(F.array(F.struct("*"))))
 
 
 def cleaned_documents(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import licenses, line_rules, sharding
+from tidemark.llm import decontamination, licenses, line_rules, sharding, simhash
 from tidemark.llm.common import table
 
 
@@ -18,12 +18,22 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judged_documents(table(spark, folder, "documents")).drop("clean_text")
 
 
+def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op5_sharding": op5_sharding,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import licenses, line_rules, sharding
+from tidemark.llm import licenses, line_rules, sharding, url_reputation
 from tidemark.llm.common import LOWER, UPPER
 
 
@@ -157,8 +157,68 @@ SELECT *, NOT base_failed AND kept_chars * 100 >= word_chars * {line_rules.MIN_K
 """
 
 
+def _url_filters() -> str:
+    u = url_reputation
+    rules = ", ".join(f"({_text(h)}, {_text(p)}, {_text(v)})" for h, p, v in u.RULES)
+    long = f"regexp_extract(host, '[^.]*\\.[^.]*$') IN ({', '.join(map(_text, u.SUFFIXES))}) AND len(string_split(host, '.')) > 2"
+
+    def last(labels: int) -> str:
+        """The last labels of a host, joined."""
+        return f"array_to_string(string_split(host, '.')[-{labels}:], '.')"
+
+    def strength(groups: str, mean: str) -> str:
+        m = mean
+        return f"""(SELECT 1 / least(greatest(coalesce(
+          (sum((bad - n * {m}) * (bad - n * {m})) - sum(n * {m} * (1 - {m}))) / nullif(sum(n * (n - 1) * {m} * (1 - {m})), 0),
+          {u.LEAST_SPREAD}::DOUBLE), {u.LEAST_SPREAD}), {u.MOST_SPREAD}) - 1 AS s FROM {groups})"""
+
+    return f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}
+), rest AS (
+  SELECT row_number() OVER () AS r, page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), raw AS (
+  SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest
+), parts AS (
+  SELECT r, page_id, translate(raw, '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM raw
+), fitting AS (
+  SELECT r, arg_max((rule_host || rule_path, rule_verdict), length(rule_host || rule_path)) AS best
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY r
+), parsed AS (
+  SELECT page_id, host, path, best[1] AS rule, best[2] AS verdict FROM parts LEFT JOIN fitting USING (r)
+), hosts AS (
+  SELECT host, count(verdict) AS n, count(*) FILTER (verdict = 'block') AS bad,
+    CASE WHEN {long} THEN {last(2)} ELSE {last(1)} END AS suffix,
+    CASE WHEN {long} THEN {last(3)} ELSE {last(2)} END AS domain
+  FROM parsed GROUP BY host
+), s0 AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+    (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS m FROM hosts GROUP BY suffix
+), s1 AS (
+  SELECT suffix, (bad + s * m) / (n + s) AS m FROM s0, {strength("s0", "m")}
+), d0 AS (
+  SELECT domain, any_value(m) AS m, sum(n) AS n, sum(bad) AS bad FROM hosts JOIN s1 USING (suffix) GROUP BY domain
+), d1 AS (
+  SELECT domain, (bad + s * m) / (n + s) AS m FROM d0, {strength("d0", "m")}
+), h0 AS (
+  SELECT host, hosts.n, hosts.bad, m FROM hosts JOIN d1 USING (domain)
+), h1 AS (
+  SELECT host, n, bad, n + s AS size, (bad + s * m) / (n + s) AS m FROM h0, {strength("h0", "m")}
+)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN m - {u.Z} * sqrt(m * (1 - m) / (size + 1)) >= {u.MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict,
+  n AS host_outcomes, bad AS host_blocked
+FROM parsed JOIN h1 USING (host)
+"""
+
+
 ORACLE = {
     "op1_license_scans": _licenses(),
     "op5_sharding": _sharding(),
+    "op6_url_filters": _url_filters(),
     "op9_quality_rules": _line_rules(),
 }

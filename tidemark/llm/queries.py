@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, licenses, line_rules, sharding, simhash
+from tidemark.llm import (
+    decontamination,
+    licenses,
+    line_rules,
+    quality_crf,
+    sentencepiece_viterbi,
+    sharding,
+    simhash,
+    token_counts,
+    url_reputation,
+    wavelet_output,
+)
 from tidemark.llm.common import table
 
 
@@ -14,10 +26,32 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).drop("spans")
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.token_counts(table(spark, folder, "documents"), vocabulary)
+
+
+def op3_wavelet_output(spark: SparkSession, folder: str) -> DataFrame:
+    return wavelet_output.token_output(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model_file = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_viterbi.round_trip(table(spark, folder, "documents"), model_file)
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_reputation.judged_pages(table(spark, folder, "pages"))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_crf.document_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -32,7 +66,12 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
+    "op2_token_counts": op2_token_counts,
+    "op3_wavelet_output": op3_wavelet_output,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_sharding": op5_sharding,
+    "op6_url_filters": op6_url_filters,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,

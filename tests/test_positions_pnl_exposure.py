@@ -3,6 +3,7 @@ from decimal import Decimal as D
 
 import pytest
 from builders import prices, rows, trades
+from pyspark.sql import functions as F
 
 from tidemark.operators import exposure, pnl, positions
 
@@ -127,15 +128,16 @@ def test_book_pnl(spark):
 def test_exposures(spark):
     held = spark.createDataFrame(
         [(APR, "A", D(10)), (APR, "A", D(-4)), (APR, "B", D(7)), (APR, "C", None), (MAR, "A", D(1))],
-        "as_of_date date, instrument_id string, market_value decimal(28,2)")
+        "as_of_date date, instrument_id string, market_value decimal(28,2)").withColumn("currency", F.lit("USD"))
     known = spark.createDataFrame(
         [("A", "EQUITY", "tech"), ("B", "EQUITY", "tech")],
         "instrument_id string, asset_class string, sector string")
     assert rows(exposure.instrument_exposure(held)) == [
-        (MAR, "A", D(1), D(1), 1), (APR, "A", D(6), D(14), 2), (APR, "B", D(7), D(7), 1), (APR, "C", None, None, 1)]
+        (MAR, "A", "USD", D(1), D(1), 1), (APR, "A", "USD", D(6), D(14), 2), (APR, "B", "USD", D(7), D(7), 1),
+        (APR, "C", "USD", None, None, 1)]
     assert rows(exposure.sector_exposure(held, known)) == [
-        (MAR, "EQUITY", "tech", D(1), D(1), 1), (APR, "EQUITY", "tech", D(13), D(21), 3),
-        (APR, None, None, None, None, 1)]
+        (MAR, "EQUITY", "tech", "USD", D(1), D(1), 1), (APR, "EQUITY", "tech", "USD", D(13), D(21), 3),
+        (APR, None, None, "USD", None, None, 1)]
 
 
 def test_counterparty_exposure(spark):
@@ -146,4 +148,32 @@ def test_counterparty_exposure(spark):
         {"trade_id": "3", "counterparty_id": "c9"}))
     known = spark.createDataFrame([("c1", "One", "AA")], "counterparty_id string, counterparty_name string, credit_rating string")
     assert rows(exposure.counterparty_exposure(clean, known)) == [
-        ("c1", D(30), D(70), 2, "One", "AA"), ("c9", D(50), D(50), 1, None, None)]
+        ("c1", "USD", D(30), D(70), 2, "One", "AA"), ("c9", "USD", D(50), D(50), 1, None, None)]
+
+
+def test_small_amounts_are_added_exactly(spark):
+    one = trades(spark, {"quantity": D("0.0001"), "price": D("0.0005")})
+    many = one.crossJoin(spark.range(400_000)).drop("id")
+    held = positions.snapshot_at(many, prices(spark, {}), APR)
+    assert rows(held, "quantity", "cost_basis") == [(D(40), D("0.02"))]
+
+
+def test_different_keys_have_different_ids(spark):
+    keys = [("A|B", "C"), ("A", "B|C"), ("A", None), ("A", ""), ("A", r"\N"), ("A\\", "|C")]
+    traded = trades(spark, *({"trade_id": str(n), "instrument_id": i, "book_id": b} for n, (i, b) in enumerate(keys)))
+    held = positions.snapshot_at(traded, prices(spark, {}), APR)
+    assert held.select("position_id").distinct().count() == len(keys)
+
+
+def test_a_large_position_keeps_its_quantity(spark):
+    bought = trades(spark, *({"trade_id": str(n), "quantity": D("90000000000000"), "price": D(1)} for n in range(3)))
+    held = positions.snapshot_at(bought, prices(spark, {"close_price": D(2)}), APR)
+    assert rows(held, "quantity", "cost_basis", "market_value") == [
+        (D("270000000000000"), D("270000000000000"), D("540000000000000"))]
+
+
+def test_currencies_are_not_added(spark):
+    held = spark.createDataFrame(
+        [(APR, "A", D(10), "USD"), (APR, "A", D(5), "EUR")],
+        "as_of_date date, instrument_id string, market_value decimal(28,2), currency string")
+    assert rows(exposure.instrument_exposure(held), "currency", "net_exposure") == [("EUR", D(5)), ("USD", D(10))]

@@ -16,7 +16,7 @@ __all__ = [
     "period_end",
     "period_start",
     "settlement_days",
-    "side",
+    "signed",
     "simple_return",
     "with_lineage",
 ]
@@ -59,13 +59,13 @@ def is_valid_trade() -> Column:
     return F.coalesce(holds, F.lit(False))
 
 
-def side() -> Column:
-    """+1 for a purchase, -1 for a sale, NULL otherwise; decimal(1,0) keeps products exact."""
-    return (
-        F.when(F.col("trade_type") == BUY, F.lit(1))
-        .when(F.col("trade_type") == SELL, F.lit(-1))
-        .cast("decimal(1,0)")
-    )
+def signed(amount: Column | str) -> Column:
+    """The amount of a purchase, the negative amount of a sale, NULL otherwise.
+
+    Negating keeps a decimal's scale; a product with a sign would lose digits of a wide one.
+    """
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    return F.when(F.col("trade_type") == BUY, amount).when(F.col("trade_type") == SELL, -amount)
 
 
 def simple_return(close: Column, previous: Column) -> Column:

@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import lookup_join, period_end, period_start, side
+from tidemark.functions import lookup_join, period_end, period_start, signed
 
 POSITION_KEY = ("instrument_id", "book_id", "currency")
 
@@ -20,18 +20,27 @@ MONEY = "decimal(28,2)"
 
 def _movements(trades: DataFrame, *groups: str | Column) -> DataFrame:
     """Signed quantity and cost summed per position; combined on the map side, so hot positions shrink there."""
-    signed = side() * F.col("quantity")
     return trades.groupBy(*POSITION_KEY, *groups).agg(
-        F.sum(signed).alias("quantity"), F.sum(signed * F.col("price")).alias("cost_basis")
+        F.sum(signed("quantity")).alias("quantity"),
+        F.sum(signed(F.col("quantity") * F.col("price"))).alias("cost_basis"),
     )
 
 
+def position_id() -> Column:
+    """The key as one text. Marks in the parts are escaped, so different keys never share an id."""
+    escaped = [F.replace(F.replace(k, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for k in POSITION_KEY]
+    return F.concat_ws("|", *[F.coalesce(k, F.lit("\\N")) for k in escaped])
+
+
 def _valued(positions: DataFrame) -> DataFrame:
-    quantity = F.col("quantity").cast("decimal(18,4)")
-    value = F.round(quantity * F.col("close_price").cast("decimal(18,4)"), 2)
+    quantity = F.col("quantity").cast("decimal(28,4)")
+    close = F.col("close_price").cast("decimal(18,4)")
+    # The product of two decimal(18,4) is exact; a larger quantity's is good to six digits.
+    value = F.coalesce(
+        F.round(quantity.try_cast("decimal(18,4)") * close, 2).cast(MONEY), F.round(quantity * close, 2).cast(MONEY))
     cost = F.round("cost_basis", 2)
     return positions.select(
-        F.concat_ws("|", *[F.coalesce(k, F.lit("")) for k in POSITION_KEY]).alias("position_id"),
+        position_id().alias("position_id"),
         "as_of_date",
         "instrument_id",
         "book_id",

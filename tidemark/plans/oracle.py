@@ -275,8 +275,10 @@ _oracle("silver_prices", f"{_PRICE_COLUMNS} FROM silver_prices", "silver_prices"
 # --- positions --------------------------------------------------------------------------
 
 _SIGNED = "CASE trade_type WHEN 'BUY' THEN quantity WHEN 'SELL' THEN -quantity END"
-_VALUE_COLUMNS = """
-           coalesce(instrument_id, '') || '|' || coalesce(book_id, '') || '|' || coalesce(currency, '') AS position_id, instrument_id, book_id, currency,
+_COST = "CASE trade_type WHEN 'BUY' THEN quantity * price WHEN 'SELL' THEN -(quantity * price) END"
+_PART = r"coalesce(replace(replace({}, '\', '\\'), '|', '\|'), '\N')"
+_VALUE_COLUMNS = f"""
+           {" || '|' || ".join(map(_PART.format, ("instrument_id", "book_id", "currency")))} AS position_id, instrument_id, book_id, currency,
            quantity, round(cost_basis, 2) AS cost_basis, round(quantity * close_price, 2) AS market_value,
            round(quantity * close_price, 2) - round(cost_basis, 2) AS unrealized_pnl"""
 
@@ -290,7 +292,7 @@ _step(
     f"""
     SELECT {_LAST_DAY} AS as_of_date, {_VALUE_COLUMNS}
     FROM (SELECT instrument_id, book_id, currency, sum({_SIGNED}) AS quantity,
-                 sum({_SIGNED} * price) AS cost_basis
+                 sum({_COST}) AS cost_basis
           FROM silver_trades GROUP BY ALL)
     LEFT JOIN last_closes USING (instrument_id)""",
     "silver_trades",
@@ -317,7 +319,7 @@ def _snapshot_steps(frequency: str, period_end: str) -> None:
                    sum(cost_basis) OVER w AS cost_basis
             FROM (SELECT instrument_id, book_id, currency,
                          CAST(date_trunc('{frequency}', trade_date) AS DATE) AS period,
-                         sum({_SIGNED}) AS quantity, sum({_SIGNED} * price) AS cost_basis
+                         sum({_SIGNED}) AS quantity, sum({_COST}) AS cost_basis
                   FROM silver_trades GROUP BY ALL)
             WINDOW w AS (PARTITION BY instrument_id, book_id, currency ORDER BY period)""",
             "instrument_id, book_id, currency",
@@ -478,14 +480,14 @@ _oracle("book_var_summary", _BOOK_SUMMARY, "risk_metrics")
 
 _oracle(
     "instrument_exposure",
-    "SELECT as_of_date, instrument_id, CAST(sum(market_value) AS DOUBLE) AS net_exposure, "
+    "SELECT as_of_date, instrument_id, currency, CAST(sum(market_value) AS DOUBLE) AS net_exposure, "
     "CAST(sum(abs(market_value)) AS DOUBLE) AS gross_exposure, count(*) AS position_count "
     "FROM current_positions GROUP BY ALL",
     "current_positions",
 )
 _oracle(
     "sector_exposure",
-    "SELECT as_of_date, asset_class, sector, CAST(sum(market_value) AS DOUBLE) AS net_exposure, "
+    "SELECT as_of_date, asset_class, sector, currency, CAST(sum(market_value) AS DOUBLE) AS net_exposure, "
     "CAST(sum(abs(market_value)) AS DOUBLE) AS gross_exposure, count(*) AS position_count "
     "FROM snapshots_month LEFT JOIN instruments USING (instrument_id) GROUP BY ALL",
     "snapshots_month",
@@ -494,7 +496,7 @@ _oracle(
 _oracle(
     "counterparty_exposure",
     """
-    SELECT t.counterparty_id, counterparty_name, credit_rating,
+    SELECT t.counterparty_id, t.currency, counterparty_name, credit_rating,
            CAST(round(sum(CASE trade_type WHEN 'BUY' THEN notional_value ELSE -notional_value END), 2) AS DOUBLE)
                AS net_notional,
            CAST(round(sum(notional_value), 2) AS DOUBLE) AS gross_notional, count(*) AS trade_count
@@ -754,7 +756,7 @@ _oracle(
 )
 _oracle(
     "replaced_table",
-    "SELECT price_id, instrument_id, year, month FROM dated_prices WHERE year >= 1998",
+    "SELECT price_id, instrument_id, year, month FROM dated_prices",
     "dated_prices",
 )
 _DEMO_PRICES = "SELECT instrument, round(close, 2) AS close, date FROM demo_prices"

@@ -519,8 +519,8 @@ def replaced_table(t: Tables) -> DataFrame:
     path = scratch_folder(t.spark, "replaced")
     dated = t.raw_prices().withColumns({"year": F.year("price_date"), "month": F.month("price_date")})
     tables.append_partitioned(dated.select("price_id", "year", "month"), path, ["year", "month"])
-    recent = dated.filter("year >= 1998").select("price_id", "instrument_id", "year", "month")
-    tables.replace_partitioned(recent, path, ["year", "month"])
+    wider = dated.select("price_id", "instrument_id", "year", "month")
+    tables.replace_partitioned(wider, path, ["year", "month"])
     return tables.read_table(t.spark, path)
 
 
@@ -569,9 +569,7 @@ def model_tables(t: Tables) -> DataFrame:
     path = scratch_folder(t.spark, "model")
     database = _table_name("model")
     t.spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
-    tables.create_model_tables(
-        t.spark, database, path=path, partitioned=("fct_positions", "fct_risk_metrics")
-    )
+    tables.create_model_tables(t.spark, database, path=path)
     content = {
         "dim_trades": _silver_trades(t),
         "dim_instruments": t.instruments(),

@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from tidemark.llm.chunks import pieces
+from tidemark.llm.chunks import pieces, text_bytes
 from tidemark.llm.common import stored
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 512
-ENCODE_BYTES = 1 << 20  # of text encoded at once
+ENCODE_BYTES = 4 << 20  # of text encoded at once
 MAGIC = b"TMWM1"
 
 
@@ -159,9 +159,53 @@ class WaveletMatrix:
 SHARDS = "part int, shard int, n_documents bigint, n_tokens bigint, lengths array<bigint>, content binary"
 
 
-def encoded_texts(tokenizer: Tokenizer, texts: list[str | None]) -> list[list[int]]:
-    """The ids of each text and the end id. Names of special tokens in a text are ordinary text."""
-    return [[*e.ids, END_ID] for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where a piece of text may be cut off without changing its ids, besides at every text's begin.
+
+    The vocabulary's pattern never matches across a single space between two characters that are no
+    white space, and takes the space with what follows. Characters outside ASCII count only where
+    their first byte rules out white space.
+    """
+    cut = np.zeros(len(data), bool)
+    plain = (data > 32) & (data < 127)
+    lead = (data >= 0xC3) & (data < 0xE0)
+    if len(data) > 2:
+        ends = plain.copy()
+        ends[1:] |= lead[:-1]  # the second of two bytes
+        cut[1:-1] = (data[1:-1] == 32) & ends[:-2] & (plain | lead)[2:]
+    begins = offsets[:-1][np.diff(offsets) > 0]
+    cut[begins] = True
+    after = begins + 1
+    after = after[after < len(data)]
+    cut[after] &= np.isin(after, begins)  # the character before is another text's or unknown
+    return np.flatnonzero(cut)
+
+
+def encoded_texts(tokenizer: Tokenizer, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, each with the end id, offsets between the texts).
+
+    Every distinct word is encoded once. Names of special tokens in a text are ordinary text.
+    """
+    data, offsets = text_bytes(column)
+    begins = word_starts(data, offsets)
+    ends = np.append(begins[1:], len(data))
+    if len(begins):
+        bounds = pa.py_buffer(np.append(begins, ends[-1]).astype(np.int64))
+        words = pa.Array.from_buffers(pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
+        coded = words.dictionary_encode()
+        found = [e.ids for e in tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
+        which = coded.indices.to_numpy()
+    else:
+        found, which = [], np.empty(0, np.int64)
+    sizes = np.array([len(x) for x in found], np.int64)
+    flat = np.fromiter((i for x in found for i in x), np.uint32, sizes.sum())
+    lengths = sizes[which]
+    total = np.cumsum(lengths)
+    step = np.arange(total[-1] if len(total) else 0) - np.repeat(total - lengths, lengths)
+    ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which], lengths) + step]
+    ends_of_text = np.concatenate(([0], total))[np.searchsorted(begins, offsets)]
+    with_end = np.insert(ids, ends_of_text[1:], END_ID)
+    return with_end, ends_of_text + np.arange(len(offsets))
 
 
 def _shard_batches(
@@ -180,11 +224,12 @@ def _shard_batches(
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
     for batch in pieces(batches, limit=ENCODE_BYTES):
-        for i, found in enumerate(encoded_texts(tokenizer, batch.column("text").to_pylist())):
+        every, offsets = encoded_texts(tokenizer, batch.column("text"))
+        for i, found in enumerate(np.split(every, offsets[1:-1])):
             if ids and size + len(found) > tokens:
                 yield closed()
                 ids, keys, size, shard = [], [], 0, shard + 1
-            ids.append(np.array(found, np.uint32))
+            ids.append(found)
             keys.append(batch.column("doc_id").slice(i, 1))
             size += len(found)
     if ids:

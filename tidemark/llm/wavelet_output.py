@@ -98,7 +98,8 @@ class WaveletMatrix:
         block = at // BLOCK_BITS
         inside = np.concatenate((self.planes[level], np.zeros(BLOCK_BITS // 8, np.uint8))).reshape(-1, BLOCK_BITS // 8)[block]
         before = np.arange(BLOCK_BITS) < (at % BLOCK_BITS)[:, None]
-        return self.ranks[level][block].astype(np.int64) + (np.unpackbits(inside, axis=1, bitorder="little") * before).sum(axis=1)
+        ones = np.unpackbits(inside, axis=1, bitorder="little") * before
+        return self.ranks[level][block].astype(np.int64) + ones.sum(axis=1, dtype=np.int64)
 
     def _select(self, level: int, bit: int, k: np.ndarray) -> np.ndarray:
         """Places of the k-th (from 0) ones or zeros."""

@@ -27,16 +27,20 @@ def test_matrix_answers_like_an_array(size, top):
         assert matrix.positions(value).tolist() == np.flatnonzero(ids == value).tolist()
 
 
-def test_words_cut_off_keep_the_ids():
+@pytest.mark.parametrize("held", [5, wo.HELD_WORDS])
+def test_words_cut_off_keep_the_ids(held):
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     rng = np.random.default_rng(3)
-    marks = list(" \n\ta'é 　\u0085 ß世x1!.") + ["<|endoftext|>", " the", " "]
-    texts = ["".join(rng.choice(marks, n)) for n in rng.integers(0, 40, 4000)] + ["", None, " ", "  a", "a "]
-    ids, offsets = wo.encoded_texts(tokenizer, pa.array(texts))
-    for i, text in enumerate(texts):
-        expected = tokenizer.encode(text or "", add_special_tokens=False).ids + [wo.END_ID]
-        assert ids[offsets[i] : offsets[i + 1]].tolist() == expected, repr(text)
+    marks = [*" \n\ta'é　\u0085 ß世x1!.<>", "'s", "n't", " the", " ", *(t.content for t in tokenizer.get_added_tokens_decoder().values())]
+    weight = np.array([1.0 if len(m) < 4 else 0.2 for m in marks])
+    texts = ["".join(rng.choice(marks, n, p=weight / weight.sum())) for n in rng.integers(0, 40, 4000)]
+    texts += ["", None, " ", "  a", "a "]
+    encoder = wo.WordEncoder(tokenizer, held)
+    for part in (texts[:2500], texts[2500:]):
+        ids, offsets = encoder.texts(pa.array(part))
+        for i, text in enumerate(part):
+            expected = tokenizer.encode(text or "", add_special_tokens=False).ids + [wo.END_ID]
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == expected, repr(text)
 
 
 def expected_rows(rows):

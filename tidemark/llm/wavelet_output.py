@@ -20,9 +20,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,8 +40,12 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 512
 ENCODE_BYTES = 4 << 20  # of text encoded at once
+HELD_WORDS = 400_000  # distinct words whose ids a task remembers
 MAGIC = b"TMWM1"
 
+LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+OTHER = (np.arange(256) < 128) & ~LETTER & ~np.isin(np.arange(256), np.arange(48, 58))
+
 
 @dataclass(frozen=True)
 class WaveletMatrix:
@@ -164,8 +170,8 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where a piece of text may be cut off without changing its ids, besides at every text's begin.
 
     The vocabulary's pattern never matches across a single space between two characters that are no
-    white space, and takes the space with what follows. Characters outside ASCII count only where
-    their first byte rules out white space.
+    white space, and takes the space with what follows; nor across a letter before an ASCII mark.
+    Characters outside ASCII count only where their first byte rules out white space.
     """
     cut = np.zeros(len(data), bool)
     plain = (data > 32) & (data < 127)
@@ -179,42 +185,73 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     after = begins + 1
     after = after[after < len(data)]
     cut[after] &= np.isin(after, begins)  # the character before is another text's or unknown
+    cut[1:] |= LETTER[data[:-1]] & OTHER[data[1:]]
     return np.flatnonzero(cut)
 
 
-def encoded_texts(tokenizer: Tokenizer, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, each with the end id, offsets between the texts).
+class WordEncoder:
+    """Encodes every distinct word once, as long as its memory of up to ``held`` words lasts.
 
-    Every distinct word is encoded once. Names of special tokens in a text are ordinary text.
+    The ids are those the tokenizers library gives for the whole text: a text that has the name of
+    an added token in it is not cut into words.
     """
-    data, offsets = text_bytes(column)
-    begins = word_starts(data, offsets)
-    ends = np.append(begins[1:], len(data))
-    if len(begins):
-        bounds = pa.py_buffer(np.append(begins, ends[-1]).astype(np.int64))
-        words = pa.Array.from_buffers(pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
-        coded = words.dictionary_encode()
-        found = [e.ids for e in tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-        which = coded.indices.to_numpy()
-    else:
-        found, which = [], np.empty(0, np.int64)
-    sizes = np.array([len(x) for x in found], np.int64)
-    flat = np.fromiter((i for x in found for i in x), np.uint32, sizes.sum())
-    lengths = sizes[which]
-    total = np.cumsum(lengths)
-    step = np.arange(total[-1] if len(total) else 0) - np.repeat(total - lengths, lengths)
-    ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which], lengths) + step]
-    ends_of_text = np.concatenate(([0], total))[np.searchsorted(begins, offsets)]
-    with_end = np.insert(ids, ends_of_text[1:], END_ID)
-    return with_end, ends_of_text + np.arange(len(offsets))
+
+    def __init__(self, tokenizer: Tokenizer, held: int = HELD_WORDS) -> None:
+        self.tokenizer, self.held = tokenizer, held
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.sizes, self.flat = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the words stand in ``sizes``; unknown ones are encoded."""
+        if len(self.place) > self.held:
+            self._forget()
+        place, known = self.place, len(self.place)
+        at = [place.setdefault(w, len(place)) for w in words]
+        new = list(islice(place, known, None))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
+        self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, flat))
+        return np.array(at, np.int64)
+
+    def _whole(self, column: pa.Array, offsets: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """The begins without those inside texts that name an added token."""
+        named = np.zeros(len(column), bool)
+        for name in self.added:
+            named |= pc.match_substring(column, name).fill_null(False).to_numpy(zero_copy_only=False)
+        if not named.any():
+            return begins
+        text = np.searchsorted(offsets, begins, side="right") - 1
+        return begins[~named[text] | (begins == offsets[text])]
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id, offsets between the texts)."""
+        data, offsets = text_bytes(column)
+        begins = self._whole(column, offsets, word_starts(data, offsets))
+        which = np.empty(0, np.int64)
+        if len(begins):
+            bounds = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
+            words = pa.Array.from_buffers(
+                pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
+            coded = words.dictionary_encode()
+            which = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        lengths = self.sizes[which]
+        total = np.cumsum(lengths)
+        step = np.arange(total[-1] if len(total) else 0) - np.repeat(total - lengths, lengths)
+        ids = self.flat[np.repeat((np.cumsum(self.sizes) - self.sizes)[which], lengths) + step]
+        ends = np.concatenate(([0], total))[np.searchsorted(begins, offsets)]
+        return np.insert(ids, ends[1:], END_ID), ends + np.arange(len(offsets))
 
 
 def _shard_batches(
     batches: Iterator[pa.RecordBatch], tokenizer_file: str, tokens: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
+    encoder = WordEncoder(Tokenizer.from_file(tokenizer_file))
     part, shard = TaskContext.get().partitionId(), 0
     ids, keys, size = [], [], 0
 
@@ -225,7 +262,7 @@ def _shard_batches(
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
     for batch in pieces(batches, limit=ENCODE_BYTES):
-        every, offsets = encoded_texts(tokenizer, batch.column("text"))
+        every, offsets = encoder.texts(batch.column("text"))
         for i, found in enumerate(np.split(every, offsets[1:-1])):
             if ids and size + len(found) > tokens:
                 yield closed()

@@ -70,6 +70,13 @@ def test_bronze_batches(spark, tmp_path):
     assert stored.count() == 10
     assert rows(stored.select("year", "month").distinct()) == [(2024, 1), (2024, 2), (None, None)]
     assert stored.filter("source_file not like 'file:%part.csv'").count() == 0
+    later = TRADES_CSV.splitlines()[0] + "\nt9,2025-05-01,2025-05-03,A,c1,BUY,1,1,USD,,b1,OPEN\n"
+    third = jobs.ingest_trades(spark, landed(tmp_path, "later", later), bronze)
+    assert dict(rows(third))["rows"] == 1
+    plan = third._jdf.queryExecution().executedPlan().toString()
+    assert "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    dateless = TRADES_CSV.splitlines()[0] + "\nt9,soon,2025-05-03,A,c1,BUY,1,1,USD,,b1,OPEN\n"
+    assert dict(rows(jobs.ingest_trades(spark, landed(tmp_path, "dateless", dateless), bronze)))["null_trade_date"] == 1
 
     silver = str(tmp_path / "silver")
     summary = jobs.refine_trades(spark, bronze, silver)
@@ -100,8 +107,15 @@ def test_gold_appends_or_replaces_its_snapshot(spark, tmp_path):
     stored = tables.read_table(spark, gold)
     assert dict(stored.dtypes)["var_95"] == "decimal(18,2)"
     assert rows(stored, "metric_id") == [("p1_var",), ("p2_var",), ("p3_var",)]
-    jobs.publish_risk_metrics(spark, prices, held, gold)
+    # An appended rerun sums up its own rows; a run older than gold returns its own snapshot.
+    assert rows(jobs.publish_risk_metrics(spark, prices, held, gold)) == first
     assert tables.read_table(spark, gold).count() == 5
+    older = str(tmp_path / "older")
+    tables.append_partitioned(snapshot.filter("position_id = 'p1'"), older, ["as_of_date"])
+    assert [r[4] for r in rows(jobs.publish_risk_metrics(spark, prices, older, gold))] == [D(10)]
+    nothing = str(tmp_path / "nothing")
+    tables.overwrite(snapshot.filter("false"), nothing)
+    assert rows(jobs.publish_risk_metrics(spark, prices, nothing, gold, complete=False)) == []
 
 
 def test_gold_with_cvar_and_pnl(spark, tmp_path):
@@ -236,3 +250,5 @@ def test_positions_from_silver_files(spark, tmp_path):
     assert tables.read_table(spark, held).count() == 4
     assert rows(df, "position_id", "quantity", "cost_basis", "market_value") == [
         ("A|b1|USD", D(10), D(55), D(25)), (r"\N|b1|USD", D(-4), D(-24), None)]
+    again = jobs.publish_positions(spark, silver, str(tmp_path / "ps"), held, date(2024, 2, 10))
+    assert tables.read_table(spark, held).count() == 6 and again.count() == 2

@@ -27,10 +27,16 @@ def _ingest(
     fmt: str,
     ingested_at: datetime | None,
 ) -> DataFrame:
+    """Append a batch; its checks open only the months it has dates in, and the one of unreadable dates."""
     batch = ingested_at or datetime.now(timezone.utc)
+    dates = tables.fetch_row(scan.agg(F.min(date_column).alias("first"), F.max(date_column).alias("last")))
     tables.append_partitioned(with_lineage(scan, date_column, batch), path, YEAR_MONTH, fmt)
     landed = tables.read_table(scan.sparkSession, path, fmt)
-    return checks(landed.filter(F.col("ingestion_timestamp") == F.lit(batch)))
+    months = F.col("year").isNull()
+    if dates["first"] is not None:
+        first, last = (12 * dates[d].year + dates[d].month for d in ("first", "last"))
+        months = months | (12 * F.col("year") + F.col("month")).between(first, last)
+    return checks(landed.filter(months & (F.col("ingestion_timestamp") == F.lit(batch))))
 
 
 def ingest_trades(
@@ -84,14 +90,20 @@ def publish_positions(
     rerunnable: bool = False,
     fmt: str = tables.DEFAULT_FORMAT,
 ) -> DataFrame:
-    """Add the snapshot of one date to the position table; returns what was written."""
+    """Add the snapshot of one date to the position table; returns what this run has written."""
     held = positions.snapshot_at(
         tables.read_table(spark, trades, fmt), tables.read_table(spark, prices, fmt), as_of
     )
-    stored = conform(held.withColumn("created_at", F.current_timestamp()), FCT_POSITIONS)
+    return _published(conform(held, FCT_POSITIONS), target, as_of, rerunnable, fmt)
+
+
+def _published(df: DataFrame, target: str, as_of: date | None, rerunnable: bool, fmt: str) -> DataFrame:
+    """Write one snapshot under the run's own time and read the rows of that run back."""
+    run = F.lit(datetime.now(timezone.utc))
     write = tables.replace_touched_partitions if rerunnable else tables.append_partitioned
-    write(stored, target, ["as_of_date"], fmt)
-    return var.latest_snapshot(tables.read_table(spark, target, fmt), as_of)
+    write(df.withColumn("created_at", run), target, ["as_of_date"], fmt)
+    snapshot = var.latest_snapshot(tables.read_table(df.sparkSession, target, fmt), as_of)
+    return snapshot.filter(F.col("created_at") == run)
 
 
 def publish_risk_metrics(
@@ -105,22 +117,23 @@ def publish_risk_metrics(
     complete: bool = False,
     fmt: str = tables.DEFAULT_FORMAT,
 ) -> DataFrame:
-    """Compute VaR for one snapshot and add it to gold; returns the summary per book.
+    """Compute VaR for one snapshot and add it to gold; returns the run's own summary per book.
 
+    The snapshot is the newest of the positions unless ``as_of`` names one, whatever gold holds.
     ``rerunnable`` replaces the snapshot's partition where the default appends to it;
     ``complete`` fills in CVaR and P&L, which are otherwise NULL. Figures are computed as
     doubles and stored in the decimal types of the gold table.
     """
     recent = returns.lookback_returns(tables.read_table(spark, prices, fmt), lookback_days, as_of)
     held = tables.read_table(spark, held_positions, fmt)
+    if as_of is None:
+        as_of = tables.fetch_row(held.agg(F.max("as_of_date").alias("day")))["day"]
+    day = F.lit(as_of).cast("date")
     if complete:
-        day = held.agg(F.max("as_of_date")).scalar() if as_of is None else as_of
         held = pnl.pnl_at(held, day)
-    level = var.position_var(held, var.instrument_var(recent), as_of=as_of)
+    level = var.position_var(held, var.instrument_var(recent), as_of=day)
     metrics = var.complete_risk_metrics(level) if complete else var.risk_metrics(level)
-    write = tables.replace_touched_partitions if rerunnable else tables.append_partitioned
-    write(conform(metrics, FCT_RISK_METRICS), gold, ["as_of_date"], fmt)
-    return var.book_summary(var.latest_snapshot(tables.read_table(spark, gold, fmt), as_of))
+    return var.book_summary(_published(conform(metrics, FCT_RISK_METRICS), gold, as_of, rerunnable, fmt))
 
 
 def ingest_demo_prices(

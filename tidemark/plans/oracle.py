@@ -736,13 +736,14 @@ _step(
     "CAST(round(var_99, 2) AS DECIMAL(18,2)) AS var_99) FROM risk_metrics",
     "risk_metrics",
 )
-_oracle(
-    "publish_risk_metrics_job",
-    "SELECT book_id, count(*) AS position_count, CAST(sum(var_95) AS DOUBLE) AS total_var_95, "
-    "CAST(sum(var_99) AS DOUBLE) AS total_var_99, CAST(sum(market_exposure) AS DOUBLE) AS total_exposure "
-    "FROM stored_metrics GROUP BY book_id",
-    "stored_metrics",
-)
+for _job in ("publish_risk_metrics_job", "appended_risk_metrics_job"):
+    _oracle(
+        _job,
+        "SELECT book_id, count(*) AS position_count, CAST(sum(var_95) AS DOUBLE) AS total_var_95, "
+        "CAST(sum(var_99) AS DOUBLE) AS total_var_99, CAST(sum(market_exposure) AS DOUBLE) AS total_exposure "
+        "FROM stored_metrics GROUP BY book_id",
+        "stored_metrics",
+    )
 _step(
     "dated_prices",
     f"SELECT *, {_YEAR_MONTH.format('price_date')} FROM raw_prices",

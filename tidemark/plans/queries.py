@@ -499,6 +499,17 @@ def publish_risk_metrics_job(t: Tables) -> DataFrame:
     return _rounded(df, 2, "total_var_95", "total_var_99", "total_exposure")
 
 
+@query
+def appended_risk_metrics_job(t: Tables) -> DataFrame:
+    """Gold written twice by appending: the second run returns its own rows, not the sum of both."""
+    prices, gold = scratch_folder(t.spark, "prices"), scratch_folder(t.spark, "gold")
+    tables.overwrite(t.daily_prices(), prices)
+    held = _published_positions(t)
+    jobs.publish_risk_metrics(t.spark, prices, held, gold)
+    df = jobs.publish_risk_metrics(t.spark, prices, held, gold)
+    return _rounded(df, 2, "total_var_95", "total_var_99", "total_exposure")
+
+
 @query
 def appended_partitions(t: Tables) -> DataFrame:
     """Two appends and a replacement: row counts per partition of a year/month table."""

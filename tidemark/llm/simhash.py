@@ -43,14 +43,14 @@ EVEN_BITS = 0x5555555555555555
 # --- fingerprints -------------------------------------------------------------------------------
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
+def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: lower-cases A-Z only
     if not words:
         return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    n = max(1, len(words) - SHINGLE + 1)
+    n = max(1, len(words) - width + 1)
     digest = xxhash.xxh64_intdigest
     last = ends[-n:].tolist()
     return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last)), np.uint64, n)
@@ -283,13 +283,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id, in the columns of ``docs``.
 
-    Of repeated rows with that id the first by text stays. Rows without an id belong to no group
-    and all stay.
+    Near-duplicates here are texts whose five-word shingles have a Jaccard similarity of at least
+    0.8, and what such pairs connect (see ``jaccard``); the distance of ``near_duplicates`` is not
+    used. Of repeated rows with that id the first by text stays. Rows without an id belong to no
+    group and all stay.
     """
+    from tidemark.llm import jaccard  # imports this module
+
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    gone = near_duplicates(docs.where("doc_id IS NOT NULL")).where("doc_id != component_id").select("doc_id").distinct()
-    first = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())).orderBy(
-        "text", *others)
-    rank = "__rank__"
-    return docs.join(gone, "doc_id", "left_anti").withColumn(rank, F.row_number().over(first)).where(
-        F.col(rank) == 1).drop(rank).select(*docs.columns)
+    node, root, rank = "__node__", "__root__", "__rank__"
+
+    def first(rows: DataFrame, group: str) -> DataFrame:
+        order = W.partitionBy(group).orderBy("doc_id", "text", *others)
+        return rows.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+
+    marked = jaccard.with_node(docs.where("doc_id IS NOT NULL"), node)
+    one = stored(first(marked, node), "jaccard-texts")
+    roots = jaccard.connected(one.select(F.col(node).alias("node"), "text"))
+    roots = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    rooted = one.join(roots, node, "left").withColumn(root, F.coalesce(root, node))
+    return first(rooted, root).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

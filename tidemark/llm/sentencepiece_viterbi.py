@@ -1,15 +1,18 @@
-"""SentencePiece encoding by a batched Viterbi search, and decoding.
+"""SentencePiece encoding, by the model's merges or by a Viterbi search, both batched, and decoding.
 
 A text is normalised as the model asks (a leading space, spaces as U+2581) and cut where no piece
 can lie across: before a space mark that follows another character, and around characters in no
 piece. Of the words of a batch each distinct one is encoded once. Words of equal length are rows of
-one matrix and advance together: the hash of every substring up to the longest piece comes from
-prefix hashes, is looked up among the sorted hashes of the pieces, and the best score and the length
-of the piece that gave it are kept per end. Going back along these lengths gives the pieces.
+one matrix and advance together; the hash of a substring comes from prefix hashes and is looked up
+among the sorted hashes of the pieces.
 
-The result is the segmentation with the highest sum of piece scores (at equal sums the longer last
-piece), as the model format's unigram reading has it. For a model file of merges, whose scores are
-ranks, that is not the order in which the merges would be applied; see the README.
+``merges`` is for a model file of merges, whose scores are ranks, and gives the library's own ids:
+from single characters on, each word's best-scored neighbours whose join is a piece become one, the
+leftmost of equal ones first. A long word takes its merges from a heap. The queries use it.
+
+``viterbi`` is for unigram scores: the segmentation with the highest sum (at equal sums the longer
+last piece). The best score and the length of the piece that gave it are kept per end; going back
+along these lengths gives the pieces. On a model of merges its ids are not the library's.
 
 Characters without a piece become the byte pieces of their UTF-8 form. Decoding gives back the
 text, save that U+2581 in a text comes back as a space.
@@ -20,8 +23,9 @@ encoded alike; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +41,7 @@ TABLE_BITS = 20
 UNKNOWN = -1
 UNKNOWN_PENALTY = 10.0
 CHUNK_BYTES = 8 << 20
+LONG_WORD = 48  # characters from which a word's merges are taken from a heap
 
 
 def _hashes(matrix: np.ndarray) -> np.ndarray:
@@ -66,6 +71,7 @@ class Pieces:
     byte_ids: np.ndarray
     raw: np.ndarray  # all ids' bytes
     raw_offsets: np.ndarray
+    score_of: dict[str, float]
 
 
 def load_pieces(path: str) -> Pieces:
@@ -100,7 +106,8 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(
         keys, ids.astype(np.int32), scores, table, max(by_length), float(scores.min()) - UNKNOWN_PENALTY, in_pieces,
         any(mark in names[i].lstrip(mark) for i in ids), byte_ids,
-        np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+        np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))),
+        {names[i]: float(score) for i, score in zip(ids, scores)})
 
 
 def _look_up(model: Pieces, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +118,11 @@ def _look_up(model: Pieces, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows[right], entry[right]
 
 
+def _powers(longest: int) -> np.ndarray:
+    """BASE to the power of each length up to the longest."""
+    return np.append(np.uint64(1), np.cumprod(np.full(longest, BASE)))
+
+
 def viterbi(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of equally long words, one word a row: (ids from the last piece on, how many)."""
     n, size = words.shape
@@ -119,9 +131,7 @@ def viterbi(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     best[0] = 0
     back = np.ones((size + 1, n), np.int32)
     piece = np.full((size + 1, n), UNKNOWN, np.int32)
-    power = np.ones(model.longest + 1, np.uint64)
-    for k in range(1, model.longest + 1):
-        power[k] = power[k - 1] * BASE
+    power = _powers(model.longest)
     for end in range(1, size + 1):
         for k in range(min(end, model.longest), 0, -1):
             rows, entry = _look_up(model, prefix[:, end] - prefix[:, end - k] * power[k])
@@ -146,9 +156,86 @@ def viterbi(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, count
 
 
-def _encode_words(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _merged_long(model: Pieces, word: np.ndarray) -> list[int]:
+    """Where the pieces of one word end that begin at each place, 0 where none begins."""
+    text, size = word.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), len(word)
+    after, before, waiting = list(range(1, size + 1)), list(range(-1, size)), []
+
+    def wait(left: int) -> None:
+        middle = after[left]
+        if middle < size:
+            end = after[middle]
+            score = model.score_of.get(text[left:end]) if end - left <= model.longest else None
+            if score is not None:
+                heapq.heappush(waiting, (-score, left, middle, end))
+
+    for left in range(size - 1):
+        wait(left)
+    while waiting:
+        _, left, middle, end = heapq.heappop(waiting)
+        if after[left] == middle and after[middle] == end:  # both still stand as they were
+            after[left], after[middle], before[end] = end, 0, left
+            wait(left)
+            if before[left] >= 0:
+                wait(before[left])
+    return after
+
+
+def merges(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of equally long words as merging in rank order gives them, in the form of ``viterbi``."""
+    n, size = words.shape
+    prefix, power = _hashes(words), _powers(model.longest)
+    if size > LONG_WORD:
+        after = np.array([_merged_long(model, w) for w in words]).reshape(n, size)
+    else:
+        after = np.tile(np.arange(1, size + 1), (n, 1))  # where the piece from each place ends, 0 inside a piece
+        before = np.tile(np.arange(-1, size), (n, 1))  # where the piece before each place begins
+        score = np.full((n, size), -np.inf)
+
+        def rate(rows: np.ndarray, left: np.ndarray) -> None:
+            middle = after[rows, left]
+            end = after[rows, np.minimum(middle, size - 1)]
+            length = end - left
+            fits = np.flatnonzero((middle < size) & (length <= model.longest))
+            score[rows, left] = -np.inf
+            rows, left, length, end = rows[fits], left[fits], length[fits], end[fits]
+            found, entry = _look_up(model, prefix[rows, end] - prefix[rows, left] * power[length])
+            score[rows[found], left[found]] = model.scores[entry]
+
+        rows = np.arange(n)
+        for left in range(size - 1):
+            rate(rows, np.full(n, left))
+        while len(rows):
+            left = score[rows].argmax(axis=1)
+            going = score[rows, left] > -np.inf
+            rows, left = rows[going], left[going]
+            middle = after[rows, left]
+            end = after[rows, middle]
+            after[rows, left], after[rows, middle], before[rows, end] = end, 0, left
+            score[rows, middle] = -np.inf
+            rate(rows, left)
+            first = before[rows, left]
+            inner = first >= 0
+            rate(rows[inner], first[inner])
+    begins = after > 0
+    count = begins.sum(axis=1)
+    rows, left = np.nonzero(begins)
+    end = after[rows, left]
+    ids = np.full(len(rows), UNKNOWN, np.int32)
+    short = np.flatnonzero(end - left <= model.longest)
+    found, entry = _look_up(model, prefix[rows, end][short] - prefix[rows, left][short] * power[(end - left)[short]])
+    ids[short[found]] = model.ids[entry]
+    out = np.full((n, size), UNKNOWN, np.int32)
+    out[rows, count[rows] - np.cumsum(begins, axis=1)[rows, left]] = ids
+    return out, count
+
+
+Cut = Callable[[Pieces, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def _encode_words(model: Pieces, words: np.ndarray, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
     """(all ids one word after the other, how many each) of equally long words."""
-    out, count = viterbi(model, words)
+    out, count = cut(model, words)
     column = count[:, None] - 1 - np.arange(out.shape[1])
     filled = column >= 0
     ids = np.take_along_axis(out, np.maximum(column, 0), axis=1)
@@ -181,7 +268,7 @@ def _gather(values: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.n
     return values[np.repeat(begins, lengths) + step]
 
 
-def encode_texts(model: Pieces, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(model: Pieces, texts: list[str | None], cut: Cut = viterbi) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets between the texts)."""
     mark = chr(MARK)
     marked = [mark + t.replace(" ", mark) if t else "" for t in texts]
@@ -207,7 +294,7 @@ def encode_texts(model: Pieces, texts: list[str | None]) -> tuple[np.ndarray, np
         if not same.all():  # words that share a hash with another are taken one by one
             sample = np.concatenate((sample, np.flatnonzero(~same)))
             inverse[~same] = np.arange(len(sample) - (~same).sum(), len(sample))
-        ids, count = _encode_words(model, words[sample])
+        ids, count = _encode_words(model, words[sample], cut)
         begin = held + np.cumsum(count) - count
         found_ids.append(ids)
         held += len(ids)
@@ -231,18 +318,20 @@ def decode_ids(model: Pieces, ids: np.ndarray, offsets: np.ndarray) -> list[str]
 # --- on DataFrames ------------------------------------------------------------------------------
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], model: Pieces) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, np.ndarray]]:
+def _encoded(
+    batches: Iterator[pa.RecordBatch], model: Pieces, cut: Cut
+) -> Iterator[tuple[pa.RecordBatch, list, np.ndarray, np.ndarray]]:
     for batch in pieces(batches, limit=CHUNK_BYTES):
         texts = batch.column("text").to_pylist()
-        yield batch, texts, *encode_texts(model, texts)
+        yield batch, texts, *encode_texts(model, texts, cut)
 
 
-def encode(docs: DataFrame, model_file: str) -> DataFrame:
-    """(doc_id, n_pieces, ids): one row per document. ``model_file`` is a path."""
+def encode(docs: DataFrame, model_file: str, cut: Cut = viterbi) -> DataFrame:
+    """(doc_id, n_pieces, ids): one row per document. ``model_file`` is a path; one of merges needs ``cut=merges``."""
     model = load_pieces(model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, ids, offsets in _encoded(batches, model):
+        for batch, _, ids, offsets in _encoded(batches, model, cut):
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(offsets)), lists], ["doc_id", "n_pieces", "ids"])
@@ -267,12 +356,12 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
+def round_trip(docs: DataFrame, model_file: str, cut: Cut = viterbi) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, restored): encoded, decoded and compared with the text."""
     model = load_pieces(model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts, ids, offsets in _encoded(batches, model):
+        for batch, texts, ids, offsets in _encoded(batches, model, cut):
             raw = ids.astype("<u4").tobytes()
             sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             back = decode_ids(model, ids, offsets)

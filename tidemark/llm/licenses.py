@@ -32,8 +32,9 @@ BASE = {
     "mit license": "mit",
 }
 
-# Label, keywords, identifier words, name. In a name each word is a regular expression; a word that
-# ends in "?" may be missing. Written in order: the more particular before the more general.
+# Label, keyword, identifier words, name. Every text that a name matches holds its keyword, so a name that
+# can spell it in two ways is written once for each. In a name each word is a regular expression; a word
+# that ends in "?" may be missing. Written in order: the more particular before the more general.
 NAMES = (
     ("agpl-3.0", "affero", "agpl 3 0", "gnu affero general public license version? (v?3)? 0?"),
     ("agpl-1.0", "affero", "agpl 1 0", "affero general public license version 1 0?"),
@@ -100,17 +101,28 @@ NAMES = (
     ("odc-by-1.0", "odc", "odc by 1 0", "odc attribution license version? (v?1)? 0?"),
     ("pddl-1.0", "dedication", "pddl 1 0", "public domain dedication and license version? (v?1)? 0?"),
     ("cc0-1.0", "cc0", "cc0 1 0", "cc0 1? 0? universal?"),
-    ("cc-by-nc-nd-4.0", "nd", "cc by nc nd 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) (nd|noderivatives) version? v?4 0"),
-    ("cc-by-nc-nd", "nd", "cc by nc nd", "creative? (cc|commons) (by|attribution) (nc|noncommercial) (nd|noderivatives)"),
-    ("cc-by-nc-sa-4.0", "sa", "cc by nc sa 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) (sa|sharealike) version? v?4 0"),
-    ("cc-by-nc-sa", "sa", "cc by nc sa", "creative? (cc|commons) (by|attribution) (nc|noncommercial) (sa|sharealike)"),
-    ("cc-by-nc-4.0", "nc", "cc by nc 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) version? v?4 0"),
-    ("cc-by-nc", "nc", "cc by nc", "creative? (cc|commons) (by|attribution) (nc|noncommercial)"),
-    ("cc-by-sa-4.0", "sa", "cc by sa 4 0", "creative? (cc|commons) (by|attribution) (sa|sharealike) version? v?4 0"),
-    ("cc-by-sa-3.0", "sa", "cc by sa 3 0", "creative? (cc|commons) (by|attribution) (sa|sharealike) version? v?3 0"),
-    ("cc-by-sa", "sa", "cc by sa", "creative? (cc|commons) (by|attribution) (sa|sharealike)"),
-    ("cc-by-nd-4.0", "nd", "cc by nd 4 0", "creative? (cc|commons) (by|attribution) (nd|noderivatives) version? v?4 0"),
-    ("cc-by-nd", "nd", "cc by nd", "creative? (cc|commons) (by|attribution) (nd|noderivatives)"),
+    ("cc-by-nc-nd-4.0", "nd", "cc by nc nd 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) nd version? v?4 0"),
+    ("cc-by-nc-nd-4.0", "noderivatives", "cc by nc nd 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) noderivatives version? v?4 0"),
+    ("cc-by-nc-nd", "nd", "cc by nc nd", "creative? (cc|commons) (by|attribution) (nc|noncommercial) nd"),
+    ("cc-by-nc-nd", "noderivatives", "cc by nc nd", "creative? (cc|commons) (by|attribution) (nc|noncommercial) noderivatives"),
+    ("cc-by-nc-sa-4.0", "sa", "cc by nc sa 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) sa version? v?4 0"),
+    ("cc-by-nc-sa-4.0", "sharealike", "cc by nc sa 4 0", "creative? (cc|commons) (by|attribution) (nc|noncommercial) sharealike version? v?4 0"),
+    ("cc-by-nc-sa", "sa", "cc by nc sa", "creative? (cc|commons) (by|attribution) (nc|noncommercial) sa"),
+    ("cc-by-nc-sa", "sharealike", "cc by nc sa", "creative? (cc|commons) (by|attribution) (nc|noncommercial) sharealike"),
+    ("cc-by-nc-4.0", "nc", "cc by nc 4 0", "creative? (cc|commons) (by|attribution) nc version? v?4 0"),
+    ("cc-by-nc-4.0", "noncommercial", "cc by nc 4 0", "creative? (cc|commons) (by|attribution) noncommercial version? v?4 0"),
+    ("cc-by-nc", "nc", "cc by nc", "creative? (cc|commons) (by|attribution) nc"),
+    ("cc-by-nc", "noncommercial", "cc by nc", "creative? (cc|commons) (by|attribution) noncommercial"),
+    ("cc-by-sa-4.0", "sa", "cc by sa 4 0", "creative? (cc|commons) (by|attribution) sa version? v?4 0"),
+    ("cc-by-sa-4.0", "sharealike", "cc by sa 4 0", "creative? (cc|commons) (by|attribution) sharealike version? v?4 0"),
+    ("cc-by-sa-3.0", "sa", "cc by sa 3 0", "creative? (cc|commons) (by|attribution) sa version? v?3 0"),
+    ("cc-by-sa-3.0", "sharealike", "cc by sa 3 0", "creative? (cc|commons) (by|attribution) sharealike version? v?3 0"),
+    ("cc-by-sa", "sa", "cc by sa", "creative? (cc|commons) (by|attribution) sa"),
+    ("cc-by-sa", "sharealike", "cc by sa", "creative? (cc|commons) (by|attribution) sharealike"),
+    ("cc-by-nd-4.0", "nd", "cc by nd 4 0", "creative? (cc|commons) (by|attribution) nd version? v?4 0"),
+    ("cc-by-nd-4.0", "noderivatives", "cc by nd 4 0", "creative? (cc|commons) (by|attribution) noderivatives version? v?4 0"),
+    ("cc-by-nd", "nd", "cc by nd", "creative? (cc|commons) (by|attribution) nd"),
+    ("cc-by-nd", "noderivatives", "cc by nd", "creative? (cc|commons) (by|attribution) noderivatives"),
     ("cc-by-4.0", "by", "cc by 4 0", "cc by version? v?4 0"),
     ("cc-by-3.0", "by", "cc by 3 0", "cc by version? v?3 0"),
     ("cc-by-2.0", "by", "cc by 2 0", "cc by version? v?2 0"),
@@ -158,7 +170,7 @@ def signature_rules() -> list[Rule]:
         add(label, NAME_PRIORITY, [keyword], name)
     for label, keyword, _, name in NAMES:
         add(label, GRANT_PRIORITY, [keyword, "under"], f"{GRANT} {name}")
-    for label, _, identifier, _ in NAMES:
+    for label, identifier in dict.fromkeys((n[0], n[2]) for n in NAMES):
         add(label, IDENTIFIER_PRIORITY, ["spdx", identifier.split()[0]], f"spdx license identifier {identifier}")
     return rules
 

@@ -293,13 +293,13 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     node, root, rank = "__node__", "__root__", "__rank__"
 
-    def first(rows: DataFrame, group: str) -> DataFrame:
-        order = W.partitionBy(group).orderBy("doc_id", "text", *others)
-        return rows.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    def ranked(rows: DataFrame, group: str) -> DataFrame:
+        return rows.withColumn(rank, F.row_number().over(W.partitionBy(group).orderBy("doc_id", "text", *others)))
 
     marked = jaccard.with_node(docs.where("doc_id IS NOT NULL"), node)
-    one = stored(first(marked, node), "jaccard-texts")
-    roots = jaccard.connected(one.select(F.col(node).alias("node"), "text"))
-    roots = roots.select(F.col("node").alias(node), F.col("root").alias(root))
-    rooted = one.join(roots, node, "left").withColumn(root, F.coalesce(root, node))
-    return first(rooted, root).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    one = stored(ranked(marked, node).where(F.col(rank) == 1).drop(rank), "jaccard-texts")
+    tied = jaccard.connected(one.select(F.col(node).alias("node"), "text"))
+    both = tied.union(tied.select("root", "root")).distinct()
+    both = stored(both.select(F.col("node").alias(node), F.col("root").alias(root)), "jaccard-tied")
+    gone = stored(ranked(one.join(both, node), root).where(F.col(rank) > 1).select(node), "jaccard-gone")
+    return one.join(gone, node, "left_anti").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -45,6 +45,10 @@ def symbols(text: Column) -> Column:
     return F.length(text) - F.length(without(text, SYMBOLS))
 
 
+def has_word(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
 def line_fails(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules for a line that has a word."""
     return (
@@ -79,7 +83,7 @@ def judged_documents(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
                 lambda i: F.xxhash64(*(F.get(F.col("words"), i + k) for k in range(WINDOW))),
             ),
         ).otherwise(F.array().cast("array<bigint>")).alias("grams"),
-        F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
+        F.filter(F.split("text", "\n", -1), has_word).alias("lines"),
     )
     # Sorting (hash, position) brings equal windows together; the positions of those with an equal
     # neighbour, sorted again, cover WINDOW words each, less where the next one begins earlier.
@@ -118,8 +122,9 @@ def judged_documents(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
         base_failed.alias("base_failed"),
         F.size("failed_lines").cast("long").alias("n_failed_lines"),
         kept_chars.cast("long").alias("kept_chars"),
-        F.when(F.size("failed_lines") == 0, F.array_join("lines", "\n"))
-        .otherwise(F.array_join(F.filter("lines", lambda x: ~line_fails(x)), "\n")).alias("clean_text"),
+        F.when(F.size("failed_lines") == 0, F.col("text"))
+        .otherwise(F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~(has_word(x) & line_fails(x))), "\n"))
+        .alias("clean_text"),
         (~base_failed & (kept_chars * 100 >= F.col("word_chars") * MIN_KEPT_PERCENT)).alias("kept"),
     )
     # A generator, since a filter on the result would otherwise be pushed down through all these
@@ -128,7 +133,10 @@ def judged_documents(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
 
 
 def cleaned_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, in their own columns, with the failed lines taken out of the text."""
+    """The documents that stay, in their own columns, with only the failed lines taken out of the text.
+
+    Blank lines stay, and a text without a failed line comes back as it is.
+    """
     clean = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
     return (
         judged_documents(docs, carried=docs.columns)

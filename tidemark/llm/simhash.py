@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.joins import lookup_join
 from tidemark.llm.common import stored
@@ -267,39 +268,49 @@ def components(links: DataFrame, keep: str = "simhash-links") -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _of_print(nodes: DataFrame) -> DataFrame:
+    """(print, first_id, root) of distinct fingerprints (print, first_id); a root stands for its component."""
+    roots = components(fingerprint_links(nodes))
+    return nodes.join(roots, nodes["print"] == roots["node"], "left").select(
+        "print", "first_id", F.coalesce("root", "print").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per document."""
     marked = stored(fingerprints(docs), "simhash-prints")
     nodes = stored(marked.groupBy("print").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    roots = components(fingerprint_links(nodes))
-    rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
-        "print", "first_id", F.coalesce("root", "print").alias("root"))
+    rooted = _of_print(nodes)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_print = stored(lookup_join(rooted, smallest, "root").select("print", "component_id"), "simhash-components")
     return lookup_join(marked, of_print, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id, in the columns of ``docs``.
+def _with_print(docs: DataFrame, name: str) -> DataFrame:
+    """The documents in their own columns, and their fingerprint in one more."""
 
-    Near-duplicates here are texts whose five-word shingles have a Jaccard similarity of at least
-    0.8, and what such pairs connect (see ``jaccard``); the distance of ``near_duplicates`` is not
-    used. Of repeated rows with that id the first by text stays. Rows without an id belong to no
-    group and all stay.
-    """
-    from tidemark.llm import jaccard  # imports this module
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(shingle_hashes(x.as_py())) for x in batch.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], [*batch.schema.names, name])
 
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    node, root, rank = "__node__", "__root__", "__rank__"
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
-    def ranked(rows: DataFrame, group: str) -> DataFrame:
-        return rows.withColumn(rank, F.row_number().over(W.partitionBy(group).orderBy("doc_id", "text", *others)))
 
-    marked = jaccard.with_node(docs.where("doc_id IS NOT NULL"), node)
-    one = stored(ranked(marked, node).where(F.col(rank) == 1).drop(rank), "jaccard-texts")
-    tied = jaccard.connected(one.select(F.col(node).alias("node"), "text"))
-    both = tied.union(tied.select("root", "root")).distinct()
-    both = stored(both.select(F.col("node").alias(node), F.col("root").alias(root)), "jaccard-tied")
-    gone = stored(ranked(one.join(both, node), root).where(F.col(rank) > 1).select(node), "jaccard-gone")
-    return one.join(gone, node, "left_anti").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """Of each component of ``near_duplicates`` one document, in the columns of ``docs``.
+
+    It is the one with the smallest id; of several rows with that id the one with the smallest
+    fingerprint, then the first by text and the other columns. Rows are chosen, not ids: a text that
+    nothing resembles stays, whatever other text repeats its id. Rows without an id belong to no
+    component and all stay.
+    """
+    mark, rank = "__print__", "__rank__"
+    marked = stored(_with_print(docs.where("doc_id IS NOT NULL"), mark), "simhash-documents")
+    nodes = stored(marked.groupBy(F.col(mark).alias("print")).agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+    first = F.min(F.struct("first_id", "print"))["print"]
+    stay = stored(_of_print(nodes).groupBy("root").agg(first.alias(mark)).select(mark), "simhash-stay")
+    order = ["doc_id", "text", *(F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text"))]
+    # The rank limit applies before the shuffle too: a task sends one copy of a text, however many it holds.
+    one = marked.withColumn(rank, F.row_number().over(W.partitionBy(mark).orderBy(*order))).where(F.col(rank) == 1)
+    return one.join(stay, mark, "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    conversation_trie,
     decontamination,
     licenses,
     line_rules,
@@ -65,6 +66,11 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.numbered_turns(table(spark, folder, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt_conversations(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_token_counts": op2_token_counts,
@@ -76,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
 }

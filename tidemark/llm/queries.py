@@ -16,6 +16,7 @@ from tidemark.llm import (
     sentencepiece_viterbi,
     sharding,
     simhash,
+    token_alignment,
     token_counts,
     url_reputation,
     wavelet_output,
@@ -71,6 +72,11 @@ def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame
     return conversation_trie.prefix_trie(*conversation_trie.rebuilt_conversations(turns))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.aligned_documents(table(spark, folder, "documents"), *files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_token_counts": op2_token_counts,
@@ -83,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
 }

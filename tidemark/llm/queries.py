@@ -19,6 +19,7 @@ from tidemark.llm import (
     token_alignment,
     token_counts,
     url_reputation,
+    vector_graph,
     wavelet_output,
 )
 from tidemark.llm.common import table
@@ -77,6 +78,11 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFram
     return token_alignment.aligned_documents(table(spark, folder, "documents"), *files)
 
 
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return vector_graph.nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_token_counts": op2_token_counts,
@@ -90,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }

@@ -1,5 +1,6 @@
 """SentencePiece ids of the query and of the pipeline's stage against the library's own encoder."""
 
+import random
 import zlib
 
 import numpy as np
@@ -20,6 +21,7 @@ def test_ids_are_the_librarys(spark):
     docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string")
     found = corpus_pipeline.sentencepiece(spark, docs, "").collect()
     assert {r.doc_id: list(r.ids) for r in found} == {i: library.encode(t or "") for i, t in enumerate(ODD)}
+    assert {r.doc_id: r.text for r in found} == {i: (t or "").replace("▁", " ") for i, t in enumerate(ODD)}
 
 
 def test_query_on_documents(spark):
@@ -42,3 +44,36 @@ def test_heap_and_matrix_agree(monkeypatch):
     monkeypatch.setattr(sentencepiece_viterbi, "LONG_WORD", 0)
     again, _ = sentencepiece_viterbi.encode_texts(model, texts, sentencepiece_viterbi.merges)
     assert ids.tolist() == again.tolist()
+
+
+def test_the_search_gives_the_merges(monkeypatch):
+    """Words of the documents, glued ones, and odd runs: the batched search, the lone one and the merges agree."""
+    model = sentencepiece_viterbi.load_pieces(MODEL)
+    rng = random.Random(4)
+    names = [n for n in model.names if "<" not in n]
+    texts = ["".join(rng.choices(names, k=rng.randint(1, 6))).replace("▁", "") for _ in range(3000)]
+    texts += ["".join(rng.choices("ab_1.é", k=rng.randint(1, 60))) for _ in range(1000)] + [t for t in ODD if t]
+    found, _ = sentencepiece_viterbi.encode_texts(model, texts, sentencepiece_viterbi.ranked_viterbi)
+    expected, _ = sentencepiece_viterbi.encode_texts(model, texts, sentencepiece_viterbi.merges)
+    assert found.tolist() == expected.tolist()
+    monkeypatch.setattr(sentencepiece_viterbi, "LONG_WORD", 0)
+    again, _ = sentencepiece_viterbi.encode_texts(model, texts[::7], sentencepiece_viterbi.ranked_viterbi)
+    expected, _ = sentencepiece_viterbi.encode_texts(model, texts[::7], sentencepiece_viterbi.merges)
+    assert again.tolist() == expected.tolist()
+
+
+def test_forgotten_steps_are_found_again(monkeypatch):
+    monkeypatch.setattr(sentencepiece_viterbi, "HELD_STEPS", 3)
+    model = sentencepiece_viterbi.load_pieces(MODEL)
+    found, offsets = sentencepiece_viterbi.encode_texts(model, ODD, sentencepiece_viterbi.ranked_viterbi)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert [found[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library.encode(t or "") for t in ODD]
+
+
+def test_odd_tables(spark):
+    rows = [(1, "one two", 5, "x"), (1, "one two", 5, "x"), (None, None, 5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_pieces int, ids string")
+    cut = sentencepiece_viterbi.ranked_viterbi
+    found = sorted((r.doc_id or 0, r.n_pieces, r.text) for r in sentencepiece_viterbi.encode_and_decode(docs, MODEL, cut).collect())
+    assert found[0] == (0, 0, "") and found[1] == found[2] and found[1][2] == "one two"
+    assert sentencepiece_viterbi.encode_and_decode(docs.where("doc_id > 9"), MODEL, cut).collect() == []

@@ -41,7 +41,7 @@ def op3_wavelet_output(spark: SparkSession, folder: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model_file = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, folder, "documents")
-    return sentencepiece_viterbi.round_trip(docs, model_file, sentencepiece_viterbi.merges)
+    return sentencepiece_viterbi.round_trip(docs, model_file, sentencepiece_viterbi.ranked_viterbi)
 
 
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:

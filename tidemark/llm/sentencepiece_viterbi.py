@@ -1,18 +1,25 @@
-"""SentencePiece encoding, by the model's merges or by a Viterbi search, both batched, and decoding.
+"""SentencePiece encoding by a batched Viterbi search, and decoding.
 
 A text is normalised as the model asks (a leading space, spaces as U+2581) and cut where no piece
 can lie across: before a space mark that follows another character, and around characters in no
 piece. Of the words of a batch each distinct one is encoded once. Words of equal length are rows of
 one matrix and advance together; the hash of a substring comes from prefix hashes and is looked up
-among the sorted hashes of the pieces.
-
-``merges`` is for a model file of merges, whose scores are ranks, and gives the library's own ids:
-from single characters on, each word's best-scored neighbours whose join is a piece become one, the
-leftmost of equal ones first. A long word takes its merges from a heap. The queries use it.
+among the sorted hashes of the pieces. The best score and the length of the piece that gave it are
+kept per end; going back along these lengths gives the pieces.
 
 ``viterbi`` is for unigram scores: the segmentation with the highest sum (at equal sums the longer
-last piece). The best score and the length of the piece that gave it are kept per end; going back
-along these lengths gives the pieces. On a model of merges its ids are not the library's.
+last piece).
+
+``ranked_viterbi`` is for a model file of merges, whose scores are ranks, and gives the library's own
+ids. Merging in rank order can end in a row of pieces only if merging the text of each piece gives
+that piece, and merging the text of each two neighbours gives these two. Every other step has score
+minus infinity. Whether two pieces may follow each other is tested once, by merging their text
+(``merges``), and remembered; at every end of a word one admissible piece is left. A word longer than
+LONG_WORD advances alone, by the same rule. The queries use it.
+
+``merges`` takes the merges one by one: each word's best-scored neighbours whose join is a piece become
+one, the leftmost of equal ones first, a long word's from a heap. It decides the steps and is what
+the search is tested against.
 
 Characters without a piece become the byte pieces of their UTF-8 form. Decoding gives back the
 text, save that U+2581 in a text comes back as a space.
@@ -26,7 +33,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +48,8 @@ TABLE_BITS = 20
 UNKNOWN = -1
 UNKNOWN_PENALTY = 10.0
 CHUNK_BYTES = 8 << 20
-LONG_WORD = 48  # characters from which a word's merges are taken from a heap
+LONG_WORD = 48  # characters from which a word advances alone, and its merges are taken from a heap
+HELD_STEPS = 4_000_000  # pairs of pieces a task remembers
 
 
 def _hashes(matrix: np.ndarray) -> np.ndarray:
@@ -56,6 +64,27 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
+class Steps:
+    """Which pieces may follow which: sorted pairs of ids (left << 32 | right), and whether they fit."""
+
+    def __init__(self) -> None:
+        self.keys, self.fit = np.empty(0, np.int64), np.empty(0, bool)
+
+    def find(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each pair is known, whether it fits)."""
+        if not len(self.keys):
+            return np.zeros(len(pairs), bool), np.zeros(len(pairs), bool)
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        return self.keys[at] == pairs, self.fit[at]
+
+    def learn(self, pairs: np.ndarray, fit: np.ndarray) -> None:
+        if len(self.keys) > HELD_STEPS:
+            self.keys, self.fit = np.empty(0, np.int64), np.empty(0, bool)
+        keys = np.concatenate((self.keys, pairs))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.fit = keys[order], np.concatenate((self.fit, fit))[order]
+
+
 @dataclass(frozen=True)
 class Pieces:
     """A model's pieces: sorted hashes with ids and scores, and what each id decodes to."""
@@ -72,6 +101,11 @@ class Pieces:
     raw: np.ndarray  # all ids' bytes
     raw_offsets: np.ndarray
     score_of: dict[str, float]
+    id_of: dict[str, int]
+    names: list[str]
+    made: np.ndarray = field(default_factory=lambda: np.empty(0, bool))  # by id: whether merging gives it
+    alone: np.ndarray = field(default_factory=lambda: np.empty(0, bool))  # by code point: whether it is a piece
+    steps: Steps = field(default_factory=Steps)
 
 
 def load_pieces(path: str) -> Pieces:
@@ -103,11 +137,18 @@ def load_pieces(path: str) -> Pieces:
     in_pieces = np.zeros(0x110000, bool)
     in_pieces[np.unique(np.concatenate([_codes(names[i]) for i in ids]))] = True
     mark = chr(MARK)
-    return Pieces(
+    alone = np.zeros(0x110000, bool)
+    alone[[ord(names[i]) for i in by_length.get(1, ())]] = True
+    model_pieces = Pieces(
         keys, ids.astype(np.int32), scores, table, max(by_length), float(scores.min()) - UNKNOWN_PENALTY, in_pieces,
         any(mark in names[i].lstrip(mark) for i in ids), byte_ids,
         np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))),
-        {names[i]: float(score) for i, score in zip(ids, scores)})
+        {names[i]: float(score) for i, score in zip(ids, scores)}, {names[i]: int(i) for i in ids}, names,
+        np.zeros(number, bool), alone)
+    for v in by_length.values():
+        _, count = merges(model_pieces, np.stack([_codes(names[i]) for i in v]))
+        model_pieces.made[v] = count == 1
+    return model_pieces
 
 
 def _look_up(model: Pieces, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,15 +186,7 @@ def viterbi(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 score = best[end - 1] + model.unknown
                 lone &= score > best[end]
                 best[end, lone], back[end, lone], piece[end, lone] = score[lone], 1, UNKNOWN
-    out = np.full((n, size), UNKNOWN, np.int32)
-    count = np.zeros(n, np.int64)
-    at, alive = np.full(n, size), np.arange(n)
-    while len(alive):
-        out[alive, count[alive]] = piece[at[alive], alive]
-        at[alive] -= back[at[alive], alive]
-        count[alive] += 1
-        alive = alive[at[alive] > 0]
-    return out, count
+    return _traced(piece, back)
 
 
 def _merged_long(model: Pieces, word: np.ndarray) -> list[int]:
@@ -230,6 +263,109 @@ def merges(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, count
 
 
+def _admissible(model: Pieces, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether merging the text of two pieces gives these two, for each pair of ids."""
+    pairs, which = np.unique(left.astype(np.int64) << 32 | right, return_inverse=True)
+    known, fit = model.steps.find(pairs)
+    if not known.all():
+        new = pairs[~known]
+        found = np.zeros(len(new), bool)
+        by_length: dict[int, list[int]] = {}
+        for i, (a, b) in enumerate(zip((new >> 32).tolist(), (new & 0xFFFFFFFF).tolist())):
+            by_length.setdefault(len(model.names[a]) + len(model.names[b]), []).append(i)
+        for rows in by_length.values():
+            a, b = new[rows] >> 32, new[rows] & 0xFFFFFFFF
+            out, count = merges(model, np.stack([_codes(model.names[x] + model.names[y]) for x, y in zip(a.tolist(), b.tolist())]))
+            found[rows] = (count == 2) & (out[:, 0] == b) & (out[:, 1] == a)
+        model.steps.learn(new, found)
+        fit[~known] = found
+    return fit[which]
+
+
+def _alone(model: Pieces, word: np.ndarray) -> list[int]:
+    """Ids of one word, the last first: the search of ``ranked_viterbi`` for a word of any length."""
+    text, size = word.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), len(word)
+    best, back, piece = [0.0] + [-np.inf] * size, [0] * (size + 1), [UNKNOWN] * (size + 1)
+    fits: dict[tuple[int, int], bool] = {}
+    for end in range(1, size + 1):
+        for k in range(min(end, model.longest), 0, -1):
+            right = model.id_of.get(text[end - k : end])
+            if right is None or not model.made[right] or best[end - k] == -np.inf:
+                continue
+            left = piece[end - k]
+            if end > k:
+                fit = fits.get((left, right))
+                if fit is None:
+                    fit = fits[left, right] = bool(_admissible(model, np.array([left]), np.array([right]))[0])
+                if not fit:
+                    continue
+            score = best[end - k] + model.score_of[text[end - k : end]]
+            if score > best[end]:
+                best[end], back[end], piece[end] = score, k, right
+    out, end = [], size
+    while end:
+        out.append(piece[end])
+        end -= back[end]
+    return out
+
+
+def ranked_viterbi(model: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of equally long words of a model of merges, in the form of ``viterbi``."""
+    n, size = words.shape
+    lone = ~model.alone[words].all(axis=1)
+    if lone.any():  # a character that is a piece only with others: its merges are taken as they come
+        out, count = np.full((n, size), UNKNOWN, np.int32), np.zeros(n, np.int64)
+        out[lone], count[lone] = merges(model, words[lone])
+        if not lone.all():
+            out[~lone], count[~lone] = ranked_viterbi(model, words[~lone])
+        return out, count
+    if size > LONG_WORD:
+        lists = [_alone(model, w) for w in words]
+        count = np.array([len(x) for x in lists])
+        out = np.full((n, size), UNKNOWN, np.int32)
+        out[np.arange(size) < count[:, None]] = np.concatenate(lists)
+        return out, count
+    prefix, power = _hashes(words), _powers(model.longest)
+    best = np.full((size + 1, n), -np.inf)
+    best[0] = 0
+    back = np.ones((size + 1, n), np.int32)
+    piece = np.full((size + 1, n), UNKNOWN, np.int32)
+    for end in range(1, size + 1):
+        rows, entry, length = [], [], []
+        for k in range(min(end, model.longest), 0, -1):
+            row, hit = _look_up(model, prefix[:, end] - prefix[:, end - k] * power[k])
+            rows.append(row)
+            entry.append(hit)
+            length.append(np.full(len(row), k))
+        rows, entry, length = np.concatenate(rows), np.concatenate(entry), np.concatenate(length)
+        good = model.made[model.ids[entry]] & (best[end - length, rows] > -np.inf)
+        rows, entry, length = rows[good], entry[good], length[good]
+        inner = np.flatnonzero(length < end)
+        fit = _admissible(model, piece[end - length[inner], rows[inner]], model.ids[entry[inner]])
+        score = best[end - length, rows] + model.scores[entry]
+        score[inner[~fit]] = -np.inf
+        for k in np.unique(length)[::-1].tolist():  # the longer of equally good last pieces comes first
+            of_k = np.flatnonzero(length == k)
+            better = of_k[score[of_k] > best[end, rows[of_k]]]
+            at = rows[better]
+            best[end, at], back[end, at], piece[end, at] = score[better], k, model.ids[entry[better]]
+    return _traced(piece, back)
+
+
+def _traced(piece: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces along the backpointers, from the last one on, and how many."""
+    size, n = piece.shape[0] - 1, piece.shape[1]
+    out = np.full((n, size), UNKNOWN, np.int32)
+    count = np.zeros(n, np.int64)
+    at, alive = np.full(n, size), np.arange(n)
+    while len(alive):
+        out[alive, count[alive]] = piece[at[alive], alive]
+        at[alive] -= back[at[alive], alive]
+        count[alive] += 1
+        alive = alive[at[alive] > 0]
+    return out, count
+
+
 Cut = Callable[[Pieces, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
@@ -327,7 +463,7 @@ def _encoded(
 
 
 def encode(docs: DataFrame, model_file: str, cut: Cut = viterbi) -> DataFrame:
-    """(doc_id, n_pieces, ids): one row per document. ``model_file`` is a path; one of merges needs ``cut=merges``."""
+    """(doc_id, n_pieces, ids): one row per document. ``model_file`` is a path; one of merges needs ``cut=ranked_viterbi``."""
     model = load_pieces(model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,6 +492,21 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def encode_and_decode(docs: DataFrame, model_file: str, cut: Cut = viterbi) -> DataFrame:
+    """(doc_id, n_pieces, ids, text): the pieces of each document, and the text that they decode to."""
+    model = load_pieces(model_file)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, ids, offsets in _encoded(batches, model, cut):
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+            texts = pa.array(decode_ids(model, ids, offsets), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(offsets)), lists, texts], ["doc_id", "n_pieces", "ids", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_pieces bigint, ids array<int>, text string")
+
+
 def round_trip(docs: DataFrame, model_file: str, cut: Cut = viterbi) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, restored): encoded, decoded and compared with the text."""
     model = load_pieces(model_file)

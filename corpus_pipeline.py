@@ -26,9 +26,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_pieces, ids) of what is left."""
+    """(doc_id, n_pieces, ids, text) of what is left: the pieces and the text that they decode to."""
     model_file = public_tokenizers.path("piece_bpe_32k.model")
-    return sentencepiece_viterbi.encode(docs, model_file, sentencepiece_viterbi.merges)
+    return sentencepiece_viterbi.encode_and_decode(docs, model_file, sentencepiece_viterbi.ranked_viterbi)
 
 
 STAGES = [

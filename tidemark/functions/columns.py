@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,6 +12,7 @@ __all__ = [
     "double_of",
     "is_valid_trade",
     "level_tag",
+    "months_between",
     "notional",
     "period_end",
     "period_start",
@@ -90,6 +91,17 @@ def with_lineage(scan: DataFrame, date_column: str, ingested_at: datetime | None
     )
 
 
+def months_between(first: date | None, last: date | None) -> Column:
+    """On year and month partitions: whether a month is in the range that two dates span, open where one is missing."""
+    month = 12 * F.col("year") + F.col("month")
+    holds = F.col("year").isNotNull()
+    if first is not None:
+        holds = holds & (month >= 12 * first.year + first.month)
+    if last is not None:
+        holds = holds & (month <= 12 * last.year + last.month)
+    return holds
+
+
 # frequency -> (first day of a date's period, last day of the period starting on a date)
 _PERIODS = {
     "day": (lambda date: date, lambda start: start),

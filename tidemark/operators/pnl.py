@@ -76,6 +76,89 @@ def pnl_at(snapshots: DataFrame, as_of: date | Column) -> DataFrame:
     )
 
 
+# --- P&L from running state ---------------------------------------------------------------------
+
+_STATE = ("known", "before_month", "before_year")
+
+
+def pnl_state_at(snapshots: DataFrame, day: date | Column) -> DataFrame:
+    """The running state after a day: per position the last known value and those known before month and year.
+
+    (position_id, as_of_date, known, before_month, before_year, in_month, in_year); ``in_month`` says
+    whether a value became known in the day's month, which sets a sum of zero apart from none.
+    """
+    day = F.lit(day)
+    when, known = F.col("as_of_date"), F.col("unrealized_pnl")
+
+    def last(begin: Column | None, name: str) -> Column:
+        counts = known.isNotNull() if begin is None else known.isNotNull() & (when < begin)
+        return F.max_by(known, F.when(counts, when)).cast(MONEY).alias(name)
+
+    month, year = F.trunc(day, "month"), F.trunc(day, "year")
+    return snapshots.filter(when <= day).groupBy("position_id").agg(
+        last(None, "known"),
+        last(month, "before_month"),
+        last(year, "before_year"),
+        (F.count(F.when(when >= month, known)) > 0).alias("in_month"),
+        (F.count(F.when(when >= year, known)) > 0).alias("in_year"),
+    ).withColumn("as_of_date", day)
+
+
+def advanced_pnl(state: DataFrame, snapshot: DataFrame, day: date | Column) -> DataFrame:
+    """One row per position of the state or of the day's snapshot: the new state and the day's P&L.
+
+    ``state`` is that of an earlier day. State and snapshot meet in one hash aggregate of their union, a row
+    of each per position. Where a month or year has ended in between, the last known value becomes
+    its base. ``held`` is the snapshot's row, NULL for a position that is not in it.
+    """
+    day = F.lit(day)
+    held = F.struct(*snapshot.columns)
+    absent = F.lit(None)
+    told = state.select(
+        "position_id", F.struct("as_of_date", *_STATE, "in_month", "in_year").alias("was"),
+        absent.cast(snapshot.select(held.alias("held")).schema["held"].dataType).alias("held"),
+    )
+    seen = snapshot.select("position_id", absent.cast(told.schema["was"].dataType).alias("was"), held.alias("held"))
+    both = told.unionByName(seen).groupBy("position_id").agg(
+        F.first("was", ignorenulls=True).alias("was"), F.first("held", ignorenulls=True).alias("held")
+    )
+    was, value = F.col("was"), F.col("held")["unrealized_pnl"]
+
+    def same(unit: str) -> Column:
+        return F.coalesce(F.trunc(was["as_of_date"], unit) == F.trunc(day, unit), F.lit(False))
+
+    known = F.coalesce(value, was["known"])
+    advanced = both.select(
+        "position_id",
+        "held",
+        day.alias("as_of_date"),
+        known.alias("known"),
+        *[F.when(same(u), was[f"before_{u}"]).otherwise(was["known"]).alias(f"before_{u}") for u in ("month", "year")],
+        *[
+            (value.isNotNull() | F.coalesce(same(u) & was[f"in_{u}"], F.lit(False))).alias(f"in_{u}")
+            for u in ("month", "year")
+        ],
+        (value - F.coalesce(was["known"], F.lit(0).cast(MONEY))).cast(MONEY).alias("daily_pnl"),
+    )
+
+    def since(unit: str) -> Column:
+        gained = F.col("known") - F.coalesce(f"before_{unit}", F.lit(0).cast(MONEY))
+        return F.when(F.col(f"in_{unit}"), gained).cast(MONEY)
+
+    return advanced.withColumns({"mtd_pnl": since("month"), "ytd_pnl": since("year")})
+
+
+def pnl_state(advanced: DataFrame) -> DataFrame:
+    """The state to store after ``advanced_pnl``."""
+    return advanced.select("position_id", "as_of_date", *_STATE, "in_month", "in_year")
+
+
+def pnl_rows(advanced: DataFrame) -> DataFrame:
+    """The day's snapshot with its P&L, as ``position_pnl`` has it."""
+    held = advanced.filter(F.col("held").isNotNull())
+    return held.select("held.*", "daily_pnl", "mtd_pnl", "ytd_pnl")
+
+
 def book_pnl(pnl: DataFrame) -> DataFrame:
     """P&L of whole books per snapshot date."""
     return pnl.groupBy("book_id", "currency", "as_of_date").agg(

@@ -126,3 +126,39 @@ def position_snapshots(
     # Joining on instrument and period, not instrument alone, spreads a hot instrument.
     joined = held.join(closes, ["instrument_id", "period"], "left")
     return _valued(joined.withColumn("as_of_date", period_end(F.col("period"), frequency)))
+
+
+# --- positions as a fold over stored state ------------------------------------------------------
+
+
+def advanced_holdings(state: DataFrame | None, trades: DataFrame) -> DataFrame:
+    """(key, quantity, cost_basis): stored holdings with the movements of later trades added, exactly.
+
+    The state keeps the cost unrounded, so that adding day by day gives what one sum gives.
+    """
+    columns = [*POSITION_KEY, F.col("quantity").cast("decimal(28,4)"), F.col("cost_basis").cast("decimal(38,8)")]
+    held = _movements(trades).select(*columns)
+    if state is None:
+        return held
+    both = state.select(*columns).unionByName(held)
+    return both.groupBy(*POSITION_KEY).agg(
+        F.sum("quantity").cast("decimal(28,4)").alias("quantity"),
+        F.sum("cost_basis").cast("decimal(38,8)").alias("cost_basis"),
+    )
+
+
+def advanced_closes(state: DataFrame | None, prices: DataFrame) -> DataFrame:
+    """(instrument_id, price_date, close_price): the last known close, from the state or later prices."""
+    columns = ["instrument_id", "price_date", "close_price"]
+    known = _priced(prices).filter(F.col("price_date").isNotNull()).select(*columns)
+    if state is not None:
+        known = state.select(*columns).unionByName(known)
+    return known.groupBy("instrument_id").agg(
+        F.max("price_date").alias("price_date"), F.max_by("close_price", "price_date").alias("close_price")
+    )
+
+
+def snapshot_of(holdings: DataFrame, closes: DataFrame, day: date | Column) -> DataFrame:
+    """The snapshot of one day, in the columns of ``snapshot_at``, from the state of that day."""
+    known = closes.select("instrument_id", "close_price")
+    return _valued(lookup_join(holdings, known, "instrument_id").withColumn("as_of_date", F.lit(day)))

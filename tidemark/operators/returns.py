@@ -8,11 +8,11 @@ windows below stay that small however unevenly the raw data is spread.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import simple_return
+from tidemark.functions import lookup_join, months_between, simple_return
 
 LOOKBACK_DAYS = 252  # calendar days
 
@@ -89,3 +89,65 @@ def lookback_returns(
         F.col("price_date") > F.col("carry_day")
     )
     return within_lookback(returns.drop("carry_day"), lookback_days)
+
+
+# --- returns that continue from a stored carry ------------------------------------------------
+
+
+def continue_returns(prices: DataFrame, carry: DataFrame | None) -> DataFrame:
+    """The prices with ``prev_close`` and ``daily_return``, their first row continuing from ``carry``.
+
+    ``carry`` holds one row per instrument, its last close before the given prices; without it the first
+    price of an instrument has no return. All rows stay: one without a return has NULL. The window
+    is as long as the stretch of prices given, never the history before it.
+    """
+    by_date = Window.partitionBy("instrument_id").orderBy("price_date")
+    close = F.col("close_price").cast("double")
+    lagged = prices.filter(F.col("price_date").isNotNull()).withColumns(
+        {"_lag": F.lag(close, 1).over(by_date), "_first": F.row_number().over(by_date) == 1}
+    )
+    if carry is None:
+        joined = lagged.withColumn("prev_close", F.col("_lag"))
+    else:
+        before = carry.select("instrument_id", F.col("close_price").alias("_carried"))
+        joined = lookup_join(lagged, before, "instrument_id").withColumn(
+            "prev_close", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))
+        )
+    return joined.select(*prices.columns, "prev_close", simple_return(close, F.col("prev_close")).alias("daily_return"))
+
+
+def carry_before(day: date | Column, prices: DataFrame, carry: DataFrame | None) -> DataFrame:
+    """(instrument_id, price_date, close_price, return_date): each instrument's last price before a day.
+
+    From the prices of ``continue_returns`` and the carry they continued from; ``return_date`` is the last
+    date with a return. The close may be NULL: the next price then has no return.
+    """
+    last = prices.filter(F.col("price_date") < F.lit(day)).select(
+        "instrument_id",
+        "price_date",
+        F.col("close_price").cast("double").alias("close_price"),
+        F.when(F.col("daily_return").isNotNull(), F.col("price_date")).alias("return_date"),
+    )
+    if carry is not None:
+        last = last.unionByName(carry.select(*last.columns))
+    # A NULL close must win over an older one, so the close travels inside a struct.
+    newest = F.max_by(F.struct("close_price"), "price_date")["close_price"]
+    return last.groupBy("instrument_id").agg(
+        F.max("price_date").alias("price_date"),
+        newest.alias("close_price"),
+        F.max("return_date").alias("return_date"),
+    )
+
+
+def stored_lookback(
+    stored: DataFrame, newest: date, lookback_days: int = LOOKBACK_DAYS
+) -> DataFrame:
+    """The lookback window of stored returns, read from its own months only.
+
+    ``stored`` is a table written from ``continue_returns`` with year and month partitions, ``newest`` the date
+    of its newest return. No lag: the returns are columns of the table.
+    """
+    first = newest - timedelta(days=lookback_days)
+    return stored.filter(months_between(first, newest)).filter(
+        F.col("price_date").between(first, newest) & F.col("daily_return").isNotNull()
+    ).select("instrument_id", "price_date", "close_price", "prev_close", "daily_return")

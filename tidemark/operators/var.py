@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import level_tag, lookup_join
+from tidemark.operators.returns import LOOKBACK_DAYS
 from tidemark.schemas import FCT_RISK_METRICS
 
 LEVELS = (0.95, 0.99)
@@ -32,6 +34,11 @@ def instrument_var(
         (F.row_number().over(by_return) - 1).alias("position"),
         F.count("daily_return").over(whole).alias("n"),
     )
+    return ranked.groupBy("instrument_id").agg(*_level_columns(levels, min_returns), F.count(F.lit(1)).alias("returns"))
+
+
+def _level_columns(levels: Sequence[float], min_returns: int) -> list[Column]:
+    """VaR and CVaR of each level from rows with a return, its 0-based position and the count ``n``."""
     columns = []
     for level in levels:
         cut = F.floor(F.lit(1 - level) * F.col("n"))
@@ -41,7 +48,32 @@ def instrument_var(
             F.max(F.when(enough & (F.col("position") == cut), value)).alias(f"var_{level_tag(level)}_pct"),
             F.avg(F.when(enough & (F.col("position") <= cut), value)).alias(f"cvar_{level_tag(level)}_pct"),
         ]
-    return ranked.groupBy("instrument_id").agg(*columns, F.count(F.lit(1)).alias("returns"))
+    return columns
+
+
+def instrument_var_tail(
+    returns: DataFrame,
+    levels: Sequence[float] = LEVELS,
+    min_returns: int = MIN_RETURNS,
+    longest: int = LOOKBACK_DAYS + 1,
+) -> DataFrame:
+    """The rows of ``instrument_var`` where no instrument has more than ``longest`` returns, from their tails.
+
+    A lookback window holds one return per day, so the largest position any level reaches is known
+    beforehand. The rank limit it gives is applied by every task before the shuffle (WindowGroupLimit):
+    what is sent and sorted is the tail of each instrument, beside a count that is combined on the map
+    side. For a table of returns, which is cheap to read twice; ``instrument_var`` reads its input once.
+    """
+    reach = max(math.floor((1 - level) * longest) for level in levels) + 1
+    by_return = Window.partitionBy("instrument_id").orderBy("daily_return")
+    tail = returns.select(
+        "instrument_id", "daily_return", F.row_number().over(by_return).alias("rank")
+    ).filter(F.col("rank") <= reach)
+    counts = returns.groupBy("instrument_id").agg(F.count("daily_return").alias("n"), F.count(F.lit(1)).alias("returns"))
+    # Both sides are partitioned by instrument already, with a bounded number of rows for each.
+    ranked = tail.withColumn("position", F.col("rank") - 1).join(counts, "instrument_id")
+    return ranked.groupBy("instrument_id").agg(
+        *_level_columns(levels, min_returns), F.max("returns").alias("returns"))
 
 
 def var_by_level(

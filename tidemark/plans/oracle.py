@@ -178,6 +178,7 @@ _oracle("lookback_returns", f"{_RETURN_COLUMNS} FROM recent", "recent")
 _oracle("instrument_var", f"{_VAR_COLUMNS} FROM var", "var")
 _oracle("instrument_var_full_history", f"{_VAR_COLUMNS} FROM var", "var")
 _oracle("instrument_var_short_history", f"{_VAR_COLUMNS} FROM part_var", "part_var")
+_oracle("instrument_var_from_tails", f"{_VAR_COLUMNS} FROM var", "var")
 _oracle(
     "var_by_level",
     "\nUNION ALL\n".join(
@@ -272,6 +273,24 @@ _oracle(
 _oracle("trade_summary", _SUMMARY, "silver_trades")
 _oracle("silver_prices", f"{_PRICE_COLUMNS} FROM silver_prices", "silver_prices")
 
+_step(
+    "silver_closes",
+    "SELECT instrument_id, price_date, CAST(close_price AS DOUBLE) AS close_price FROM silver_prices",
+    "silver_prices",
+)
+_step("silver_returns", _returns("silver_closes"), "silver_closes")
+_step("silver_recent", _recent("silver_returns"), "silver_returns")
+_step("silver_ranked", _ranked("silver_recent"), "silver_recent")
+_step("silver_var", _var("silver_ranked"), "silver_ranked")
+_oracle(
+    "extended_prices_job",
+    "SELECT instrument_id, price_date, round(close_price, 4) AS close_price, round(prev_close, 4) AS prev_close, "
+    "round((close_price - prev_close) / nullif(prev_close, 0), 6) AS daily_return FROM "
+    "(SELECT *, lag(close_price) OVER (PARTITION BY instrument_id ORDER BY price_date) AS prev_close FROM silver_closes)",
+    "silver_closes",
+)
+_oracle("stored_instrument_var", f"{_VAR_COLUMNS} FROM silver_var", "silver_var")
+
 # --- positions --------------------------------------------------------------------------
 
 _SIGNED = "CASE trade_type WHEN 'BUY' THEN quantity WHEN 'SELL' THEN -quantity END"
@@ -364,6 +383,7 @@ def _snapshot_steps(frequency: str, period_end: str) -> None:
 
 _snapshot_steps("month", "last_day(period)")
 _snapshot_steps("week", "period + 6")
+_snapshot_steps("day", "period")
 
 _POSITION_COLUMNS = "SELECT position_id, as_of_date, instrument_id, book_id, currency, " + _money(
     "quantity", "cost_basis", "market_value", "unrealized_pnl"
@@ -391,13 +411,26 @@ _oracle(
     + " FROM pnl_week WHERE as_of_date = (SELECT max(as_of_date) FROM pnl_week)",
     "pnl_week",
 )
+for _query, _frequency in (("book_pnl_weekly", "week"), ("book_pnl_daily", "day")):
+    _oracle(
+        _query,
+        "SELECT book_id, currency, as_of_date, "
+        + _money("daily_pnl", "mtd_pnl", "ytd_pnl")
+        + " FROM (SELECT book_id, currency, as_of_date, sum(daily_pnl) AS daily_pnl, sum(mtd_pnl) AS mtd_pnl, "
+        f"sum(ytd_pnl) AS ytd_pnl FROM pnl_{_frequency} GROUP BY ALL)",
+        f"pnl_{_frequency}",
+    )
 _oracle(
-    "book_pnl_weekly",
-    "SELECT book_id, currency, as_of_date, "
-    + _money("daily_pnl", "mtd_pnl", "ytd_pnl")
-    + " FROM (SELECT book_id, currency, as_of_date, sum(daily_pnl) AS daily_pnl, sum(mtd_pnl) AS mtd_pnl, "
-    "sum(ytd_pnl) AS ytd_pnl FROM pnl_week GROUP BY ALL)",
-    "pnl_week",
+    "advanced_positions_job",
+    f"{_POSITION_COLUMNS} FROM snapshots_day WHERE as_of_date >= {_LAST_DAY} - 3",
+    "snapshots_day",
+)
+_oracle(
+    "advanced_pnl_job",
+    "SELECT position_id, as_of_date, instrument_id, book_id, currency, "
+    + _money("unrealized_pnl", "daily_pnl", "mtd_pnl", "ytd_pnl")
+    + f" FROM pnl_day WHERE as_of_date >= {_LAST_DAY} - 2",
+    "pnl_day",
 )
 
 # --- position VaR and gold --------------------------------------------------------------

@@ -7,7 +7,7 @@ results are compared with SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,7 +23,7 @@ from tidemark.functions import (
     with_lineage,
 )
 from tidemark.operators import demo, exposure, pnl, positions, quality, returns, silver, var, views
-from tidemark.plans import jobs
+from tidemark.plans import daily, jobs
 from tidemark.plans.inputs import Tables
 from tidemark.schemas import MODEL, conform
 from tidemark.sources import files, tables
@@ -130,6 +130,11 @@ def instrument_var_short_history(t: Tables) -> DataFrame:
     return _rounded(var.instrument_var(recent), 6, *_VAR_COLUMNS)
 
 
+@query
+def instrument_var_from_tails(t: Tables) -> DataFrame:
+    return _rounded(var.instrument_var_tail(_recent_returns(t)), 6, *_VAR_COLUMNS)
+
+
 @query
 def var_by_level(t: Tables) -> DataFrame:
     df = var.var_by_level(_recent_returns(t), (0.9, 0.95, 0.975, 0.99))
@@ -264,6 +269,12 @@ def latest_pnl(t: Tables) -> DataFrame:
     return _rounded(df, 2, "unrealized_pnl", "daily_pnl", "mtd_pnl", "ytd_pnl")
 
 
+@query
+def book_pnl_daily(t: Tables) -> DataFrame:
+    every_day = pnl.position_pnl(_snapshots(t, "day"))
+    return _rounded(pnl.book_pnl(every_day), 2, "daily_pnl", "mtd_pnl", "ytd_pnl")
+
+
 @query
 def book_pnl_weekly(t: Tables) -> DataFrame:
     weekly = pnl.position_pnl(_snapshots(t, "week"))
@@ -510,6 +521,67 @@ def appended_risk_metrics_job(t: Tables) -> DataFrame:
     return _rounded(df, 2, "total_var_95", "total_var_99", "total_exposure")
 
 
+# --- jobs that continue from stored state -------------------------------------------------------
+
+
+def _extended_prices(t: Tables) -> tuple[str, str]:
+    """The enriched price table and its carries after four runs, the last one repeating some months."""
+    bronze, target, carry = (scratch_folder(t.spark, p) for p in ("bronze-prices", "enriched-prices", "price-carry"))
+    dated = t.raw_prices().withColumns({"year": F.year("price_date"), "month": F.month("price_date")})
+    tables.replace_partitioned(dated, bronze, ["year", "month"])
+    for until in (date(1996, 12, 31), date(1997, 6, 30), t.last_day):
+        daily.extend_prices(t.spark, bronze, target, carry, until)
+    daily.extend_prices(t.spark, bronze, target, carry, date(1997, 9, 30), since=date(1997, 8, 3))
+    return target, carry
+
+
+@query
+def extended_prices_job(t: Tables) -> DataFrame:
+    """Stored prices with their returns, extended month by month from each instrument's last close."""
+    target, _ = _extended_prices(t)
+    df = tables.read_table(t.spark, target).select(
+        "instrument_id", "price_date", "close_price", "prev_close", "daily_return")
+    return _rounded(_rounded(df, 4, "close_price", "prev_close"), 6, "daily_return")
+
+
+@query
+def stored_instrument_var(t: Tables) -> DataFrame:
+    """VaR from the months of the lookback window alone, without a lag."""
+    recent = daily.stored_returns(t.spark, *_extended_prices(t))
+    return _rounded(var.instrument_var_tail(recent), 6, *_VAR_COLUMNS)
+
+
+def _advanced_positions(t: Tables) -> tuple[str, list[date]]:
+    """The position table after four daily runs: the first from all trades, the others from the day before."""
+    trades, prices, state, held = (scratch_folder(t.spark, p) for p in ("trades", "prices", "position-state", "positions"))
+    for df, day, path in ((_silver_trades(t), "trade_date", trades), (_silver_prices(t), "price_date", prices)):
+        dated = df.withColumns({"year": F.year(day), "month": F.month(day)})
+        tables.replace_partitioned(dated, path, ["year", "month"])
+    days = [t.last_day - timedelta(days=n) for n in (3, 2, 1, 0)]
+    for day in days:
+        daily.advance_positions(t.spark, trades, prices, state, held, day)
+    return held, days
+
+
+@query
+def advanced_positions_job(t: Tables) -> DataFrame:
+    held, _ = _advanced_positions(t)
+    return _rounded(tables.read_table(t.spark, held).drop("created_at"), 2, *_POSITION_MONEY)
+
+
+@query
+def advanced_pnl_job(t: Tables) -> DataFrame:
+    """P&L of three days, each from the state of the day before and the stored snapshot."""
+    held, days = _advanced_positions(t)
+    state, target = scratch_folder(t.spark, "pnl-state"), scratch_folder(t.spark, "pnl")
+    history = positions.position_snapshots(_silver_trades(t), _silver_prices(t), days[0], "day")
+    daily.start_pnl(t.spark, history, state, days[0])
+    for day in days[1:]:
+        daily.advance_pnl(t.spark, held, state, target, day)
+    df = tables.read_table(t.spark, target).drop("created_at", "quantity", "cost_basis", "market_value")
+    return _rounded(df, 2, "unrealized_pnl", "daily_pnl", "mtd_pnl", "ytd_pnl")
+
+
 @query
 def appended_partitions(t: Tables) -> DataFrame:
     """Two appends and a replacement: row counts per partition of a year/month table."""

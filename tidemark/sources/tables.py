@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import MODEL
 
@@ -15,6 +15,22 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> Dat
     return spark.read.format(fmt).load(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored at a path, asked of the file system the path belongs to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def newest_partition(spark: SparkSession, path: str, column: str, before: object = None, fmt: str = DEFAULT_FORMAT) -> object:
+    """The largest value of a partition column (below ``before``), or None. No data column is read."""
+    if not table_exists(spark, path):
+        return None
+    stored = read_table(spark, path, fmt)
+    if before is not None:
+        stored = stored.filter(F.col(column) < F.lit(before))
+    return fetch_row(stored.agg(F.max(column).alias("newest")))["newest"]
+
+
 def named_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -49,7 +49,7 @@ from tidemark.llm.common import stored
 PRIME = (1 << 127) - 1
 BASE = 0x2545F4914F6CDD1D9E3779B97F4A7C15
 LOW = (1 << 64) - 1
-HEAVY = 1024  # members from which a node is passed with the heavy ones, at least
+HEAVY = 64  # members from which a node is passed with the heavy ones, at least
 BAND = 1024  # levels of a shard
 QUEUE = 1 << 17  # messages a task holds before it spills
 CHUNK = 4096  # conversation ids in one piece of text

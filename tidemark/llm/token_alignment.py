@@ -24,9 +24,12 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,13 +38,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
 from tidemark.functions.joins import lookup_join
-from tidemark.llm import sentencepiece_viterbi
 from tidemark.llm.chunks import pieces, text_bytes
 from tidemark.llm.common import stored
 from tidemark.llm.wavelet_output import WordEncoder
 
-BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
-SLICE_BYTES = 1 << 20  # bytes whose row products are formed at once
+BLOCK_BYTES = 2 << 20  # of text in a block; a longer text is a block of its own
+SLICE_BYTES = 1 << 18  # bytes whose row products are formed at once
+MARK = "\u2581"  # a space, in the names of pieces
+HELD_WORDS = 200_000  # distinct words whose ids a task remembers
 
 
 # --- sparse matrices ----------------------------------------------------------------------------
@@ -149,6 +153,14 @@ def shared_group_links(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.repeat(np.arange(first, last), np.diff(links.starts)), links.indices
 
 
+@cache
+def _decimals(bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All numbers of so many bits in decimals, a space after each: the bytes, where each begins, and its length."""
+    texts = [b"%d " % n for n in range(1 << bits)]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
 def group_texts(block: Block) -> list[bytes]:
     """Of each text its groups as ``a1,a2|b1;a3|b2,b3``."""
     in_a, in_b, ends = groups(block)
@@ -160,12 +172,9 @@ def group_texts(block: Block) -> list[bytes]:
     tokens[a_at], tokens[b_at] = block.a, block.b
     mark = np.full(len(tokens), ord(","), np.uint8)
     mark[a_at[a_upto - 1]], mark[b_at[b_upto - 1]] = ord("|"), ord(";")
-    names, which = np.unique(tokens, return_inverse=True)
-    texts = [b"%d " % n for n in names.tolist()]
-    sizes = np.array([len(t) for t in texts], np.int64)
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    lengths = sizes[which]
-    out = gathered(raw, (np.cumsum(sizes) - sizes)[which], lengths)
+    raw, begins, sizes = _decimals(int(tokens.max(initial=0)).bit_length())
+    lengths = sizes[tokens]
+    out = gathered(raw, begins[tokens], lengths)
     ends_at = np.cumsum(lengths)
     out[ends_at - 1] = mark
     cut = np.concatenate(([0], ends_at))[np.concatenate(([0], np.cumsum(block.n_a + block.n_b)))].tolist()
@@ -196,7 +205,7 @@ class Encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_file(byte_file)
         tokenizer.encode_special_tokens = True
-        self.words = WordEncoder(tokenizer)
+        self.words = WordEncoder(tokenizer, HELD_WORDS)
         alphabet = byte_alphabet()
         entries = json.loads(tokenizer.to_str())["model"]["vocab"]
         raw = [b""] * (max(entries.values()) + 1)
@@ -204,8 +213,16 @@ class Encoders:
             raw[i] = bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
         self.a_raw = np.frombuffer(b"".join(raw), np.uint8)
         self.a_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
-        self.model = sentencepiece_viterbi.load_pieces(piece_file)
-        self.b_raw, self.b_at = self.model.raw, self.model.raw_offsets
+        self.model = sentencepiece.SentencePieceProcessor(model_file=piece_file)
+        raw = [self._piece_bytes(i) for i in range(self.model.get_piece_size())]
+        self.b_raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.b_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+
+    def _piece_bytes(self, i: int) -> bytes:
+        if self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i):
+            return b""
+        name = self.model.id_to_piece(i)
+        return bytes([int(name[1:-1], 16)]) if self.model.is_byte(i) else name.replace(MARK, " ").encode()
 
     def block(self, column: pa.Array) -> Block:
         """The encodings of a batch's texts, without those that do not give the bytes back."""
@@ -215,8 +232,9 @@ class Encoders:
         a, a_offsets = self.words.texts(spaced)
         a = np.delete(a, a_offsets[1:] - 1).astype(np.int64)  # without the end ids
         n_a = np.diff(a_offsets) - 1
-        b, b_offsets = sentencepiece_viterbi.encode_texts(self.model, texts, sentencepiece_viterbi.merges)
-        b, n_b = b.astype(np.int64), np.diff(b_offsets)
+        found = self.model.encode([t or "" for t in texts], num_threads=1)
+        n_b = np.fromiter(map(len, found), np.int64, len(found))
+        b = np.fromiter(chain.from_iterable(found), np.int64, n_b.sum())
         same = np.diff(offsets) > 0
         for ids, n, raw, at in ((a, n_a, self.a_raw, self.a_at), (b, n_b, self.b_raw, self.b_at)):
             sizes = np.diff(at)[ids]
@@ -271,11 +289,11 @@ def _read(row: dict, encoders: Encoders) -> Block:
 
 def _pairs(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Each distinct id pair of the block's links, as a << 32 | b, and how many links hold it."""
-    found = [np.unique(block.a[i] << 32 | block.b[j], return_counts=True) for i, j, _ in overlap_links(block)]
+    found = [pa.array(block.a[i] << 32 | block.b[j]).value_counts() for i, j, _ in overlap_links(block)]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    pairs, which = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
-    return pairs, _per_text(np.concatenate([n for _, n in found]), which, len(pairs))
+    pairs, which = np.unique(np.concatenate([f.field(0).to_numpy() for f in found]), return_inverse=True)
+    return pairs, _per_text(np.concatenate([f.field(1).to_numpy() for f in found]), which, len(pairs))
 
 
 def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
@@ -323,9 +341,11 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
             n_links, n_best, count_sum = (np.zeros(texts, np.int64) for _ in range(3))
             for i, j, _ in overlap_links(block):
                 at = np.searchsorted(pairs, block.a[i] << 32 | block.b[j])
-                n_links += np.bincount(of_a[i], minlength=texts)
-                n_best += _per_text(best[at], of_a[i], texts)
-                count_sum += _per_text(total[at], of_a[i], texts)
+                # Links stand in order of their text: its sums are differences of running ones.
+                bounds = np.searchsorted(of_a[i], np.arange(texts + 1))
+                n_links += np.diff(bounds)
+                for sums, amounts in ((n_best, best), (count_sum, total)):
+                    sums += np.diff(np.concatenate(([0], np.cumsum(amounts[at])))[bounds])
             in_a, in_b, ends = groups(block)
             a, b = Rows.members(in_a, len(ends)), Rows.members(in_b, len(ends)).transposed()
             group_links = _per_text(a.product_sizes(b), of_a, texts)

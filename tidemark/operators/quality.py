@@ -199,6 +199,38 @@ def threshold_gate(
     return totals.select(F.inline(F.array(*entries)))
 
 
+@dataclass(frozen=True)
+class Gate:
+    """Thresholds that a batch meets or is refused by, judged from counters collected while it is written.
+
+    ``rules`` must hold for every row; uniqueness is none of them, as it needs the rows by key.
+    """
+
+    critical: tuple[str, ...] = ()
+    max_null_ratio: float = 0.05
+    min_rows: int = 100
+    rules: tuple[Rule, ...] = ()
+
+    def counters(self) -> dict[str, Column]:
+        """Plain aggregates for an observation: NULL cells of the critical columns, failures of the rules."""
+        if any(isinstance(r, Unique) for r in self.rules):
+            raise ValueError("a uniqueness rule cannot be counted row by row")
+        nulls = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in self.critical}
+        return nulls | {f"failed_{r.name}": r.failed() for r in self.rules}
+
+    def refusals(self, counts: Mapping[str, object]) -> list[str]:
+        """Why a batch with these counts (``rows`` among them) is not to be published; empty if it may be."""
+        rows = counts["rows"]
+        cells = rows * len(self.critical)
+        nulls = sum(counts[f"null_{c}"] for c in self.critical)
+        reasons = []
+        if rows < self.min_rows:
+            reasons.append(f"{rows} rows, at least {self.min_rows} wanted")
+        if cells and nulls / cells > self.max_null_ratio:
+            reasons.append(f"{nulls} of {cells} critical cells are NULL, more than {self.max_null_ratio:.6g}")
+        return reasons + [f"{counts[k]} rows fail {r.name}" for r in self.rules if counts[k := f"failed_{r.name}"]]
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """The keys that occur more than once, with their number of copies."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)

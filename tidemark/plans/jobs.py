@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions import with_lineage
 from tidemark.operators import demo, pnl, positions, quality, returns, silver, var
@@ -27,15 +27,16 @@ def _ingest(
     fmt: str,
     ingested_at: datetime | None,
 ) -> DataFrame:
-    """Append a batch; its checks open only the months it has dates in, and the one of unreadable dates."""
+    """Append a batch; its checks open only the months it has dates in, and the one of unreadable dates.
+
+    The months are collected while the batch is written, so its files are read once.
+    """
     batch = ingested_at or datetime.now(timezone.utc)
-    dates = tables.fetch_row(scan.agg(F.min(date_column).alias("first"), F.max(date_column).alias("last")))
-    tables.append_partitioned(with_lineage(scan, date_column, batch), path, YEAR_MONTH, fmt)
+    seen, month = Observation(), 12 * F.col("year") + F.col("month")
+    landing = with_lineage(scan, date_column, batch).observe(seen, F.collect_set(month).alias("months"))
+    tables.append_partitioned(landing, path, YEAR_MONTH, fmt)
     landed = tables.read_table(scan.sparkSession, path, fmt)
-    months = F.col("year").isNull()
-    if dates["first"] is not None:
-        first, last = (12 * dates[d].year + dates[d].month for d in ("first", "last"))
-        months = months | (12 * F.col("year") + F.col("month")).between(first, last)
+    months = F.col("year").isNull() | month.isin(*seen.get["months"])
     return checks(landed.filter(months & (F.col("ingestion_timestamp") == F.lit(batch))))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import double_of
 from tidemark.schemas import RAW_PRICES, RAW_TRADES
@@ -49,3 +49,34 @@ def stage_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     staged = read_csv(spark, path)
     staged.createOrReplaceTempView(name)
     return spark.table(name)
+
+
+LINE, REASON = "raw_line", "reason"
+
+
+def read_checked_csv(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
+    """Headered CSV with a schema, and beside it the whole line (``raw_line``) of rows that do not parse.
+
+    Such a row keeps the fields that could be read. Read all columns together: Spark judges a line by
+    the columns asked for.
+    """
+    wide = StructType([StructField(f.name, f.dataType, True) for f in schema.fields] + [StructField(LINE, StringType())])
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": LINE}
+    return spark.read.options(**options).schema(wide).csv(paths)
+
+
+def parse_reason(schema: StructType) -> Column:
+    """Why a line of ``read_checked_csv`` does not parse, NULL where it does.
+
+    The fields that hold text which is no value of their type, by name; where there is none the line
+    has too few or too many fields.
+    """
+    texts = F.from_csv(F.col(LINE), ", ".join(f"`{f.name}` string" for f in schema.fields))
+    unread = [
+        F.when((F.trim(texts[f.name]) != "") & F.col(f.name).isNull(), F.lit(f.name))
+        for f in schema.fields
+        if not isinstance(f.dataType, StringType)
+    ]
+    names = F.array_compact(F.array(*unread))
+    told = F.when(F.size(names) > 0, F.concat(F.lit("not readable: "), F.array_join(names, ", ")))
+    return F.when(F.col(LINE).isNotNull(), F.coalesce(told, F.lit("wrong number of fields")))

@@ -44,6 +44,7 @@ AT_ONCE = 4  # candidates of a beam whose neighbours are looked at in one step
 QUERY_BLOCK = 512
 SHARD_ROWS = 4096, 1 << 18  # least and most vectors of a shard
 SHARDS = 64  # wanted, between these bounds
+MOST_TASKS = 10_000
 
 
 def scaled(vectors: np.ndarray) -> np.ndarray:
@@ -266,9 +267,13 @@ def build_shards(vectors: DataFrame, k: int, rows: int | None = None) -> DataFra
         "graph-points")
     if rows is None:
         rows = min(max(SHARD_ROWS[0], points.count() // SHARDS), SHARD_ROWS[1])
-    sizes = points.groupBy(F.size("v").alias("size")).agg(F.ceil(F.count("*") / rows).alias("shards"))
+    sizes = stored(
+        points.groupBy(F.size("v").alias("size")).agg(F.ceil(F.count("*") / rows).alias("shards")), "graph-sizes")
     dealt = points.withColumn("size", F.size("v")).join(sizes, "size").select(
         "size", F.pmod(F.xxhash64("place", F.lit(1)), F.col("shards")).cast("int").alias("shard"), "v", "ids", "place")
+    # A shard is little to read and much to build: as many partitions as shards, not as few as the bytes ask for.
+    number = min(sizes.agg(F.sum("shards")).first()[0] or 1, MOST_TASKS)
+    dealt = dealt.repartition(number, "size", "shard")
     return stored(dealt.groupBy("size", "shard").applyInArrow(_built, SHARD), "graph-shards")
 
 
@@ -320,7 +325,9 @@ def nearest_neighbours(embeddings: DataFrame, queries: DataFrame, k: int, rows:
     # Blocks of queries past shards: what is dealt out again is the blocks, each of bounded size.
     sent = packed.join(shards.select("size", "shard"), "size")
     index = shards.withColumns({"block": F.lit(-1).cast("long")})
-    both = index.unionByName(sent, allowMissingColumns=True).repartition("size", "shard").sortWithinPartitions("size", "shard", "block")
+    number = min(max(1, shards.count()), MOST_TASKS)
+    both = index.unionByName(sent, allowMissingColumns=True).repartition(number, "size", "shard")
+    both = both.sortWithinPartitions("size", "shard", "block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = vectors = ids = None

@@ -758,6 +758,41 @@ _oracle(
 )
 _oracle("ingest_prices_job", _PRICE_WARNINGS, "raw_prices")
 _oracle("refine_trades_job", _SUMMARY, "silver_trades")
+_step(
+    "judged_trades",
+    """
+    SELECT *, nullif(concat_ws(', ', CASE WHEN trade_id LIKE '%-5' THEN 'trade_date' END,
+                               CASE WHEN trade_id LIKE '%5-1' OR trade_id LIKE '%5-5' THEN 'quantity' END), '') AS unread
+    FROM raw_trades""",
+    "raw_trades",
+)
+_oracle(
+    "quarantined_trades", "SELECT trade_id, 'not readable: ' || unread AS reason, true AS has_file FROM judged_trades",
+    "judged_trades",
+)
+_oracle(
+    "ingested_once_job", "SELECT * EXCLUDE (quantity, price), " + _money("quantity", "price", digits=4) + " FROM raw_trades",
+    "raw_trades",
+)
+_step("read_trades", "SELECT * EXCLUDE (unread) FROM judged_trades WHERE unread IS NULL", "judged_trades")
+_step(
+    "read_latest",
+    _latest(
+        "read_trades",
+        "trade_id",
+        "trade_date, settlement_date, instrument_id, counterparty_id, trade_type, quantity, price, "
+        "currency, trader_id, book_id, status",
+    ),
+    "read_trades",
+)
+_step("read_silver", _normalized("read_latest"), "read_latest")
+_oracle(
+    "gated_refine_job",
+    "SELECT trade_id, CAST(round(notional_value, 4) AS DOUBLE) AS notional_value, "
+    "CAST((SELECT count(*) FROM read_silver WHERE is_valid AND currency <> 'USD') > 0 AS INTEGER) AS refusals "
+    "FROM read_silver WHERE is_valid",
+    "read_silver",
+)
 _oracle(
     "refine_prices_job",
     f"SELECT price_id, price_date, instrument_id, {_money('close_price', digits=4)} FROM silver_prices",

@@ -23,10 +23,10 @@ from tidemark.functions import (
     with_lineage,
 )
 from tidemark.operators import demo, exposure, pnl, positions, quality, returns, silver, var, views
-from tidemark.plans import daily, jobs
+from tidemark.plans import daily, ingest, jobs
 from tidemark.plans.inputs import Tables
 from tidemark.schemas import MODEL, conform
-from tidemark.sources import files, tables
+from tidemark.sources import batches, files, tables
 from tidemark.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -521,6 +521,63 @@ def appended_risk_metrics_job(t: Tables) -> DataFrame:
     return _rounded(df, 2, "total_var_95", "total_var_99", "total_exposure")
 
 
+# --- published batches ---------------------------------------------------------------------------
+
+
+def _broken_trades(t: Tables) -> str:
+    """Trade files in which some lines have a date or a quantity that is none."""
+    df = t.raw_trades()
+    return _landed_csv(
+        t,
+        df.withColumns(
+            {
+                "trade_date": F.when(F.col("trade_id").endswith("-5"), "soon").otherwise(F.col("trade_date").cast("string")),
+                "quantity": F.when(F.col("trade_id").endswith("5-1") | F.col("trade_id").endswith("5-5"), "many").otherwise(
+                    F.col("quantity").cast("string")),
+            }
+        ),
+        "broken-trades-csv",
+    )
+
+
+@query
+def quarantined_trades(t: Tables) -> DataFrame:
+    """All lines of files that do not parse in part: the good ones, and the others with file and reason."""
+    source, bronze = _broken_trades(t), scratch_folder(t.spark, "bronze-trades")
+    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    good = ingest.bronze_rows(t.spark, bronze).select("trade_id", F.lit(None).cast("string").alias("reason"), "source_file")
+    bad = ingest.quarantined_rows(t.spark, bronze).select("trade_id", "reason", "source_file")
+    return good.unionByName(bad).select("trade_id", "reason", F.col("source_file").endswith(".csv").alias("has_file"))
+
+
+@query
+def ingested_once_job(t: Tables) -> DataFrame:
+    """Bronze after the same files twice, others once, and a batch that was staged but never published."""
+    source, bronze = _landed_csv(t, t.raw_trades(), "trades-csv"), scratch_folder(t.spark, "bronze-trades")
+    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    batches.stage(ingest.bronze_rows(t.spark, bronze).withColumn("unread", F.lit(0)), bronze, ingest.LAYOUT)
+    df = ingest.bronze_rows(t.spark, bronze).drop("source_file", "ingestion_timestamp", "year", "month")
+    return _rounded(df, 4, "quantity", "price")
+
+
+@query
+def gated_refine_job(t: Tables) -> DataFrame:
+    """Silver published through its gate, and left as it was by a run that the gate refuses."""
+    source, bronze, target = _broken_trades(t), scratch_folder(t.spark, "bronze-trades"), scratch_folder(t.spark, "silver")
+    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    ingest.refine_trades(t.spark, bronze, target)
+    one_currency = quality.Gate(min_rows=0, rules=(quality.InSet("one_currency", "currency", ("USD",)),))
+    try:
+        ingest.refine_trades(t.spark, bronze, target, one_currency)
+    except batches.Refused as refused:
+        reasons = len(refused.reasons)
+    else:
+        reasons = 0
+    df = ingest.silver_rows(t.spark, target).select("trade_id", "notional_value", F.lit(reasons).alias("refusals"))
+    return _rounded(df, 4, "notional_value")
+
+
 # --- jobs that continue from stored state -------------------------------------------------------
 
 

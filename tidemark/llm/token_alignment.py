@@ -25,7 +25,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +42,10 @@ from tidemark.llm.chunks import pieces, text_bytes
 from tidemark.llm.common import stored
 from tidemark.llm.wavelet_output import WordEncoder
 
-BLOCK_BYTES = 2 << 20  # of text in a block; a longer text is a block of its own
+BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
 SLICE_BYTES = 1 << 18  # bytes whose row products are formed at once
 MARK = "\u2581"  # a space, in the names of pieces
-HELD_WORDS = 200_000  # distinct words whose ids a task remembers
+HELD_WORDS = 400_000  # distinct words whose ids a task remembers
 
 
 # --- sparse matrices ----------------------------------------------------------------------------
@@ -83,17 +83,23 @@ class Rows:
         return Rows(self.starts[first : last + 1] - begin, self.indices[begin:end], self.values[begin:end], self.columns)
 
     def transposed(self) -> Rows:
-        order = np.argsort(self.indices, kind="stable")
-        row = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+        row, values = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts)), self.values
+        if (self.indices[1:] < self.indices[:-1]).any():
+            order = np.argsort(self.indices, kind="stable")
+            row, values = row[order], values[order]
         starts = np.concatenate(([0], np.cumsum(np.bincount(self.indices, minlength=self.columns))))
-        return Rows(starts, row[order], self.values[order], len(self.starts) - 1)
+        return Rows(starts, row, values, len(self.starts) - 1)
 
     def times(self, other: Rows) -> Rows:
         """Gustavson's product: row by row, the other's rows at this row's columns, equal columns added up."""
         begins, lengths = other.starts[self.indices], np.diff(other.starts)[self.indices]
-        column = gathered(other.indices, begins, lengths)
-        value = np.repeat(self.values, lengths) * gathered(other.values, begins, lengths)
-        row = np.repeat(np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts)), lengths)
+        row = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+        if (lengths == 1).all():  # every row met has one entry, as the row of a byte has
+            column, value = other.indices[begins], self.values * other.values[begins]
+        else:
+            column = gathered(other.indices, begins, lengths)
+            value = np.repeat(self.values, lengths) * gathered(other.values, begins, lengths)
+            row = np.repeat(row, lengths)
         key = row * other.columns + column
         if (key[1:] < key[:-1]).any():
             order = np.argsort(key, kind="stable")
@@ -198,6 +204,83 @@ def byte_alphabet() -> dict[str, int]:
     return {**{chr(i): i for i in own}, **{chr(256 + n): i for n, i in enumerate(rest)}}
 
 
+def byte_entries(tokenizer: Tokenizer) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary."""
+    alphabet = byte_alphabet()
+    entries = json.loads(tokenizer.to_str())["model"]["vocab"]
+    raw = [b""] * (max(entries.values()) + 1)
+    for name, i in entries.items():
+        raw[i] = bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
+    return raw
+
+
+def piece_entries(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
+    """The bytes of every piece."""
+    raw = []
+    for i in range(model.get_piece_size()):
+        name = model.id_to_piece(i)
+        if model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            raw.append(b"")
+        else:
+            raw.append(bytes([int(name[1:-1], 16)]) if model.is_byte(i) else name.replace(MARK, " ").encode())
+    return raw
+
+
+def entry_sizes(byte_file: str, piece_file: str) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes every id stands for, in both vocabularies."""
+    entries = byte_entries(Tokenizer.from_file(byte_file)), piece_entries(sentencepiece.SentencePieceProcessor(model_file=piece_file))
+    return tuple(np.array([len(r) for r in raw], np.int32) for raw in entries)
+
+
+class PieceWords:
+    """Encodes every distinct word once: a space and what follows up to the next space after another character.
+
+    No piece has a space after another character, so none lies across two words. A model where that is
+    otherwise encodes whole texts.
+    """
+
+    def __init__(self, model: sentencepiece.SentencePieceProcessor, entries: list[bytes]) -> None:
+        self.model, self.cuts = model, not any(b" " in r.lstrip(b" ") for r in entries)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.sizes, self.flat = np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        if len(self.place) > HELD_WORDS:
+            self._forget()
+        place, known = self.place, len(self.place)
+        at = [place.setdefault(w, len(place)) for w in words]
+        new = list(islice(place, known, None))
+        found = self.model.encode([w[1:] for w in new], num_threads=1)  # the model adds the space, but to no empty text
+        found = [ids if len(w) > 1 else [self.model.piece_to_id(MARK)] for w, ids in zip(new, found)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, sizes.sum())
+        self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, flat))
+        return np.array(at, np.int64)
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets between the texts) of texts that are empty or begin with the added space."""
+        data, offsets = text_bytes(column)
+        cut = np.zeros(len(data) + 1, bool)
+        if self.cuts:
+            cut[1:-1] = (data[1:] == 32) & (data[:-1] != 32)
+        cut[offsets[1:]] = False
+        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+        begins = np.flatnonzero(cut)
+        which = np.empty(0, np.int64)
+        if len(begins):
+            bounds = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
+            words = pa.Array.from_buffers(
+                pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
+            coded = words.dictionary_encode()
+            which = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        lengths = self.sizes[which]
+        ids = gathered(self.flat, (np.cumsum(self.sizes) - self.sizes)[which], lengths)
+        return ids, np.concatenate(([0], np.cumsum(lengths)))[np.searchsorted(begins, offsets)]
+
+
 class Encoders:
     """Both tokenizers, and the bytes of every id."""
 
@@ -205,24 +288,11 @@ class Encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_file(byte_file)
         tokenizer.encode_special_tokens = True
-        self.words = WordEncoder(tokenizer, HELD_WORDS)
-        alphabet = byte_alphabet()
-        entries = json.loads(tokenizer.to_str())["model"]["vocab"]
-        raw = [b""] * (max(entries.values()) + 1)
-        for name, i in entries.items():
-            raw[i] = bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
-        self.a_raw = np.frombuffer(b"".join(raw), np.uint8)
-        self.a_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
-        self.model = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        raw = [self._piece_bytes(i) for i in range(self.model.get_piece_size())]
-        self.b_raw = np.frombuffer(b"".join(raw), np.uint8)
-        self.b_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
-
-    def _piece_bytes(self, i: int) -> bytes:
-        if self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i):
-            return b""
-        name = self.model.id_to_piece(i)
-        return bytes([int(name[1:-1], 16)]) if self.model.is_byte(i) else name.replace(MARK, " ").encode()
+        model = sentencepiece.SentencePieceProcessor(model_file=piece_file)
+        entries = byte_entries(tokenizer), piece_entries(model)
+        (self.a_raw, self.a_at), (self.b_raw, self.b_at) = (
+            (np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))) for raw in entries)
+        self.words, self.pieces = WordEncoder(tokenizer, HELD_WORDS), PieceWords(model, entries[1])
 
     def block(self, column: pa.Array) -> Block:
         """The encodings of a batch's texts, without those that do not give the bytes back."""
@@ -232,9 +302,8 @@ class Encoders:
         a, a_offsets = self.words.texts(spaced)
         a = np.delete(a, a_offsets[1:] - 1).astype(np.int64)  # without the end ids
         n_a = np.diff(a_offsets) - 1
-        found = self.model.encode([t or "" for t in texts], num_threads=1)
-        n_b = np.fromiter(map(len, found), np.int64, len(found))
-        b = np.fromiter(chain.from_iterable(found), np.int64, n_b.sum())
+        b, b_offsets = self.pieces.texts(spaced)
+        b, n_b = b.astype(np.int64), np.diff(b_offsets)
         same = np.diff(offsets) > 0
         for ids, n, raw, at in ((a, n_a, self.a_raw, self.a_at), (b, n_b, self.b_raw, self.b_at)):
             sizes = np.diff(at)[ids]
@@ -245,10 +314,8 @@ class Encoders:
             differs = gathered(joined, begins, lengths) != gathered(data, offsets[:-1][same], lengths)
             wrong = np.concatenate(([0], np.cumsum(differs)))[np.concatenate(([0], np.cumsum(lengths)))]
             same[np.flatnonzero(same)[np.diff(wrong) > 0]] = False
-        return self.sized(a[np.repeat(same, n_a)], b[np.repeat(same, n_b)], np.where(same, n_a, 0), np.where(same, n_b, 0))
-
-    def sized(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> Block:
-        return Block(a, b, n_a, n_b, np.diff(self.a_at)[a], np.diff(self.b_at)[b])
+        a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
+        return Block(a, b, np.where(same, n_a, 0), np.where(same, n_b, 0), np.diff(self.a_at)[a], np.diff(self.b_at)[b])
 
 
 # --- on DataFrames ------------------------------------------------------------------------------
@@ -278,13 +345,13 @@ def encodings(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
     return stored(docs.select("doc_id", "text").mapInArrow(run, names), "alignment-blocks")
 
 
-def _read(row: dict, encoders: Encoders) -> Block:
+def _read(row: dict, sizes: tuple[np.ndarray, np.ndarray]) -> Block:
     n_a, n_b = np.array(row["n_a"], np.int64), np.array(row["n_b"], np.int64)
     ids = []
     for data, n in ((row["a"], n_a), (row["b"], n_b)):
         raw = zstandard.ZstdDecompressor().decompress(data)
         ids.append(np.frombuffer(raw, "<u2" if len(raw) == 2 * n.sum() else "<u4").astype(np.int64))
-    return encoders.sized(*ids, n_a, n_b)
+    return Block(*ids, n_a, n_b, *(size[i].astype(np.int64) for size, i in zip(sizes, ids)))
 
 
 def _pairs(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -304,13 +371,12 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
     count is the highest of their B id, ``count_sum`` adds up the counts of all links.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = encodings(docs, byte_file, piece_file)
+    blocks, sizes = encodings(docs, byte_file, piece_file), entry_sizes(byte_file, piece_file)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = Encoders(byte_file, piece_file)
         for batch in batches:
             for row in batch.to_pylist():
-                pairs, n = _pairs(_read(row, encoders))
+                pairs, n = _pairs(_read(row, sizes))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(pairs), row["block"])), pa.array(pairs), pa.array(n)], ["block", "pair", "n"])
 
@@ -328,14 +394,12 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], names).schema)
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        if "made" not in held:
-            held["made"] = Encoders(byte_file, piece_file)
         order = np.argsort(right.column("pair").to_numpy())
         pairs, total = (right.column(c).to_numpy()[order] for c in ("pair", "total"))
         best = right.column("best").to_numpy()[order].astype(np.int64)
         out = []
         for row in left.to_pylist():
-            block = _read(row, held["made"])
+            block = _read(row, sizes)
             texts = len(block.n_a)
             of_a = np.repeat(np.arange(texts), block.n_a)
             n_links, n_best, count_sum = (np.zeros(texts, np.int64) for _ in range(3))
@@ -358,5 +422,4 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
             out.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
 
-    held: dict = {}
     return blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(judge, names)

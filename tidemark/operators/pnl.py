@@ -43,7 +43,8 @@ def pnl_at(snapshots: DataFrame, as_of: date | Column) -> DataFrame:
 
     Daily P&L telescopes: a running sum is the last known unrealised P&L minus the one
     known before the sum began. So a daily job needs four values per position, which are
-    combined on the map side; history is neither sorted nor kept.
+    combined on the map side; history is neither sorted nor kept, and the date's own row is
+    picked up in the same aggregate. The parts of a position's key go with its id.
     """
     day = F.lit(as_of)
     when, known = F.col("as_of_date"), F.col("unrealized_pnl")
@@ -55,10 +56,19 @@ def pnl_at(snapshots: DataFrame, as_of: date | Column) -> DataFrame:
     seen = {
         unit: F.count(F.when(when >= begins[unit], known)).alias(f"known_in_{unit}") for unit in ("month", "year")
     }
+    keys = [c for c in ("position_id", "instrument_id", "book_id", "currency") if c in snapshots.columns]
+    own = [c for c in snapshots.columns if c not in (*keys, "as_of_date")]
     history = (
         snapshots.filter(when <= day)
-        .groupBy("position_id")
-        .agg(F.max_by(known, F.when(known.isNotNull(), when)).alias("newest"), *base.values(), *seen.values())
+        .groupBy(*keys)
+        .agg(
+            F.max_by(known, F.when(known.isNotNull(), when)).alias("newest"),
+            *base.values(),
+            *seen.values(),
+            F.count(F.when(when == day, 1)).alias("held"),
+            *[F.max(F.when(when == day, F.col(c))).alias(c) for c in own],
+        )
+        .filter(F.col("held") > 0)
     )
 
     def since(unit: str) -> Column:
@@ -69,10 +79,8 @@ def pnl_at(snapshots: DataFrame, as_of: date | Column) -> DataFrame:
         "mtd_pnl": F.when(F.col("known_in_month") > 0, since("month")),
         "ytd_pnl": F.when(F.col("known_in_year") > 0, since("year")),
     }
-    current = snapshots.filter(when == day)
-    # One row per position on both sides: no hot keys, so the grouping's partitions can be reused.
-    return current.join(history, "position_id", "left").select(
-        *current.columns, *[c.cast(MONEY).alias(name) for name, c in profit.items()]
+    return history.withColumn("as_of_date", day).select(
+        *snapshots.columns, *[c.cast(MONEY).alias(name) for name, c in profit.items()]
     )
 
 

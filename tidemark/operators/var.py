@@ -102,14 +102,22 @@ def latest_snapshot(positions: DataFrame, as_of: date | Column | None = None) ->
     return positions.filter(F.col("as_of_date") == day)
 
 
-def attach_var(positions: DataFrame, var: DataFrame, levels: Sequence[float] = LEVELS) -> DataFrame:
+def attach_var(
+    positions: DataFrame, var: DataFrame, levels: Sequence[float] = LEVELS, bucketed: bool = False
+) -> DataFrame:
     """Position VaR and CVaR: market value times the size of the instrument's return.
 
-    A position without VaR stays, with NULL. A short position yields a negative figure.
+    A position without VaR stays, with NULL. A short position yields a negative figure. ``bucketed`` is
+    for two tables stored in the same buckets by instrument: they are joined where they lie, and an
+    instrument's rows stay in one task.
     """
     value = F.col("market_value").cast("double")
     tags = [f"{kind}_{level_tag(level)}" for level in levels for kind in ("var", "cvar")]
-    joined = lookup_join(positions, var.select("instrument_id", *[f"{t}_pct" for t in tags]), "instrument_id")
+    sizes = var.select("instrument_id", *[f"{t}_pct" for t in tags])
+    if bucketed:
+        joined = positions.join(sizes, "instrument_id", "left")
+    else:
+        joined = lookup_join(positions, sizes, "instrument_id")
     return joined.withColumns({t: value * F.abs(F.col(f"{t}_pct")) for t in tags})
 
 

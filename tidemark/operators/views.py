@@ -1,7 +1,8 @@
 """Reporting views over the dimensional model.
 
-Both views join facts that repeat their join key. Each fact is summed per key before the
-join, so the join sees one row per key and a hot key costs no more than any other.
+The portfolio view sets two facts beside each other that repeat their key. Both are stacked and summed per
+key in one hash aggregate, which knows how often either would repeat the other: nothing is joined but
+one row per key to the instruments, and a hot key costs no more than any other.
 """
 
 from __future__ import annotations
@@ -12,27 +13,28 @@ _FACT_KEY = ["instrument_id", "as_of_date"]
 _GROUP = ["as_of_date", "asset_class", "sector"]
 
 
-def _summary(positions: DataFrame, instruments: DataFrame, risk: DataFrame, fan_out: bool) -> DataFrame:
-    held = positions.groupBy(*_FACT_KEY).agg(
-        F.count(F.lit(1)).alias("held_rows"),
+def _per_key(facts: DataFrame) -> DataFrame:
+    """Sums and row counts of stacked facts; ``held`` and ``risked`` mark what a row is."""
+    return facts.groupBy(*_FACT_KEY).agg(
+        F.count("held").alias("held_rows"),
+        F.count("risked").alias("risk_rows"),
         F.sum("market_value").alias("market_value"),
         F.sum("unrealized_pnl").alias("unrealized_pnl"),
-    )
-    risked = risk.groupBy(*_FACT_KEY).agg(
-        F.count(F.lit(1)).alias("risk_rows"),
         F.sum("var_95").alias("var_95"),
         F.count("var_95").alias("var_95_rows"),
         F.sum("daily_pnl").alias("daily_pnl"),
     )
 
+
+def _grouped(per_key: DataFrame, instruments: DataFrame, fan_out: bool) -> DataFrame:
     def repeated(column: str, times: str) -> Column:
         """The sum of a column whose every row the row-level join would repeat."""
         if not fan_out:
             return F.sum(column)
-        return F.sum(F.col(column) * F.coalesce(F.col(times), F.lit(1)))
+        return F.sum(F.col(column) * F.greatest(F.col(times), F.lit(1)))
 
     return (
-        held.join(risked, _FACT_KEY, "left")
+        per_key.filter(F.col("held_rows") > 0)
         .join(instruments.select("instrument_id", "asset_class", "sector"), "instrument_id", "left")
         .groupBy(*_GROUP)
         .agg(
@@ -47,6 +49,33 @@ def _summary(positions: DataFrame, instruments: DataFrame, risk: DataFrame, fan_
     )
 
 
+def _summary(positions: DataFrame, instruments: DataFrame, risk: DataFrame, fan_out: bool) -> DataFrame:
+    held = positions.select(*_FACT_KEY, "market_value", "unrealized_pnl", F.lit(1).alias("held"))
+    # A risk row without a key would be joined to nothing, but grouping puts missing keys together.
+    risked = risk.filter(F.col("instrument_id").isNotNull() & F.col("as_of_date").isNotNull()).select(
+        *_FACT_KEY, "var_95", "daily_pnl", F.lit(1).alias("risked")
+    )
+    return _grouped(_per_key(held.unionByName(risked, allowMissingColumns=True)), instruments, fan_out)
+
+
+def portfolio_summary_of(level: DataFrame, instruments: DataFrame, fan_out: bool = True) -> DataFrame:
+    """Portfolio view where each position carries its own risk row: ``var_95`` and ``daily_pnl`` beside it.
+
+    The result of ``portfolio_summary`` (or, without ``fan_out``, of ``portfolio_summary_once``) over the
+    positions and the risk rows made from them, with these evaluated once.
+    """
+    keyed = F.col("instrument_id").isNotNull() & F.col("as_of_date").isNotNull()
+    facts = level.select(
+        *_FACT_KEY,
+        "market_value",
+        "unrealized_pnl",
+        F.lit(1).alias("held"),
+        F.when(keyed, 1).alias("risked"),
+        *[F.when(keyed, F.col(c)).alias(c) for c in ("var_95", "daily_pnl")],
+    )
+    return _grouped(_per_key(facts), instruments, fan_out)
+
+
 def portfolio_summary(positions: DataFrame, instruments: DataFrame, risk: DataFrame) -> DataFrame:
     """Portfolio view as published, with the results of joining positions to risk row by row.
 

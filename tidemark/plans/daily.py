@@ -11,7 +11,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import months_between
-from tidemark.operators import pnl, positions, returns, silver
+from tidemark.operators import exposure, pnl, positions, returns, silver
 from tidemark.schemas import FCT_POSITIONS, conform
 from tidemark.sources import tables
 
@@ -22,12 +22,16 @@ def _next_month(day: date) -> date:
     return (day.replace(day=1) + timedelta(days=32)).replace(day=1)
 
 
+def _rows_of(spark: SparkSession, source: str | DataFrame, fmt: str) -> DataFrame:
+    return source if isinstance(source, DataFrame) else tables.read_table(spark, source, fmt)
+
+
 # --- enriched prices ----------------------------------------------------------------------------
 
 
 def extend_prices(
     spark: SparkSession,
-    bronze: str,
+    bronze: str | DataFrame,
     target: str,
     carry: str,
     until: date,
@@ -55,7 +59,7 @@ def extend_prices(
     last = (ends[-1] if ends else start) - timedelta(days=1)
     written = months_between(start, last)
     if ends:
-        months = tables.read_table(spark, bronze, fmt).filter(written)
+        months = _rows_of(spark, bronze, fmt).filter(written)
         enriched = returns.continue_returns(silver.silver_prices(months), before)
         tables.replace_touched_partitions(enriched, target, YEAR_MONTH, fmt)
     stored = tables.read_table(spark, target, fmt).filter(written)
@@ -99,8 +103,8 @@ def _between(df: DataFrame, column: str, after: date | None, until: date) -> Dat
 
 def advance_positions(
     spark: SparkSession,
-    trades: str,
-    prices: str,
+    trades: str | DataFrame,
+    prices: str | DataFrame,
     state: str,
     target: str,
     day: date,
@@ -119,8 +123,8 @@ def advance_positions(
     def stored(path: str, when: date | None) -> DataFrame | None:
         return None if when is None else tables.read_table(spark, path, fmt).filter(F.col("as_of_date") == F.lit(when))
 
-    new_trades = _between(tables.read_table(spark, trades, fmt), "trade_date", base, day)
-    new_prices = _between(tables.read_table(spark, prices, fmt), "price_date", base, day)
+    new_trades = _between(_rows_of(spark, trades, fmt), "trade_date", base, day)
+    new_prices = _between(_rows_of(spark, prices, fmt), "price_date", base, day)
     for path, advanced in (
         (holdings, positions.advanced_holdings(stored(holdings, base), new_trades)),
         (closes, positions.advanced_closes(stored(closes, base), new_prices)),
@@ -159,3 +163,18 @@ def advance_pnl(
     tables.replace_touched_partitions(pnl.pnl_rows(advanced), target, ["as_of_date"], fmt)
     tables.replace_touched_partitions(pnl.pnl_state(advanced), state, ["as_of_date"], fmt)
     return tables.read_table(spark, target, fmt).filter(F.col("as_of_date") == F.lit(day))
+
+
+# --- exposure -----------------------------------------------------------------------------------
+
+
+def publish_exposures(
+    spark: SparkSession, held: str, instruments: DataFrame, target: str, day: date, fmt: str = tables.DEFAULT_FORMAT
+) -> DataFrame:
+    """Store a day's net and gross exposure per instrument and sector; returns the sectors'."""
+    snapshot = tables.read_table(spark, held, fmt).filter(F.col("as_of_date") == F.lit(day))
+    for name, df in (
+        ("instruments", exposure.instrument_exposure(snapshot)), ("sectors", exposure.sector_exposure(snapshot, instruments))
+    ):
+        tables.replace_touched_partitions(df, f"{target.rstrip('/')}/{name}", ["as_of_date"], fmt)
+    return tables.read_table(spark, f"{target.rstrip('/')}/sectors", fmt).filter(F.col("as_of_date") == F.lit(day))

@@ -551,10 +551,11 @@ def _portfolio(positions: str, risk: str) -> str:
     GROUP BY ALL"""
 
 
-_oracle(
-    "portfolio_summary", _portfolio("current_positions", "risk_metrics"),
-    "current_positions", "risk_metrics", "instruments",
-)
+for _query in ("portfolio_summary", "portfolio_summary_of_facts"):
+    _oracle(
+        _query, _portfolio("current_positions", "risk_metrics"),
+        "current_positions", "risk_metrics", "instruments",
+    )
 _oracle(
     "portfolio_summary_once",
     """
@@ -591,12 +592,40 @@ _oracle(
     "risk_metrics",
     "counterparties",
 )
+
+
+def _view_rows(positions: str, risk: str) -> str:
+    """Both views over the model tables, in common columns. Gold names no counterparty and has no credit exposure."""
+    return f"""
+    SELECT 'portfolio' AS view_name, as_of_date, asset_class AS name_1, sector AS name_2, CAST(instrument_count AS DOUBLE) AS instruments,
+           total_market_value AS amount, total_unrealized_pnl AS pnl, avg_var_95
+    FROM ({_portfolio(positions, risk)})
+    UNION ALL
+    SELECT 'counterparty', as_of_date, NULL, NULL, NULL, NULL, NULL, round(avg(var_95), 2) FROM {risk} GROUP BY as_of_date"""
+
+
+_step(
+    "stored_risk",
+    "SELECT * REPLACE (CAST(round(var_95, 2) AS DECIMAL(18,2)) AS var_95) FROM risk_metrics",
+    "risk_metrics",
+)
+_oracle("reporting_views", _view_rows("current_positions", "stored_risk"), "current_positions", "stored_risk", "instruments")
+_step(
+    "lane_var",
+    f"""
+    SELECT as_of_date, instrument_id, CAST(round(CAST(market_value AS DOUBLE) * abs(var_95_pct), 2) AS DECIMAL(18,2)) AS var_95,
+           CAST(NULL AS DECIMAL(18,2)) AS daily_pnl
+    FROM current_positions LEFT JOIN silver_var USING (instrument_id)""",
+    "current_positions",
+    "silver_var",
+)
+_oracle("files_to_views_job", _view_rows("current_positions", "lane_var"), "current_positions", "lane_var", "instruments")
 _oracle(
-    "reporting_views",
-    f"SELECT 'portfolio' AS view_name, count(*) AS view_rows "
-    f"FROM ({_portfolio('current_positions', 'risk_metrics')}) "
-    f"UNION ALL SELECT 'counterparty', count(*) FROM ({_COUNTERPARTY_VIEW.format('trade_risk')})",
-    "current_positions", "risk_metrics", "instruments", "trade_risk", "counterparties",
+    "bucketed_position_var",
+    "SELECT position_id, as_of_date, instrument_id, book_id, "
+    + _money("market_value", "var_95", "cvar_95", "var_99", "cvar_99")
+    + " FROM position_var",
+    "position_var",
 )
 
 # --- data quality -----------------------------------------------------------------------
@@ -833,14 +862,42 @@ _oracle("staged_demo_tables", _DEMO_PRICES, "demo_prices")
 _oracle("demo_prices_job", _DEMO_PRICES, "demo_prices")
 _oracle("demo_positions_job", _DEMO_POSITIONS, "demo_positions")
 _oracle("demo_risk_job", _DEMO_RISK, "demo_risk")
+
+
+def _shown(table: str, source: str, key: str, day: str, text_1: str, text_2: str, number_1: str, number_2: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, {key} AS row_key, CAST({day} AS DATE) AS row_date, CAST({text_1} AS VARCHAR) AS text_1, "
+        f"CAST({text_2} AS VARCHAR) AS text_2, CAST(round({number_1}, 2) AS DOUBLE) AS number_1, "
+        f"CAST(round({number_2}, 2) AS DOUBLE) AS number_2 FROM {source}"
+    )
+
+
 _oracle(
     "model_tables",
-    "SELECT (SELECT count(*) FROM silver_trades) AS dim_trades_cnt, "
-    "(SELECT count(*) FROM instruments) AS dim_instruments_cnt, "
-    "(SELECT count(*) FROM counterparties) AS dim_counterparties_cnt, "
-    "(SELECT count(*) FROM silver_prices) AS fct_market_prices_cnt, "
-    "(SELECT count(*) FROM current_positions) AS fct_positions_cnt, "
-    "(SELECT count(*) FROM risk_metrics) AS fct_risk_metrics_cnt",
-    "silver_trades", "instruments", "counterparties", "silver_prices", "current_positions", "risk_metrics",
+    " UNION ALL ".join(
+        [
+            _shown("dim_trades", "silver_trades", "trade_id", "trade_date", "trade_type", "status", "quantity", "price"),
+            _shown("dim_instruments", "instruments", "instrument_id", "NULL", "asset_class", "sector", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+            _shown("dim_counterparties", "counterparties", "counterparty_id", "NULL", "counterparty_name", "credit_rating",
+                   "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+            _shown("fct_market_prices", "silver_prices", "price_id", "price_date", "instrument_id", "source", "close_price", "volume"),
+            _shown("fct_positions", "current_positions", "position_id", "as_of_date", "book_id", "currency", "quantity", "unrealized_pnl"),
+            _shown("fct_risk_metrics", "stored_risk", "metric_id", "as_of_date", "instrument_id", "book_id", "var_95", "market_exposure"),
+        ]
+    ),
+    "silver_trades", "instruments", "counterparties", "silver_prices", "current_positions", "stored_risk",
+)
+_oracle(
+    "demo_lane_job",
+    f"SELECT *, (SELECT count(*) FROM demo_trades) AS trades_cnt, (SELECT count(*) FROM demo_prices) AS prices_cnt, "
+    "(SELECT count(*) FROM demo_positions) AS positions_cnt, (SELECT count(*) FROM demo_risk) AS risk_cnt "
+    f"FROM ({_DEMO_RISK})",
+    "demo_trades", "demo_prices", "demo_positions", "demo_risk",
+)
+_oracle(
+    "bronze_sample",
+    "SELECT price_id, price_date, instrument_id, CAST(round(close_price, 4) AS DOUBLE) AS close_price "
+    "FROM raw_prices ORDER BY md5(price_id), price_id LIMIT 10",
+    "raw_prices",
 )
 _oracle("bronze_sample_size", "SELECT least(10, count(*)) AS sampled_rows FROM lineitem")

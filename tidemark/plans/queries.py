@@ -6,8 +6,10 @@ results are compared with SQL.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,7 +25,7 @@ from tidemark.functions import (
     with_lineage,
 )
 from tidemark.operators import demo, exposure, pnl, positions, quality, returns, silver, var, views
-from tidemark.plans import daily, ingest, jobs
+from tidemark.plans import daily, ingest, jobs, lane
 from tidemark.plans.inputs import Tables
 from tidemark.schemas import MODEL, conform
 from tidemark.sources import batches, files, tables
@@ -165,10 +167,8 @@ def risk_metrics(t: Tables) -> DataFrame:
 @query
 def complete_risk_metrics(t: Tables) -> DataFrame:
     """Month-end snapshots, so that the P&L columns have a history to come from."""
-    monthly = pnl.position_pnl(_snapshots(t))
-    level = var.position_var(
-        monthly, var.instrument_var(_recent_returns(t)), as_of=F.last_day(F.lit(t.last_day))
-    )
+    newest = pnl.pnl_at(_snapshots(t), F.last_day(F.lit(t.last_day)))
+    level = var.attach_var(newest, var.instrument_var(_recent_returns(t)))
     df = var.complete_risk_metrics(level).drop("created_at", "counterparty_id")
     keep = ("metric_id", "as_of_date", "instrument_id", "book_id")
     return _rounded(df, 2, *[c for c in df.columns if c not in keep])
@@ -252,7 +252,10 @@ def position_snapshots(t: Tables) -> DataFrame:
 
 @query
 def latest_snapshot(t: Tables) -> DataFrame:
-    return _rounded(var.latest_snapshot(_snapshots(t)), 2, *_POSITION_MONEY)
+    """The newest date of a stored table of snapshots: its partition alone is read."""
+    held = scratch_folder(t.spark, "snapshots")
+    tables.append_partitioned(_snapshots(t), held, ["as_of_date"])
+    return _rounded(var.latest_snapshot(tables.read_table(t.spark, held)), 2, *_POSITION_MONEY)
 
 
 @query
@@ -298,27 +301,35 @@ def counterparty_exposure(t: Tables) -> DataFrame:
     return _rounded(df, 2, "net_notional", "gross_notional")
 
 
+def _with_daily_pnl(level: DataFrame) -> DataFrame:
+    """The published gold rows have no P&L."""
+    return level.withColumn("daily_pnl", F.lit(None).cast("decimal(18,2)"))
+
+
 @query
 def portfolio_summary(t: Tables) -> DataFrame:
-    df = views.portfolio_summary(_current_positions(t), t.instruments(), var.risk_metrics(_position_var(t)))
+    df = views.portfolio_summary_of(_with_daily_pnl(_position_var(t)), t.instruments())
     return _rounded(df, 2, *_SUMMARY_MONEY)
 
 
 @query
 def portfolio_summary_once(t: Tables) -> DataFrame:
-    df = views.portfolio_summary_once(
-        _current_positions(t), t.instruments(), var.risk_metrics(_position_var(t))
-    )
+    df = views.portfolio_summary_of(_with_daily_pnl(_position_var(t)), t.instruments(), fan_out=False)
+    return _rounded(df, 2, *_SUMMARY_MONEY)
+
+
+@query
+def portfolio_summary_of_facts(t: Tables) -> DataFrame:
+    """The view over two facts of their own, stacked into one aggregate."""
+    df = views.portfolio_summary(_current_positions(t), t.instruments(), var.risk_metrics(_position_var(t)))
     return _rounded(df, 2, *_SUMMARY_MONEY)
 
 
 @query
 def portfolio_history(t: Tables) -> DataFrame:
     """The view over all month ends, with P&L and today's VaR returns applied to each."""
-    monthly = _snapshots(t)
-    risk = var.attach_var(pnl.position_pnl(monthly), var.instrument_var(_recent_returns(t)))
-    df = views.portfolio_summary(monthly, t.instruments(), risk)
-    return _rounded(df, 2, *_SUMMARY_MONEY)
+    level = var.attach_var(pnl.position_pnl(_snapshots(t)), var.instrument_var(_recent_returns(t)))
+    return _rounded(views.portfolio_summary_of(level, t.instruments()), 2, *_SUMMARY_MONEY)
 
 
 @query
@@ -700,17 +711,13 @@ def demo_risk_job(t: Tables) -> DataFrame:
     jobs.publish_demo_risk_metrics(t.spark, held, empty, name, path=target)
     jobs.publish_demo_risk_metrics(t.spark, held, prices, name, path=target)
     df = jobs.publish_demo_risk_metrics(t.spark, held, empty, name, path=target, keep_existing=True)
-    return _rounded(df, 4, "position_qty", "last_price", "pnl_mock")
+    df = _kept(t, _rounded(df, 4, "position_qty", "last_price", "pnl_mock"), "demo-risk-rows")
+    t.spark.sql(f"DROP TABLE {name}")
+    return df
 
 
-@query
-def model_tables(t: Tables) -> DataFrame:
-    """The six typed tables, created, filled from the derived frames and counted by name."""
-    path = scratch_folder(t.spark, "model")
-    database = _table_name("model")
-    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
-    tables.create_model_tables(t.spark, database, path=path)
-    content = {
+def _model_content(t: Tables) -> dict[str, DataFrame]:
+    return {
         "dim_trades": _silver_trades(t),
         "dim_instruments": t.instruments(),
         "dim_counterparties": t.counterparties(),
@@ -718,32 +725,130 @@ def model_tables(t: Tables) -> DataFrame:
         "fct_positions": _current_positions(t),
         "fct_risk_metrics": var.risk_metrics(_position_var(t)),
     }
-    for name, df in content.items():
+
+
+@contextmanager
+def _database(t: Tables, purpose: str) -> Iterator[tuple[str, str]]:
+    """(name, folder) of a database of this run alone, dropped afterwards; its files stay in the scratch folder."""
+    name, path = _table_name(purpose), scratch_folder(t.spark, purpose)
+    t.spark.sql(f"CREATE DATABASE {name} LOCATION '{path}/warehouse'")
+    try:
+        yield name, path
+    finally:
+        t.spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _kept(t: Tables, df: DataFrame, purpose: str) -> DataFrame:
+    """The rows stored, for a result that outlives the tables it is read from."""
+    path = scratch_folder(t.spark, purpose)
+    tables.overwrite(df, path)
+    return tables.read_table(t.spark, path)
+
+
+def _filled_model(t: Tables, database: str, path: str) -> dict[str, DataFrame]:
+    tables.create_model_tables(t.spark, database, path=path)
+    for name, df in _model_content(t).items():
         tables.insert_rows(conform(df, MODEL[name][0]), f"{database}.{name}")
-    return quality.row_counts({n: tables.named_table(t.spark, f"{database}.{n}") for n in content})
+    return {name: tables.named_table(t.spark, f"{database}.{name}") for name in MODEL}
+
+
+# table -> its key, a date, two texts and two numbers, as model_tables shows them
+_SHOWN = {
+    "dim_trades": ("trade_id", "trade_date", "trade_type", "status", "quantity", "price"),
+    "dim_instruments": ("instrument_id", "maturity_date", "asset_class", "sector", "coupon_rate", "coupon_rate"),
+    "dim_counterparties": ("counterparty_id", None, "counterparty_name", "credit_rating", None, None),
+    "fct_market_prices": ("price_id", "price_date", "instrument_id", "source", "close_price", "volume"),
+    "fct_positions": ("position_id", "as_of_date", "book_id", "currency", "quantity", "unrealized_pnl"),
+    "fct_risk_metrics": ("metric_id", "as_of_date", "instrument_id", "book_id", "var_95", "market_exposure"),
+}
 
 
 @query
-def reporting_views(t: Tables) -> DataFrame:
-    """Both views published under names and queried in SQL."""
-    suffix = _table_name("v")
-    risk = var.risk_metrics(_position_var(t))
-    tables.create_views(
-        {
-            f"portfolio_{suffix}": views.portfolio_summary(_current_positions(t), t.instruments(), risk),
-            f"counterparty_{suffix}": views.counterparty_risk(_trade_risk(t), t.counterparties()),
-        }
+def model_tables(t: Tables) -> DataFrame:
+    """The rows of the six typed tables, created, filled from the derived frames and read by name."""
+    with _database(t, "model") as (database, path):
+        parts = []
+        for name, df in _filled_model(t, database, path).items():
+            key, day, *texts, first, second = (F.lit(None) if c is None else F.col(c) for c in _SHOWN[name])
+            parts.append(
+                df.select(
+                    F.lit(name).alias("table_name"), key.alias("row_key"), day.cast("date").alias("row_date"),
+                    *[c.cast("string").alias(f"text_{i}") for i, c in enumerate(texts, 1)],
+                    F.round(first, 2).cast("double").alias("number_1"), F.round(second, 2).cast("double").alias("number_2"),
+                )
+            )
+        return _kept(t, reduce(DataFrame.unionByName, parts), "model-rows")
+
+
+def _view_rows(views_by_name: dict[str, DataFrame]) -> DataFrame:
+    """Both views in common columns."""
+    portfolio = views_by_name["vw_portfolio_summary"].select(
+        F.lit("portfolio").alias("view_name"), "as_of_date", F.col("asset_class").alias("name_1"),
+        F.col("sector").alias("name_2"), F.col("instrument_count").cast("double").alias("instruments"),
+        F.col("total_market_value").cast("double").alias("amount"), F.col("total_unrealized_pnl").cast("double").alias("pnl"),
+        F.round(F.col("avg_var_95").cast("double"), 2).alias("avg_var_95"),
     )
-    return t.spark.sql(
-        f"SELECT 'portfolio' AS view_name, count(*) AS view_rows FROM portfolio_{suffix} "
-        f"UNION ALL SELECT 'counterparty', count(*) FROM counterparty_{suffix}"
+    counterparty = views_by_name["vw_counterparty_risk"].select(
+        F.lit("counterparty").alias("view_name"), "as_of_date", F.col("counterparty_id").alias("name_1"),
+        F.col("credit_rating").alias("name_2"), F.lit(None).cast("double").alias("instruments"),
+        F.col("total_credit_exposure").cast("double").alias("amount"), F.lit(None).cast("double").alias("pnl"),
+        F.round(F.col("avg_var_95").cast("double"), 2).alias("avg_var_95"),
     )
+    return portfolio.unionByName(counterparty)
+
+
+@query
+def reporting_views(t: Tables) -> DataFrame:
+    """Both views created over the model tables, and read by name in another session."""
+    with _database(t, "views") as (database, path):
+        _filled_model(t, database, path)
+        tables.create_model_views(t.spark, database)
+        other = t.spark.newSession()
+        shown = {n: tables.named_table(other, f"{database}.{n}") for n in ("vw_portfolio_summary", "vw_counterparty_risk")}
+        target = scratch_folder(t.spark, "view-rows")
+        tables.overwrite(_view_rows(shown), target)
+        return tables.read_table(t.spark, target)
+
+
+@query
+def files_to_views_job(t: Tables) -> DataFrame:
+    """A whole run from landing files to both views, read by name."""
+    trades, prices = _landed_csv(t, t.raw_trades(), "trades-csv"), _landed_csv(t, t.raw_prices(), "prices-csv")
+    with _database(t, "lane") as (database, path):
+        shown = lane.files_to_views(
+            t.spark, f"{trades}/*.csv", f"{prices}/*.csv", path, database, t.last_day, t.instruments(), t.counterparties())
+        return _kept(t, _view_rows(shown), "lane-rows")
+
+
+@query
+def demo_lane_job(t: Tables) -> DataFrame:
+    """The demo lane from files to its catalog tables: mock P&L rows, with the sizes of all four tables."""
+    trades, prices = _landed_csv(t, t.demo_trades(), "demo-trades-csv"), _landed_csv(t, t.demo_prices(), "demo-prices-csv")
+    with _database(t, "demo") as (database, path):
+        found = lane.demo_lane(t.spark, trades, prices, path, database)
+        sizes = tables.fetch_row(quality.row_counts(found))
+        df = found["risk"].withColumns({name: F.lit(size) for name, size in sizes.items()})
+        return _kept(t, _rounded(df, 4, "position_qty", "last_price", "pnl_mock"), "demo-lane-rows")
+
+
+@query
+def bucketed_position_var(t: Tables) -> DataFrame:
+    """Positions and VaR stored in the same buckets by instrument, joined where they lie."""
+    with _database(t, "buckets") as (database, path):
+        stored = {"held": _current_positions(t), "sizes": var.instrument_var(_recent_returns(t))}
+        for name, df in stored.items():
+            tables.create_bucketed_table(df, f"{database}.{name}", "instrument_id", 8, path=f"{path}/{name}")
+        held, sizes = (tables.named_table(t.spark, f"{database}.{n}") for n in stored)
+        df = var.attach_var(held, sizes, bucketed=True).select(
+            "position_id", "as_of_date", "instrument_id", "book_id", "market_value", *_POSITION_VAR_COLUMNS)
+        return _kept(t, _rounded(df, 2, "market_value", *_POSITION_VAR_COLUMNS), "bucketed-rows")
 
 
 @query
 def bronze_sample(t: Tables) -> DataFrame:
-    """Ten arbitrary rows, as the ingest job shows them."""
-    return tables.sample_rows(t.raw_prices())
+    """Ten rows to look at, as the ingest job shows them: those whose ids have the smallest hashes."""
+    df = tables.sample_rows(t.raw_prices(), key="price_id").select("price_id", "price_date", "instrument_id", "close_price")
+    return _rounded(df, 4, "close_price")
 
 
 @query

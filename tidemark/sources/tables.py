@@ -126,9 +126,66 @@ def create_views(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def sample_rows(df: DataFrame, rows: int = 10) -> DataFrame:
-    """A few arbitrary rows to look at."""
-    return df.limit(rows)
+def create_bucketed_table(
+    df: DataFrame, name: str, by: str, buckets: int, fmt: str = DEFAULT_FORMAT, path: str | None = None
+) -> None:
+    """Store a table in hash buckets of a join key, a file or more per bucket, sorted within.
+
+    Tables in equally many buckets of the same key are joined and grouped by it without a shuffle. Rows are
+    brought together by bucket before the write, so that a task writes a bucket, not a piece of all.
+    """
+    writer = df.repartition(buckets, by).write.format(fmt).mode("overwrite").bucketBy(buckets, by).sortBy(by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
+# The published definitions; each fact is summed per key before the join, with the result of the row-level one.
+_VIEWS = {
+    "vw_portfolio_summary": """
+        WITH held AS (
+            SELECT instrument_id, as_of_date, count(*) AS held_rows, sum(market_value) AS market_value,
+                   sum(unrealized_pnl) AS unrealized_pnl
+            FROM {0}.fct_positions GROUP BY instrument_id, as_of_date),
+        risked AS (
+            SELECT instrument_id, as_of_date, count(*) AS risk_rows, sum(var_95) AS var_95,
+                   count(var_95) AS var_95_rows, sum(daily_pnl) AS daily_pnl
+            FROM {0}.fct_risk_metrics GROUP BY instrument_id, as_of_date)
+        SELECT h.as_of_date, i.asset_class, i.sector, count(DISTINCT h.instrument_id) AS instrument_count,
+               sum(h.market_value * coalesce(r.risk_rows, 1)) AS total_market_value,
+               sum(h.unrealized_pnl * coalesce(r.risk_rows, 1)) AS total_unrealized_pnl,
+               try_divide(sum(r.var_95 * h.held_rows), sum(r.var_95_rows * h.held_rows)) AS avg_var_95,
+               sum(r.daily_pnl * h.held_rows) AS total_daily_pnl
+        FROM held h LEFT JOIN risked r ON h.instrument_id = r.instrument_id AND h.as_of_date = r.as_of_date
+        LEFT JOIN {0}.dim_instruments i ON h.instrument_id = i.instrument_id
+        GROUP BY h.as_of_date, i.asset_class, i.sector""",
+    "vw_counterparty_risk": """
+        WITH risked AS (
+            SELECT counterparty_id, as_of_date, sum(credit_exposure) AS credit_exposure, sum(var_95) AS var_95,
+                   count(var_95) AS var_95_rows
+            FROM {0}.fct_risk_metrics GROUP BY counterparty_id, as_of_date)
+        SELECT r.as_of_date, c.counterparty_id, c.counterparty_name, c.credit_rating,
+               sum(r.credit_exposure) AS total_credit_exposure,
+               try_divide(sum(r.var_95), sum(r.var_95_rows)) AS avg_var_95
+        FROM risked r LEFT JOIN {0}.dim_counterparties c ON r.counterparty_id = c.counterparty_id
+        GROUP BY r.as_of_date, c.counterparty_id, c.counterparty_name, c.credit_rating""",
+}
+
+
+def create_model_views(spark: SparkSession, database: str) -> None:
+    """Create or replace both reporting views over the model tables: by name, for every session."""
+    for name, text in _VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text.format(database)}")
+
+
+def sample_rows(df: DataFrame, rows: int = 10, key: str | None = None) -> DataFrame:
+    """A few rows to look at: arbitrary ones, or with ``key`` those whose key has the smallest hash.
+
+    The latter are the same whatever the partitioning; each task keeps its own few, which are merged.
+    """
+    if key is None:
+        return df.limit(rows)
+    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(rows)
 
 
 def fetch_row(df: DataFrame) -> dict[str, object]:

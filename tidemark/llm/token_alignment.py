@@ -52,10 +52,18 @@ HELD_WORDS = 200_000  # distinct words whose ids a task remembers
 
 
 def gathered(values: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The slices values[b : b + n], one after the other."""
+    """The slices values[b : b + n], one after the other; place numbers are made for a part of them at a time."""
     ends = np.cumsum(lengths)
-    step = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
-    return values[np.repeat(begins, lengths) + step]
+    total = int(ends[-1]) if len(ends) else 0
+    out = np.empty(total, values.dtype)
+    first, at = 0, 0
+    for last in [*np.searchsorted(ends, np.arange(SLICE_BYTES, total, SLICE_BYTES)).tolist(), len(ends)]:
+        if last > first:
+            n = lengths[first:last]
+            here = int(ends[last - 1])
+            out[at:here] = values[np.arange(at, here) + np.repeat(begins[first:last] - ends[first:last] + n, n)]
+            first, at = last, here
+    return out
 
 
 @dataclass(frozen=True)

@@ -5,13 +5,17 @@ the document and of the lines beside it. Two labels, good and bad, form a chain.
 quality is the mean of its lines' marginal probabilities of good, weighted by their length, put
 through a logistic curve that is fitted with the field.
 
-The field is fitted on at most SAMPLE labelled documents (those first by a hash of the id), whose
-lines take the label of their document. Everything else sees all documents.
+The field is fitted on at most SAMPLE labelled documents with at most LINES lines together (whole
+documents of LONGEST lines at most, those first by a hash of the id). Their lines' labels are hidden: what is known is the
+document's label, which each line bears out with odds of EVIDENCE to one. Beginning with single lines
+that take their document's label, a few rounds of expectation put in the lines' posterior labels, from
+the chain and that evidence, and fit the field to them. So a sound line of a bad document can be
+good. Everything else sees all documents.
 
 Defined cases: a missing or empty text, or one without a word, scores like a document of one line
 without content; labels that are missing are not learned from, and repeated labels of one id count
-once, by their mean; without any label every score is 0.5; repeated rows are scored alike; other
-columns are ignored; an empty table gives no rows.
+once, by their mean; of several rows with a labelled id one is learned from; without any label every
+score is 0.5; repeated rows are scored alike; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +32,13 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from tidemark.llm.chunks import pieces, text_bytes
 
 SAMPLE = 6000
+LINES = 400_000  # of the sample, held by the driver as features
+LONGEST = 2000  # lines of a document to learn from
+EVIDENCE = 10.0
+ROUNDS = 3
 HELD_OUT_OF, HELD_OUT = 3, 1
-STEPS, RATE, RIDGE = 250, 0.1, 1e-3
+FIRST_STEPS, STEPS, RATE, RIDGE = 120, 60, 0.1, 1e-3
+STAY_RIDGE = 0.1  # the evidence is shared by all lines of a text, which makes neighbours look more alike than they are
 
 _is = lambda characters: np.isin(np.arange(256), np.frombuffer(characters, np.uint8))
 SPACE = _is(b" \t\n\x0b\x0c\r")
@@ -209,20 +218,43 @@ def _adam(gradient, start: np.ndarray, steps: int) -> np.ndarray:  # noqa: ANN00
     return value
 
 
-def fit(x: np.ndarray, text: np.ndarray, size: np.ndarray, label: np.ndarray) -> Model:
-    """Most likely weights for the labels of the texts, with a ridge; then the curve."""
+def expected(
+    p: np.ndarray, x: np.ndarray, text: np.ndarray, label: np.ndarray, evidence: float = EVIDENCE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's probability of good and each pair's of good-good and bad-bad, given the documents' labels too."""
+    width = x.shape[1]
+    told = np.log(evidence) * (2.0 * label[text] - 1)
+    prob, pairs, _, _ = chain(x @ p[:width] + told, text, p[width:])
+    return prob, pairs
+
+
+def field_gradient(p: np.ndarray, x: np.ndarray, text: np.ndarray, observed: np.ndarray) -> np.ndarray:
+    """Of the likelihood of line labels with the observed statistics: these less the expected ones."""
+    width = x.shape[1]
+    prob, pairs, _, _ = chain(x @ p[:width], text, p[width:])
+    ridge = np.append(np.full(width, RIDGE), [STAY_RIDGE, STAY_RIDGE])
+    return (observed - np.append(x.T @ prob, pairs.sum(axis=0))) / len(x) - ridge * p
+
+
+def fit(
+    x: np.ndarray, text: np.ndarray, size: np.ndarray, label: np.ndarray, rounds: int = ROUNDS, chained: bool = True
+) -> Model:
+    """Weights under which hidden line labels explain the labels of the texts, with a ridge; then the curve.
+
+    Without ``chained`` the lines stay independent, without ``rounds`` they take their text's label.
+    """
     texts, width = len(label), x.shape[1]
     if not texts:
         return Model(np.zeros(width), np.zeros(2), (0.0, 0.0))
     x, y = x.astype(np.float64), label[text].astype(np.float64)
-    inner = np.append(text[1:] == text[:-1], False)
-    observed = np.append(x.T @ y, [(inner * (1 - y)).sum(), (inner * y).sum()])
-
-    def gradient(p: np.ndarray) -> np.ndarray:
-        prob, pairs, _, _ = chain(x @ p[:width], text, p[width:])
-        return (observed - np.append(x.T @ prob, pairs.sum(axis=0))) / len(x) - RIDGE * p
-
-    p = _adam(gradient, np.zeros(width + 2), STEPS)
+    free = np.append(np.ones(width), np.zeros(2))  # single lines first
+    observed = np.append(x.T @ y, [0.0, 0.0])
+    p = _adam(lambda q: field_gradient(q, x, text, observed) * free, np.zeros(width + 2), FIRST_STEPS)
+    free[width:] = chained
+    for _ in range(rounds):
+        prob, pairs = expected(p, x, text, label)
+        observed = np.append(x.T @ prob, pairs.sum(axis=0))
+        p = _adam(lambda q: field_gradient(q, x, text, observed) * free, p, STEPS)
     field = Model(p[:width], p[width:], (0.0, 0.0))
     quality = text_quality(field, x, text, size, texts)
     basis = np.stack([np.ones(texts), _logit(quality)], axis=1)
@@ -255,24 +287,48 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
         rows = [(x[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), *(pa.array(c, pa.binary()) for c in zip(*rows))], ["label", "x", "size"])
+            [batch.column("nth"), batch.column("label"), *(pa.array(c, pa.binary()) for c in zip(*rows))],
+            ["nth", "label", "x", "size"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on the labelled documents that are not held out, ``sample`` of them at most."""
+def _sampled(docs: DataFrame, labels: DataFrame, sample: int, lines: int, longest: int = LONGEST) -> list[tuple]:
+    """(doc_id, hash of the text, label, number) of the documents to fit on, a row of two numbers for each."""
     known = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     )
-    # At most ``sample`` rows of two numbers: small enough to send to every task.
-    chosen = F.broadcast(known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample))
+    key = F.md5(F.col("doc_id").cast("string")).alias("key")
+    # At most ``sample`` rows: small enough to send to every task.
+    chosen = F.broadcast(known.orderBy(key, "doc_id").limit(sample))
+    text = F.coalesce("text", F.lit(""))
+    found = docs.join(chosen, "doc_id").select(
+        "doc_id", "label", F.xxhash64(text).alias("code"), (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).alias("lines"))
+    one = found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("code").alias("code"), F.min_by("lines", "code").alias("lines"))
+    out, held = [], 0
+    for row in one.orderBy(key, "doc_id").collect():
+        if row["lines"] > longest:
+            continue
+        held += row["lines"]
+        if held > lines and out:
+            break
+        out.append((row["doc_id"], row["code"], row["label"], len(out)))
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> Model:
+    """Fit on the labelled documents that are not held out, ``sample`` of them and ``lines`` lines at most."""
+    chosen = _sampled(docs, labels, sample, lines)
+    if not chosen:
+        return fit(np.zeros((0, FEATURES)), np.empty(0, np.int64), np.empty(0), np.empty(0))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, code bigint, label int, nth int"))
     rows = (
-        docs.select("doc_id", "text").join(chosen, "doc_id").select("label", "text")
-        .mapInArrow(_feature_batches, "label int, x binary, size binary")
-        .orderBy("label", "x").collect()
+        docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("code"))
+        .join(wanted, ["doc_id", "code"]).select("nth", "label", "text")
+        .mapInArrow(_feature_batches, "nth int, label int, x binary, size binary")
+        .dropDuplicates(["nth"]).collect()
     )
-    if not rows:
-        return fit(np.zeros((0, FEATURES)), np.empty(0, np.int64), np.empty(0), np.empty(0))
+    rows = sorted(rows, key=lambda r: r["nth"])
     sizes = [np.frombuffer(r["size"], np.float32) for r in rows]
     x = np.frombuffer(b"".join(r["x"] for r in rows), np.float32).reshape(-1, FEATURES)
     text = np.repeat(np.arange(len(rows)), [len(s) for s in sizes])

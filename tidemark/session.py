@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution chooses partition counts, splits skewed join partitions and
@@ -16,7 +18,7 @@ SETTINGS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and benchmarks."""
+    """A single-machine session for tests and benchmarks, its shared folder a temporary one."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemark")
@@ -25,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

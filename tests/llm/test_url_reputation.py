@@ -77,6 +77,14 @@ def test_registered_domains(spark):
                      "org": ("org", "org"), "": ("", "")}
 
 
+def test_ports_users_and_addresses(spark):
+    hosts = ["a.b.co.uk:8080", "me@x.example.org.", "10.0.0.7", "10.0.0.7:81", "[::1]:80", "co.uk", "", "x:y@host"]
+    found = {r.host: (r.domain, r.suffix) for r in ur.with_levels(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()}
+    assert found == {
+        "a.b.co.uk:8080": ("b.co.uk", "co.uk"), "me@x.example.org.": ("example.org", "org"), "10.0.0.7": ("10.0.0.7",) * 2,
+        "10.0.0.7:81": ("10.0.0.7",) * 2, "[::1]:80": ("[::1]",) * 2, "co.uk": ("co.uk", "uk"), "": ("", ""), "x:y@host": ("host", "host")}
+
+
 def test_pages_without_a_rule_go_by_their_host(spark):
     rows = [(i, f"http://bad.com/de/{i}") for i in range(40)] + [(99, "http://bad.com/en/1"), (98, "http://new.net/")]
     rows += [(100 + i, f"http://h{i}.good{i % 7}.org/en/{i}") for i in range(60)]

@@ -160,11 +160,13 @@ SELECT *, NOT base_failed AND kept_chars * 100 >= word_chars * {line_rules.MIN_K
 def _url_filters() -> str:
     u = url_reputation
     rules = ", ".join(f"({_text(h)}, {_text(p)}, {_text(v)})" for h, p, v in u.RULES)
-    long = f"regexp_extract(host, '[^.]*\\.[^.]*$') IN ({', '.join(map(_text, u.SUFFIXES))}) AND len(string_split(host, '.')) > 2"
+    long = f"regexp_extract(bare, '[^.]*\\.[^.]*$') IN ({', '.join(map(_text, u.SUFFIXES))}) AND len(string_split(bare, '.')) > 2"
+    address = "regexp_full_match(bare, '[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+') OR starts_with(bare, '[')"
+    bare = "regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\\.+$', '')"
 
     def last(labels: int) -> str:
         """The last labels of a host, joined."""
-        return f"array_to_string(string_split(host, '.')[-{labels}:], '.')"
+        return f"array_to_string(string_split(bare, '.')[-{labels}:], '.')"
 
     def strength(groups: str, mean: str) -> str:
         m = mean
@@ -192,9 +194,9 @@ WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}
   SELECT page_id, host, path, best[1] AS rule, best[2] AS verdict FROM parts LEFT JOIN fitting USING (r)
 ), hosts AS (
   SELECT host, count(verdict) AS n, count(*) FILTER (verdict = 'block') AS bad,
-    CASE WHEN {long} THEN {last(2)} ELSE {last(1)} END AS suffix,
-    CASE WHEN {long} THEN {last(3)} ELSE {last(2)} END AS domain
-  FROM parsed GROUP BY host
+    CASE WHEN {address} THEN bare WHEN {long} THEN {last(2)} ELSE {last(1)} END AS suffix,
+    CASE WHEN {address} THEN bare WHEN {long} THEN {last(3)} ELSE {last(2)} END AS domain
+  FROM (SELECT *, {bare} AS bare FROM parsed) GROUP BY host, bare
 ), s0 AS (
   SELECT suffix, sum(n) AS n, sum(bad) AS bad,
     (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS m FROM hosts GROUP BY suffix

@@ -67,14 +67,24 @@ def parsed_pages(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES
     )
 
 
+def bare_host(host: Column) -> Column:
+    """The name a host has in the hierarchy: without user part, port and dots at its end."""
+    named = F.regexp_replace(host, "^.*@", "")
+    return F.regexp_replace(F.regexp_replace(named, ":[0-9]*$", ""), r"\.+$", "")
+
+
 def with_levels(hosts: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
-    """Adds ``domain`` (registered) and ``suffix`` of ``host``."""
-    labels = F.split("host", r"\.")
-    two = F.substring_index("host", ".", -2)
-    long = two.isin(list(suffixes)) & (F.size(labels) > 2) if suffixes else F.lit(False)
+    """Adds ``domain`` (registered) and ``suffix`` of ``host``; an address is its own domain and suffix.
+
+    ``suffixes`` are those of several labels, as a list of public suffixes has them.
+    """
+    bare = bare_host(F.col("host"))
+    two = F.substring_index(bare, ".", -2)
+    address = bare.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$") | bare.startswith("[")
+    long = two.isin(list(suffixes)) & (F.size(F.split(bare, r"\.")) > 2) if suffixes else F.lit(False)
     return hosts.withColumns({
-        "suffix": F.when(long, two).otherwise(F.substring_index("host", ".", -1)),
-        "domain": F.when(long, F.substring_index("host", ".", -3)).otherwise(two),
+        "suffix": F.when(address, bare).when(long, two).otherwise(F.substring_index(bare, ".", -1)),
+        "domain": F.when(address, bare).when(long, F.substring_index(bare, ".", -3)).otherwise(two),
     })
 
 

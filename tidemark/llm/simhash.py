@@ -227,8 +227,10 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     last = parts.groupBy("choice", "cell").agg(F.max("part").alias("last"))
     spread = parts.join(last, ["choice", "cell"])
     lefts = spread.withColumn("other", F.explode(F.sequence("part", "last")))
+    # New names for all columns: both sides come from the same frame, which the cogroup could not tell apart.
     rights = spread.select(
-        "choice", "cell", "print", F.col("part").alias("other"), F.explode(F.sequence(F.lit(0), "part")).alias("part"))
+        *(F.col(c).alias(c) for c in ("choice", "cell", "print")),
+        F.col("part").alias("other"), F.explode(F.sequence(F.lit(0), "part")).alias("part"))
     pair = ["choice", "cell", "part", "other"]
     compared = lefts.groupBy(*pair).cogroup(rights.groupBy(*pair)).applyInArrow(_two_parts, "a bigint, b bigint")
     return links.union(compared).distinct()

@@ -45,7 +45,7 @@ from tidemark.llm.wavelet_output import WordEncoder
 BLOCK_BYTES = 2 << 20  # of text in a block; a longer text is a block of its own
 SLICE_BYTES = 1 << 18  # bytes whose row products are formed at once
 MARK = "\u2581"  # a space, in the names of pieces
-HELD_WORDS = 200_000  # distinct words whose ids a task remembers
+HELD_WORDS = 150_000  # distinct words whose ids a worker remembers, of each tokenizer
 
 
 # --- sparse matrices ----------------------------------------------------------------------------
@@ -326,6 +326,12 @@ class Encoders:
         return Block(a, b, np.where(same, n_a, 0), np.where(same, n_b, 0), np.diff(self.a_at)[a], np.diff(self.b_at)[b])
 
 
+@cache
+def _encoders(byte_file: str, piece_file: str) -> Encoders:
+    """One for all tasks of a Python worker: the words it remembers serve the next task too."""
+    return Encoders(byte_file, piece_file)
+
+
 # --- on DataFrames ------------------------------------------------------------------------------
 
 
@@ -341,7 +347,7 @@ def encodings(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], names).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders, number = Encoders(byte_file, piece_file), TaskContext.get().partitionId() << 32
+        encoders, number = _encoders(byte_file, piece_file), TaskContext.get().partitionId() << 32
         for batch in pieces(batches, limit=BLOCK_BYTES):
             block = encoders.block(batch.column("text"))
             row = [number, batch.column("doc_id").to_pylist(), block.n_a.tolist(), block.n_b.tolist(),
@@ -349,6 +355,7 @@ def encodings(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
                    _packed(block.b, "<u4" if block.b.max(initial=0) >> 16 else "<u2")]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
             number += 1
+        pa.default_memory_pool().release_unused()
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, names), "alignment-blocks")
 

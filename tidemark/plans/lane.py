@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import months_between
 from tidemark.operators import demo, quality, var
 from tidemark.plans import daily, ingest, jobs
 from tidemark.schemas import MODEL, conform
@@ -26,7 +27,8 @@ def files_to_views(
     """One day's run: ingest, refine, positions, P&L, exposures, VaR, model tables and views; returns the views.
 
     Every step reads what the one before has stored under ``root``, and raises if its gate refuses; the
-    steps after it then do not run. The views are read by name from ``database``, which must exist.
+    steps after it then do not run. The model tables get the day's trades, prices, positions and metrics. The
+    views are read by name from ``database``, which must exist.
     A first run starts the P&L from the snapshot of the day before.
     """
     place = {name: f"{root.rstrip('/')}/{name}" for name in (
@@ -52,10 +54,11 @@ def files_to_views(
     tables.replace_touched_partitions(gold, place["gold"], ["as_of_date"], fmt)
 
     content = {
-        "dim_trades": trades,
+        "dim_trades": trades.filter(F.col("trade_date") == F.lit(day)),
         "dim_instruments": instruments,
         "dim_counterparties": counterparties,
-        "fct_market_prices": tables.read_table(spark, place["prices"], fmt),
+        "fct_market_prices": tables.read_table(spark, place["prices"], fmt).filter(
+            months_between(day, day) & (F.col("price_date") == F.lit(day))),
         "fct_positions": level,
         "fct_risk_metrics": tables.read_table(spark, place["gold"], fmt).filter(F.col("as_of_date") == F.lit(day)),
     }

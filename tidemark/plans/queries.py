@@ -6,7 +6,7 @@ results are compared with SQL.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from functools import reduce
@@ -745,10 +745,12 @@ def _kept(t: Tables, df: DataFrame, purpose: str) -> DataFrame:
     return tables.read_table(t.spark, path)
 
 
-def _filled_model(t: Tables, database: str, path: str) -> dict[str, DataFrame]:
+def _filled_model(t: Tables, database: str, path: str, names: Collection[str] = tuple(MODEL)) -> dict[str, DataFrame]:
+    """The model tables, those of the given names filled."""
     tables.create_model_tables(t.spark, database, path=path)
     for name, df in _model_content(t).items():
-        tables.insert_rows(conform(df, MODEL[name][0]), f"{database}.{name}")
+        if name in names:
+            tables.insert_rows(conform(df, MODEL[name][0]), f"{database}.{name}")
     return {name: tables.named_table(t.spark, f"{database}.{name}") for name in MODEL}
 
 
@@ -801,7 +803,7 @@ def _view_rows(views_by_name: dict[str, DataFrame]) -> DataFrame:
 def reporting_views(t: Tables) -> DataFrame:
     """Both views created over the model tables, and read by name in another session."""
     with _database(t, "views") as (database, path):
-        _filled_model(t, database, path)
+        _filled_model(t, database, path, ("dim_instruments", "dim_counterparties", "fct_positions", "fct_risk_metrics"))
         tables.create_model_views(t.spark, database)
         other = t.spark.newSession()
         shown = {n: tables.named_table(other, f"{database}.{n}") for n in ("vw_portfolio_summary", "vw_counterparty_risk")}

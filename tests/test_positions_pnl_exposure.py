@@ -74,6 +74,45 @@ def test_single_snapshot_equals_that_date_of_the_series(spark, when):
     assert rows(positions.snapshot_at(held, quoted, when)) == rows(series)
 
 
+@pytest.mark.parametrize("frequency", ["day", "week", "month"])
+def test_every_snapshot_has_the_last_close_up_to_it(spark, frequency):
+    """Closes before, between and after the trades, with gaps, none at all, and without an instrument."""
+    start, end = date(2023, 11, 29), date(2024, 3, 5)
+    bought = [("A", 3), ("A", 9), ("A", 40), ("B", 0), ("B", 61), ("C", 5), (None, 7), ("D", 50)]
+    quotes = [("A", 0, 5), ("A", 3, 6), ("A", 37, None), ("A", 38, 7), ("B", 30, 8), ("B", 90, 9), (None, 2, 4), ("D", 1, 3), ("D", 400, 2)]
+    held = trades(spark, *[{"trade_date": start + timedelta(d), "instrument_id": i, "quantity": D(1), "price": D(2)} for i, d in bought])
+    quoted = prices(spark, *[
+        {"price_date": start + timedelta(d), "instrument_id": i, "close_price": None if c is None else D(c)} for i, d, c in quotes])
+    found = rows(
+        positions.position_snapshots(held, quoted, end, frequency), "instrument_id", "as_of_date", "quantity", "market_value")
+
+    def last_day_of(when):
+        if frequency == "day":
+            return when
+        if frequency == "week":
+            return when + timedelta(6 - when.weekday())
+        return (when.replace(day=1) + timedelta(32)).replace(day=1) - timedelta(1)
+
+    expected = set()
+    for name in {i for i, _ in bought}:
+        dates = [start + timedelta(d) for i, d in bought if i == name]
+        for n in range((end - min(dates)).days + 1):
+            until = last_day_of(min(dates) + timedelta(n))
+            quantity = sum(d <= min(until, end) for d in dates)
+            known = [c for i, d, c in sorted(quotes, key=lambda q: q[1]) if i == name and name and c and start + timedelta(d) <= min(until, end)]
+            expected.add((name, until, D(quantity), D(quantity * known[-1]) if known else None))
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("frequency", ["day", "week", "month"])
+def test_repeated_snapshots_are_not_shuffled(spark, frequency):
+    """P&L windows and the P&L of one date work where the snapshots were expanded."""
+    series = positions.position_snapshots(*history(spark), as_of=date(2024, 4, 10), frequency=frequency)
+    for df in (pnl.position_pnl(series), pnl.pnl_at(series, date(2024, 4, 30))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("Generate explode")[0] and plan.count("Generate explode") == 1
+
+
 def snapshots(spark, *values):
     """One position with the given (date, unrealised P&L)."""
     return spark.createDataFrame(

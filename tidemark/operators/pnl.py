@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidemark.operators.positions import MONEY
+from tidemark.operators.positions import MONEY, POSITION_KEY
 
 
 def position_pnl(snapshots: DataFrame) -> DataFrame:
@@ -20,11 +20,13 @@ def position_pnl(snapshots: DataFrame) -> DataFrame:
     before the first), so the daily figures of a position add up to its latest unrealised
     P&L. A snapshot without a value has no daily P&L and leaves the running sums as they were.
     """
-    # Date order spelled as year, month, day: the three windows then share one sort.
+    # Date order spelled as year, month, day: the three windows then share one sort. The parts of a position's
+    # key go with its id: snapshots that lie together by a part of it, as those of ``position_snapshots`` do, stay there.
     dated = snapshots.withColumns({"_year": F.year("as_of_date"), "_month": F.month("as_of_date")})
-    position = Window.partitionBy("position_id").orderBy("_year", "_month", "as_of_date")
-    year = Window.partitionBy("position_id", "_year").orderBy("_month", "as_of_date")
-    month = Window.partitionBy("position_id", "_year", "_month").orderBy("as_of_date")
+    key = [*(c for c in POSITION_KEY if c in snapshots.columns), "position_id"]
+    position = Window.partitionBy(*key).orderBy("_year", "_month", "as_of_date")
+    year = Window.partitionBy(*key, "_year").orderBy("_month", "as_of_date")
+    month = Window.partitionBy(*key, "_year", "_month").orderBy("as_of_date")
 
     def to_date(window: WindowSpec) -> Column:
         running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -40,7 +40,7 @@ def _valued(positions: DataFrame) -> DataFrame:
         F.round(quantity.try_cast("decimal(18,4)") * close, 2).cast(MONEY), F.round(quantity * close, 2).cast(MONEY))
     cost = F.round("cost_basis", 2)
     return positions.select(
-        position_id().alias("position_id"),
+        "position_id" if "position_id" in positions.columns else position_id().alias("position_id"),
         "as_of_date",
         "instrument_id",
         "book_id",
@@ -69,17 +69,45 @@ def snapshot_at(trades: DataFrame, prices: DataFrame, as_of: date | Column) -> D
     return _valued(lookup_join(held, closes, "instrument_id").withColumn("as_of_date", day))
 
 
-def _carried_forward(changes: DataFrame, key: tuple[str, ...], last: Column, frequency: str) -> DataFrame:
-    """Repeat each row for every period until the key's next row, and up to ``last``.
+# How much finer the shuffle is cut than the session's: rows are repeated for every period after it, and
+# what sorts them then should find a task's share in memory. Months repeat little.
+_FINER = {"day": 8, "week": 2}
+
+
+def _by_instrument(df: DataFrame, frequency: str) -> DataFrame:
+    """All rows of an instrument in one partition, equally many partitions for every frame."""
+    if frequency not in _FINER:
+        return df.repartition("instrument_id")
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(_FINER[frequency] * shuffled, "instrument_id")
+
+
+def _periods_between(first: Column, later: Column, frequency: str) -> Column:
+    """How many periods two period starts are apart."""
+    if frequency == "month":
+        return 12 * (F.year(later) - F.year(first)) + F.month(later) - F.month(first)
+    days = F.datediff(later, first)
+    return days if frequency == "day" else F.floor(days / 7).cast("int")
 
-    Only periods in which something changed are shuffled and sorted; the periods between
-    are produced in place by expanding each row's own range, with no calendar join.
+
+def _close_series(closes: DataFrame, frequency: str) -> DataFrame:
+    """(instrument_id, first_period, series): every period's close from an instrument's first to its last.
+
+    ``closes`` holds one row per instrument and period with a close; a period without one repeats the close
+    before it. A series is as long as the calendar.
     """
-    step = F.expr(f"interval 1 {frequency}")
-    following = F.lead("period").over(Window.partitionBy(*key).orderBy("period"))
-    until = F.coalesce(F.date_sub(following, 1), last)
-    ranged = changes.withColumn("until", until)
-    return ranged.withColumn("period", F.explode(F.sequence("period", "until", step))).drop("until")
+    known = F.sort_array(F.collect_list(F.struct("period", "close_price")))
+
+    def repeated(entry: Column, i: Column) -> Column:
+        following = F.get(F.col("known"), i + 1)["period"]
+        times = F.coalesce(_periods_between(entry["period"], following, frequency), F.lit(1))
+        return F.array_repeat(entry["close_price"], times)
+
+    return closes.groupBy("instrument_id").agg(known.alias("known")).select(
+        "instrument_id",
+        F.col("known")[0]["period"].alias("first_period"),
+        F.flatten(F.transform("known", repeated)).alias("series"),
+    )
 
 
 def position_snapshots(
@@ -90,6 +118,11 @@ def position_snapshots(
     Quantity and cost run over all trades to date; the value uses the last close on or
     before the date and is NULL until the instrument has one. ``as_of`` defaults to the
     newest trade or price date.
+
+    Only periods in which something changed are shuffled and sorted. An instrument's closes become one
+    row, its series; a position's changes meet it where they lie, are repeated for every period
+    until the next change, and look the period's close up. The result stays partitioned by instrument, so
+    what groups it by position shuffles nothing.
     """
     if as_of is None:
         as_of = F.greatest(
@@ -102,30 +135,33 @@ def position_snapshots(
         trades.filter(F.col("trade_date") <= day),
         period_start(F.col("trade_date"), frequency).alias("period"),
     )
-    to_date = (
-        Window.partitionBy(*POSITION_KEY)
-        .orderBy("period")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    running = deltas.select(
+    by_period = Window.partitionBy(*POSITION_KEY).orderBy("period")
+    to_date = by_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = _by_instrument(deltas, frequency).select(
         *POSITION_KEY,
+        position_id().alias("position_id"),
         "period",
         F.sum("quantity").over(to_date).alias("quantity"),
         F.sum("cost_basis").over(to_date).alias("cost_basis"),
+        F.coalesce(F.date_sub(F.lead("period").over(by_period), 1), last).alias("until"),
     )
-    held = _carried_forward(running, POSITION_KEY, last, frequency)
 
     last_closes = (
         _priced(prices)
-        .filter(F.col("price_date") <= day)
+        .filter((F.col("price_date") <= day) & F.col("instrument_id").isNotNull())
         .groupBy("instrument_id", period_start(F.col("price_date"), frequency).alias("period"))
         .agg(F.max_by("close_price", "price_date").alias("close_price"))
     )
-    closes = _carried_forward(last_closes, ("instrument_id",), last, frequency)
+    series = _close_series(_by_instrument(last_closes, frequency), frequency)
 
-    # Joining on instrument and period, not instrument alone, spreads a hot instrument.
-    joined = held.join(closes, ["instrument_id", "period"], "left")
-    return _valued(joined.withColumn("as_of_date", period_end(F.col("period"), frequency)))
+    step = F.expr(f"interval 1 {frequency}")
+    every = held.join(series, "instrument_id", "left").withColumn(
+        "period", F.explode(F.sequence("period", "until", step)))
+    place = _periods_between(F.col("first_period"), F.col("period"), frequency)
+    # A negative place, before the first close, finds none; one after the last change finds the last close.
+    close = F.get("series", F.least(place, F.size("series") - 1))
+    return _valued(
+        every.withColumn("close_price", close).withColumn("as_of_date", period_end(F.col("period"), frequency)))
 
 
 # --- positions as a fold over stored state ------------------------------------------------------

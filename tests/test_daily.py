@@ -61,6 +61,29 @@ def test_prices_extended_month_by_month(spark, tmp_path):
     assert tables.newest_partition(spark, carry, "before") == date(2023, 10, 1)
 
 
+def test_extended_prices_are_shuffled_once_by_instrument(spark, tmp_path, monkeypatch):
+    """Copies, lag and carry share a shuffle of the prices; the carry alone is sent to them."""
+    bronze, target, carry = (str(tmp_path / n) for n in ("bronze", "target", "carry"))
+    tables.replace_partitioned(quotes(spark, date(2022, 12, 3), date(2023, 2, 20)), bronze, daily.YEAR_MONTH)
+    daily.extend_prices(spark, bronze, target, carry, date(2022, 12, 31))
+    plans, write = [], tables.replace_touched_partitions
+
+    def seen(df, path, *args):
+        if path == target:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path, *args)
+
+    monkeypatch.setattr(tables, "replace_touched_partitions", seen)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        daily.extend_prices(spark, bronze, target, carry, date(2023, 2, 28))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 2  # the prices, and the carry
+
+
 def test_var_from_stored_returns_prunes_and_has_no_lag(spark, tmp_path):
     bronze, target, carry = (str(tmp_path / n) for n in ("bronze", "target", "carry"))
     history = quotes(spark, date(2021, 11, 3), date(2023, 9, 20))

@@ -12,7 +12,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import lookup_join, months_between, simple_return
+from tidemark.functions import months_between, simple_return
 
 LOOKBACK_DAYS = 252  # calendar days
 
@@ -99,7 +99,8 @@ def continue_returns(prices: DataFrame, carry: DataFrame | None) -> DataFrame:
 
     ``carry`` holds one row per instrument, its last close before the given prices; without it the first
     price of an instrument has no return. All rows stay: one without a return has NULL. The window
-    is as long as the stretch of prices given, never the history before it.
+    is as long as the stretch of prices given, never the history before it. The carry is joined where the window
+    has brought an instrument's rows together; they are not shuffled for it again.
     """
     by_date = Window.partitionBy("instrument_id").orderBy("price_date")
     close = F.col("close_price").cast("double")
@@ -110,7 +111,7 @@ def continue_returns(prices: DataFrame, carry: DataFrame | None) -> DataFrame:
         joined = lagged.withColumn("prev_close", F.col("_lag"))
     else:
         before = carry.select("instrument_id", F.col("close_price").alias("_carried"))
-        joined = lookup_join(lagged, before, "instrument_id").withColumn(
+        joined = lagged.join(before, "instrument_id", "left").withColumn(
             "prev_close", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))
         )
     return joined.select(*prices.columns, "prev_close", simple_return(close, F.col("prev_close")).alias("daily_return"))

@@ -59,7 +59,8 @@ def extend_prices(
     last = (ends[-1] if ends else start) - timedelta(days=1)
     written = months_between(start, last)
     if ends:
-        months = _rows_of(spark, bronze, fmt).filter(written)
+        # Together by instrument once: copies are removed, and returns continued, without another shuffle.
+        months = _rows_of(spark, bronze, fmt).filter(written).repartition("instrument_id")
         enriched = returns.continue_returns(silver.silver_prices(months), before)
         tables.replace_touched_partitions(enriched, target, YEAR_MONTH, fmt)
     stored = tables.read_table(spark, target, fmt).filter(written)

@@ -252,3 +252,35 @@ def test_positions_from_silver_files(spark, tmp_path):
         ("A|b1|USD", D(10), D(55), D(25)), (r"\N|b1|USD", D(-4), D(-24), None)]
     again = jobs.publish_positions(spark, silver, str(tmp_path / "ps"), held, date(2024, 2, 10))
     assert tables.read_table(spark, held).count() == 6 and again.count() == 2
+
+
+def test_model_tables_are_filled_from_the_stored_ones(spark, monkeypatch, tmp_path):
+    """Trades and prices are cleaned once for all tables that hold or follow from them."""
+    from tidemark.plans import queries
+
+    when = "l_shipdate timestamp"
+    made = {
+        "lineitem": ([(k, k % 5, k % 3, k % 2 + 1, 10.0 + k, 1000.0 + 7 * k, 0.01, 0.02, "AN"[k % 2], "OF"[k % 2],
+                       datetime(2024, 1, 1 + k % 9)) for k in range(40)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     f"l_discount double, l_tax double, l_returnflag string, l_linestatus string, {when}"),
+        "orders": ([(k, k % 4, "O", "1-URGENT", datetime(2024, 1, 1)) for k in range(40)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"),
+        "supplier": ([(k, f"s{k}", 0) for k in range(3)], "s_suppkey long, s_name string, s_nationkey int"),
+        "customer": ([(k, f"c{k}", 0, "M") for k in range(4)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "nation": ([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+    }
+    for name, (content, schema) in made.items():
+        spark.createDataFrame(content, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    cleaned = []
+    for name in ("_silver_trades", "_silver_prices"):
+        clean = getattr(queries, name)
+        monkeypatch.setattr(queries, name, lambda t, name=name, clean=clean: cleaned.append(name) or clean(t))
+    t = queries.Tables(spark, str(tmp_path))
+    with queries._database(t, "filled") as (database, path):
+        filled = queries._filled_model(t, database, path)
+        assert sorted(cleaned) == ["_silver_prices", "_silver_trades"]
+        held = filled["fct_positions"].drop("created_at")
+        assert rows(held) == rows(queries._current_positions(t).select(*held.columns)) != []
+        assert filled["fct_risk_metrics"].count() == held.count()

@@ -716,17 +716,6 @@ def demo_risk_job(t: Tables) -> DataFrame:
     return df
 
 
-def _model_content(t: Tables) -> dict[str, DataFrame]:
-    return {
-        "dim_trades": _silver_trades(t),
-        "dim_instruments": t.instruments(),
-        "dim_counterparties": t.counterparties(),
-        "fct_market_prices": _silver_prices(t),
-        "fct_positions": _current_positions(t),
-        "fct_risk_metrics": var.risk_metrics(_position_var(t)),
-    }
-
-
 @contextmanager
 def _database(t: Tables, purpose: str) -> Iterator[tuple[str, str]]:
     """(name, folder) of a database of this run alone, dropped afterwards; its files stay in the scratch folder."""
@@ -746,12 +735,24 @@ def _kept(t: Tables, df: DataFrame, purpose: str) -> DataFrame:
 
 
 def _filled_model(t: Tables, database: str, path: str, names: Collection[str] = tuple(MODEL)) -> dict[str, DataFrame]:
-    """The model tables, those of the given names filled."""
+    """The model tables, those of the given names filled, each from what is stored of the ones before it."""
     tables.create_model_tables(t.spark, database, path=path)
-    for name, df in _model_content(t).items():
-        if name in names:
-            tables.insert_rows(conform(df, MODEL[name][0]), f"{database}.{name}")
-    return {name: tables.named_table(t.spark, f"{database}.{name}") for name in MODEL}
+    model = {name: f"{database}.{name}" for name in MODEL}
+
+    def filled(name: str, df: DataFrame) -> DataFrame:
+        if name not in names:
+            return df
+        tables.insert_rows(conform(df, MODEL[name][0]), model[name])
+        return tables.named_table(t.spark, model[name])
+
+    trades = filled("dim_trades", _silver_trades(t))
+    filled("dim_instruments", t.instruments())
+    filled("dim_counterparties", t.counterparties())
+    prices = filled("fct_market_prices", _silver_prices(t))
+    held = filled("fct_positions", positions.snapshot_at(trades, prices, t.last_day))
+    level = var.position_var(held, var.instrument_var(_recent_returns(t)), as_of=t.last_day)
+    filled("fct_risk_metrics", var.risk_metrics(level))
+    return {name: tables.named_table(t.spark, model[name]) for name in MODEL}
 
 
 # table -> its key, a date, two texts and two numbers, as model_tables shows them

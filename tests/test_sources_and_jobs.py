@@ -1,11 +1,14 @@
 from datetime import date, datetime, timezone
 from decimal import Decimal as D
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from builders import closes, day, rows
+from pyspark.sql import functions as F
 
 from tidemark.operators import demo, quality
-from tidemark.plans import jobs
+from tidemark.plans import jobs, queries
 from tidemark.schemas import DEMO_PRICES, FCT_POSITIONS, MODEL, conform
 from tidemark.sources import files, tables
 from tidemark.sources.scratch import scratch_folder
@@ -284,3 +287,13 @@ def test_model_tables_are_filled_from_the_stored_ones(spark, monkeypatch, tmp_pa
         held = filled["fct_positions"].drop("created_at")
         assert rows(held) == rows(queries._current_positions(t).select(*held.columns)) != []
         assert filled["fct_risk_metrics"].count() == held.count()
+
+
+def test_landing_files_and_stored_tables_are_compressed(spark, tmp_path):
+    """Landing files were plain text, the largest part of what the file jobs wrote; tables had a lighter codec."""
+    df = spark.range(2000).select(F.lit("the same text").alias("a"), "id")
+    landed_at = Path(queries._landed_csv(SimpleNamespace(spark=spark), df, "packed-csv").removeprefix("file:"))
+    assert [p for p in landed_at.iterdir() if p.name.endswith(".csv.gz")] and not list(landed_at.glob("*.csv"))
+    assert sorted(r.id for r in spark.read.csv(str(landed_at), header=True).collect()) == sorted(map(str, range(2000)))
+    tables.append_partitioned(df.withColumn("year", F.lit(2024)), str(tmp_path / "t"), ["year"])
+    assert all(".zstd." in p.name for p in (tmp_path / "t").glob("year=*/*.parquet"))

@@ -1,2 +1,2 @@
 from tidemark.functions.columns import *  # noqa: F401,F403
-from tidemark.functions.joins import lookup_join  # noqa: F401
+from tidemark.functions.joins import clustered, lookup_join  # noqa: F401

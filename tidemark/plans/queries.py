@@ -429,10 +429,11 @@ def demo_risk_metrics_at_last_price(t: Tables) -> DataFrame:
 
 
 def _landed_csv(t: Tables, df: DataFrame, purpose: str) -> str:
-    """The given rows as headered CSV files, the form in which input arrives."""
+    """The given rows as headered, compressed CSV files, the form in which input arrives."""
     folder = scratch_folder(t.spark, purpose)
     whitespace = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, **whitespace).csv(folder)
+    compressed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    df.write.options(header=True, **compressed, **whitespace).csv(folder)
     return folder
 
 
@@ -443,8 +444,8 @@ def _table_name(purpose: str) -> str:
 @query
 def bronze_trades_from_csv(t: Tables) -> DataFrame:
     source = _landed_csv(t, t.raw_trades(), "trades-csv")
-    df = with_lineage(files.read_raw_trades(t.spark, f"{source}/*.csv"), "trade_date")
-    stamped = (F.col("source_file").endswith(".csv") & F.col("ingestion_timestamp").isNotNull()).alias("stamped")
+    df = with_lineage(files.read_raw_trades(t.spark, f"{source}/*.csv.gz"), "trade_date")
+    stamped = (F.col("source_file").endswith(".csv.gz") & F.col("ingestion_timestamp").isNotNull()).alias("stamped")
     df = df.select("*", stamped).drop("source_file", "ingestion_timestamp")
     return _rounded(df, 4, "quantity", "price")
 
@@ -452,7 +453,7 @@ def bronze_trades_from_csv(t: Tables) -> DataFrame:
 @query
 def bronze_prices_from_csv(t: Tables) -> DataFrame:
     source = _landed_csv(t, t.raw_prices(), "prices-csv")
-    df = with_lineage(files.read_raw_prices(t.spark, f"{source}/*.csv"), "price_date")
+    df = with_lineage(files.read_raw_prices(t.spark, f"{source}/*.csv.gz"), "price_date")
     prices = ("open_price", "high_price", "low_price", "close_price", "bid_price", "ask_price")
     return _rounded(df.drop("source_file", "ingestion_timestamp"), 4, *prices)
 
@@ -462,8 +463,8 @@ def ingest_trades_job(t: Tables) -> DataFrame:
     """The second of two batches of the same files: bronze holds both, the warnings only its own."""
     source = _landed_csv(t, t.raw_trades(), "trades-csv")
     bronze = scratch_folder(t.spark, "bronze-trades")
-    jobs.ingest_trades(t.spark, f"{source}/*.csv", bronze)
-    warnings = jobs.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    jobs.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
+    warnings = jobs.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
     stored = tables.read_table(t.spark, bronze).agg(
         F.lit("stored_rows").alias("check"), F.count(F.lit(1)).alias("failed")
     )
@@ -473,14 +474,14 @@ def ingest_trades_job(t: Tables) -> DataFrame:
 @query
 def ingest_prices_job(t: Tables) -> DataFrame:
     source = _landed_csv(t, t.raw_prices(), "prices-csv")
-    return jobs.ingest_prices(t.spark, f"{source}/*.csv", scratch_folder(t.spark, "bronze-prices"))
+    return jobs.ingest_prices(t.spark, f"{source}/*.csv.gz", scratch_folder(t.spark, "bronze-prices"))
 
 
 @query
 def refine_trades_job(t: Tables) -> DataFrame:
     source = _landed_csv(t, t.raw_trades(), "trades-csv")
     bronze = scratch_folder(t.spark, "bronze-trades")
-    jobs.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    jobs.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
     df = jobs.refine_trades(t.spark, bronze, scratch_folder(t.spark, "silver-trades"))
     return _rounded(_rounded(df, 2, "total_notional"), 4, "avg_price")
 
@@ -489,7 +490,7 @@ def refine_trades_job(t: Tables) -> DataFrame:
 def refine_prices_job(t: Tables) -> DataFrame:
     source = _landed_csv(t, t.raw_prices(), "prices-csv")
     bronze = scratch_folder(t.spark, "bronze-prices")
-    jobs.ingest_prices(t.spark, f"{source}/*.csv", bronze)
+    jobs.ingest_prices(t.spark, f"{source}/*.csv.gz", bronze)
     df = jobs.refine_prices(t.spark, bronze, scratch_folder(t.spark, "silver-prices"))
     return _rounded(df.select("price_id", "price_date", "instrument_id", "close_price"), 4, "close_price")
 
@@ -555,18 +556,18 @@ def _broken_trades(t: Tables) -> str:
 def quarantined_trades(t: Tables) -> DataFrame:
     """All lines of files that do not parse in part: the good ones, and the others with file and reason."""
     source, bronze = _broken_trades(t), scratch_folder(t.spark, "bronze-trades")
-    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    ingest.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
     good = ingest.bronze_rows(t.spark, bronze).select("trade_id", F.lit(None).cast("string").alias("reason"), "source_file")
     bad = ingest.quarantined_rows(t.spark, bronze).select("trade_id", "reason", "source_file")
-    return good.unionByName(bad).select("trade_id", "reason", F.col("source_file").endswith(".csv").alias("has_file"))
+    return good.unionByName(bad).select("trade_id", "reason", F.col("source_file").endswith(".csv.gz").alias("has_file"))
 
 
 @query
 def ingested_once_job(t: Tables) -> DataFrame:
     """Bronze after the same files twice, others once, and a batch that was staged but never published."""
     source, bronze = _landed_csv(t, t.raw_trades(), "trades-csv"), scratch_folder(t.spark, "bronze-trades")
-    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
-    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    ingest.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
+    ingest.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
     batches.stage(ingest.bronze_rows(t.spark, bronze).withColumn("unread", F.lit(0)), bronze, ingest.LAYOUT)
     df = ingest.bronze_rows(t.spark, bronze).drop("source_file", "ingestion_timestamp", "year", "month")
     return _rounded(df, 4, "quantity", "price")
@@ -576,7 +577,7 @@ def ingested_once_job(t: Tables) -> DataFrame:
 def gated_refine_job(t: Tables) -> DataFrame:
     """Silver published through its gate, and left as it was by a run that the gate refuses."""
     source, bronze, target = _broken_trades(t), scratch_folder(t.spark, "bronze-trades"), scratch_folder(t.spark, "silver")
-    ingest.ingest_trades(t.spark, f"{source}/*.csv", bronze)
+    ingest.ingest_trades(t.spark, f"{source}/*.csv.gz", bronze)
     ingest.refine_trades(t.spark, bronze, target)
     one_currency = quality.Gate(min_rows=0, rules=(quality.InSet("one_currency", "currency", ("USD",)),))
     try:
@@ -819,7 +820,7 @@ def files_to_views_job(t: Tables) -> DataFrame:
     trades, prices = _landed_csv(t, t.raw_trades(), "trades-csv"), _landed_csv(t, t.raw_prices(), "prices-csv")
     with _database(t, "lane") as (database, path):
         shown = lane.files_to_views(
-            t.spark, f"{trades}/*.csv", f"{prices}/*.csv", path, database, t.last_day, t.instruments(), t.counterparties())
+            t.spark, f"{trades}/*.csv.gz", f"{prices}/*.csv.gz", path, database, t.last_day, t.instruments(), t.counterparties())
         return _kept(t, _view_rows(shown), "lane-rows")
 
 

@@ -15,7 +15,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
-from tidemark.sources.tables import DEFAULT_FORMAT, _clustered, table_exists
+from tidemark.functions import clustered
+from tidemark.sources.tables import DEFAULT_FORMAT, table_exists, writer
 
 LEDGER = (
     "batch string, seq bigint, replaces boolean, rows bigint, published_at timestamp, "
@@ -64,24 +65,32 @@ def _published(spark: SparkSession, path: str) -> list[Row]:
     return rows[first:]
 
 
-def counted(df: DataFrame, by: Sequence[str], counters: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+def counted(
+    df: DataFrame, by: Sequence[str], counters: Mapping[str, Column], together: bool = False
+) -> tuple[DataFrame, Observation]:
     """The rows as a batch writes them, and the observation that counts them on the way.
 
     The counters stand above the shuffle, in the writing stage: a task that is run again counts once.
+    ``together``: the rows lie together by partition already.
     """
     observation = Observation()
-    clustered = _clustered(df, by) if by else df
+    rows = clustered(df, by) if by and not together else df
     every = {ROWS: F.count(F.lit(1)), **counters}
-    return clustered.observe(observation, *[c.alias(name) for name, c in every.items()]), observation
+    return rows.observe(observation, *[c.alias(name) for name, c in every.items()]), observation
 
 
 def stage(
-    df: DataFrame, path: str, by: Sequence[str] = (), counters: Mapping[str, Column] | None = None, fmt: str = DEFAULT_FORMAT
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = (),
+    counters: Mapping[str, Column] | None = None,
+    fmt: str = DEFAULT_FORMAT,
+    together: bool = False,
 ) -> Batch:
     """Write a batch without publishing it; one pass over the input gives the counts as well."""
     batch = f"b{uuid.uuid4().hex}"
-    rows, observation = counted(df, by, counters or {})
-    rows.write.format(fmt).partitionBy(*by).save(f"{_data(path)}/batch={batch}")
+    rows, observation = counted(df, by, counters or {}, together)
+    writer(rows, fmt).partitionBy(*by).save(f"{_data(path)}/batch={batch}")
     return Batch(batch, dict(observation.get))
 
 
@@ -107,9 +116,10 @@ def add_batch(
     sources: Sequence[Row] = (),
     replaces: bool = False,
     fmt: str = DEFAULT_FORMAT,
+    together: bool = False,
 ) -> Batch:
     """Stage a batch and publish it if ``refusals`` of its counts names none; otherwise raise ``Refused``."""
-    staged = stage(df, path, by, counters, fmt)
+    staged = stage(df, path, by, counters, fmt, together)
     if refusals is not None and (reasons := refusals(staged.counts)):
         raise Refused(reasons, staged.batch, staged.counts)
     return publish(df.sparkSession, path, staged, sources, replaces)

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -125,3 +125,19 @@ def test_conform_casts_and_fills(spark):
     assert df.columns == DIM_TRADES.fieldNames()
     row = df.first()
     assert row["created_at"] is None and row["quantity"] == Decimal(10)
+
+
+def test_prices_by_month_are_the_clean_prices_after_one_shuffle(spark):
+    """Cleaning and laying out by month were a shuffle each; odd keys and copies come out as before."""
+    days = [None, date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 29)]
+    quotes = [
+        (f"q{n}", day, name, float(n % 7) - 1, 2.0, 1.0 + n % 3)
+        for n, (day, name) in enumerate([(d, i) for d in days for i in (None, "A", "B")] * 4)
+    ]
+    schema = "price_id string, price_date date, instrument_id string, close_price double, high_price double, low_price double"
+    bronze = spark.createDataFrame(quotes, schema).repartition(3)
+    found = silver.silver_prices_by_month(bronze)
+    assert sorted(map(str, found.collect())) == sorted(map(str, silver.silver_prices(bronze).collect()))
+    scan = spark.createDataFrame(quotes, schema)
+    plan = silver.silver_prices_by_month(scan)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

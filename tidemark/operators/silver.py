@@ -73,7 +73,30 @@ def trade_summary(silver: DataFrame) -> DataFrame:
     )
 
 
+PRICE_KEY = ("instrument_id", "price_date")
+MONTH_PARTS = 8  # in how many parts at most a month of prices is cleaned and written
+
+
+def sound_prices(bronze_prices: DataFrame) -> DataFrame:
+    """Prices without negative closes and inverted ranges."""
+    failed = F.coalesce(negative_close(), F.lit(False)) | F.coalesce(inverted_range(), F.lit(False))
+    return bronze_prices.filter(~failed)
+
+
 def silver_prices(bronze_prices: DataFrame) -> DataFrame:
     """Prices without negative closes and inverted ranges, one per instrument and date."""
-    failed = F.coalesce(negative_close(), F.lit(False)) | F.coalesce(inverted_range(), F.lit(False))
-    return latest_copy(bronze_prices.filter(~failed), ["instrument_id", "price_date"])
+    return latest_copy(sound_prices(bronze_prices), PRICE_KEY)
+
+
+def silver_prices_by_month(bronze_prices: DataFrame) -> DataFrame:
+    """``silver_prices``, its rows together by month for a table partitioned so: one shuffle serves both.
+
+    Copies of a price share its month. A month is cut by instrument into ``MONTH_PARTS`` parts, so that
+    several tasks clean and write it. Copies are not reduced before that shuffle.
+    """
+    place = {
+        "_month": F.trunc("price_date", "month"),
+        "_part": F.pmod(F.xxhash64("instrument_id"), F.lit(MONTH_PARTS)),
+    }
+    placed = sound_prices(bronze_prices).withColumns(place).repartition(*place)
+    return latest_copy(placed, [*PRICE_KEY, *place]).drop(*place)

@@ -77,8 +77,8 @@ def refine_prices(
     spark: SparkSession, bronze: str, target: str, fmt: str = tables.DEFAULT_FORMAT
 ) -> DataFrame:
     """Rewrite silver prices from bronze; returns the written table."""
-    refined = silver.silver_prices(tables.read_table(spark, bronze, fmt))
-    tables.replace_partitioned(refined, target, YEAR_MONTH, fmt)
+    refined = silver.silver_prices_by_month(tables.read_table(spark, bronze, fmt))
+    tables.replace_partitioned(refined, target, YEAR_MONTH, fmt, together=True)
     return tables.read_table(spark, target, fmt)
 
 

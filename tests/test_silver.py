@@ -141,3 +141,20 @@ def test_prices_by_month_are_the_clean_prices_after_one_shuffle(spark):
     scan = spark.createDataFrame(quotes, schema)
     plan = silver.silver_prices_by_month(scan)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_derived_columns_do_not_travel_to_the_months(spark):
+    """What follows from the other columns is added after the shuffle that lays the rows out."""
+    trades = spark.createDataFrame(
+        [("t1", date(2024, 1, 2), date(2024, 1, 4), " buy", " usd", None, 2.0, 3.0, 2024, 1),
+         ("t1", date(2024, 1, 2), date(2024, 1, 4), "sell", " usd", None, 1.0, 3.0, 2024, 1),
+         ("t2", date(2024, 2, 2), date(2024, 1, 4), "BUY", "EUR", "x", 2.0, 3.0, 2024, 2),
+         (None, date(2024, 2, 2), date(2024, 2, 4), "BUY", "EUR", "x", 2.0, 3.0, 2024, 2)],
+        "trade_id string, trade_date date, settlement_date date, trade_type string, currency string, status string, "
+        "quantity double, price double, year int, month int")
+    laid = silver.silver_trades(trades, by=("year", "month"))
+    assert laid.columns == silver.silver_trades(trades).columns
+    assert sorted(map(str, laid.collect())) == sorted(map(str, silver.silver_trades(trades).collect()))
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("notional_value") < plan.index("RebalancePartitions")
+    assert "notional_value" not in plan[plan.index("RebalancePartitions"):]

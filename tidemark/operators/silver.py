@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions import clean_code, clean_status, is_valid_trade, notional, settlement_days
+from tidemark.functions import clean_code, clean_status, clustered, is_valid_trade, notional, settlement_days
 from tidemark.operators.quality import inverted_range, negative_close
 
 
@@ -25,16 +25,20 @@ def latest_copy(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return ranked.filter(F.col("_copy") == 1).drop("_copy")
 
 
-def normalize_trades(bronze_trades: DataFrame) -> DataFrame:
-    """Clean codes and add settlement days, notional value and the validity flag."""
-    cleaned = bronze_trades.withColumns(
+def clean_trades(bronze_trades: DataFrame) -> DataFrame:
+    """Codes trimmed and in capitals."""
+    return bronze_trades.withColumns(
         {
             "trade_type": clean_code("trade_type"),
             "currency": clean_code("currency"),
             "status": clean_status("status"),
         }
     )
-    return cleaned.withColumns(
+
+
+def with_figures(cleaned_trades: DataFrame) -> DataFrame:
+    """Add settlement days, notional value and the validity flag."""
+    return cleaned_trades.withColumns(
         {
             "settlement_days": settlement_days(),
             "notional_value": notional(),
@@ -43,6 +47,11 @@ def normalize_trades(bronze_trades: DataFrame) -> DataFrame:
     )
 
 
+def normalize_trades(bronze_trades: DataFrame) -> DataFrame:
+    """Clean codes and add settlement days, notional value and the validity flag."""
+    return with_figures(clean_trades(bronze_trades))
+
+
 def distinct_trades(bronze_trades: DataFrame) -> DataFrame:
     """Normalised trades, one per trade_id, valid or not.
 
@@ -52,8 +61,15 @@ def distinct_trades(bronze_trades: DataFrame) -> DataFrame:
     return normalize_trades(latest_copy(bronze_trades, ["trade_id"]))
 
 
-def silver_trades(bronze_trades: DataFrame) -> DataFrame:
-    return distinct_trades(bronze_trades).filter("is_valid")
+def silver_trades(bronze_trades: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The valid ones of ``distinct_trades``, brought together by the columns a table is partitioned by.
+
+    That shuffle, if any, stands before the derived columns, as the one for the copies does.
+    """
+    if not by:
+        return distinct_trades(bronze_trades).filter("is_valid")
+    valid = clean_trades(latest_copy(bronze_trades, ["trade_id"])).filter(is_valid_trade())
+    return with_figures(clustered(valid, by))
 
 
 def stamp_processed(silver: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ from tidemark.operators import quality, silver
 from tidemark.schemas import RAW_PRICES, RAW_TRADES
 from tidemark.sources import batches, files, tables
 
-LAYOUT = ("unread", "year", "month")  # of bronze: lines that do not parse apart from the others
+YEAR_MONTH = ("year", "month")
+LAYOUT = ("unread", *YEAR_MONTH)  # of bronze: lines that do not parse apart from the others
 TRADES_GATE = quality.Gate(critical=("trade_id", "trade_date", "instrument_id"), min_rows=1)
 PRICES_GATE = quality.Gate(critical=("price_id", "price_date", "instrument_id", "close_price"), min_rows=1)
 SILVER_GATE = quality.Gate(critical=("trade_id", "instrument_id"))
@@ -82,8 +83,9 @@ def refine_trades(
 
     A refused run (``batches.Refused``) leaves what was published before.
     """
-    refined = silver.stamp_processed(silver.silver_trades(bronze_rows(spark, bronze, fmt)))
-    batches.add_batch(refined, target, ("year", "month"), gate.counters(), gate.refusals, replaces=True, fmt=fmt)
+    refined = silver.stamp_processed(silver.silver_trades(bronze_rows(spark, bronze, fmt), by=YEAR_MONTH))
+    batches.add_batch(
+        refined, target, YEAR_MONTH, gate.counters(), gate.refusals, replaces=True, fmt=fmt, together=True)
     return silver.trade_summary(silver_rows(spark, target, fmt))
 
 

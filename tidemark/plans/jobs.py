@@ -68,8 +68,8 @@ def refine_trades(
     spark: SparkSession, bronze: str, target: str, fmt: str = tables.DEFAULT_FORMAT
 ) -> DataFrame:
     """Rewrite silver trades from bronze; returns the summary per type, currency and status."""
-    refined = silver.stamp_processed(silver.silver_trades(tables.read_table(spark, bronze, fmt)))
-    tables.replace_partitioned(refined, target, YEAR_MONTH, fmt)
+    refined = silver.stamp_processed(silver.silver_trades(tables.read_table(spark, bronze, fmt), by=YEAR_MONTH))
+    tables.replace_partitioned(refined, target, YEAR_MONTH, fmt, together=True)
     return silver.trade_summary(tables.read_table(spark, target, fmt))
 
 

@@ -43,6 +43,41 @@ def test_words_cut_off_keep_the_ids(held):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == expected, repr(text)
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+
+def test_unknown_words_are_encoded_many_at_once():
+    tokenizer = Counting(Tokenizer.from_file(FILE))
+    encoder, text = wo.WordEncoder(tokenizer), "".join(f" w{n}é" for n in range(3000))
+    ids, _ = encoder.texts(pa.array([text]))
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [wo.END_ID]
+    assert tokenizer.texts < 20
+
+
+def test_words_that_together_name_an_added_token():
+    tokenizer = Tokenizer.from_file(FILE)
+    encoder = wo.WordEncoder(tokenizer)
+    for part in (["b c"], ["<|endoftext", "b|>", "<|endoftext|> x"], ["d <|endoftext|>", "e"]):
+        ids, offsets = encoder.texts(pa.array(part))
+        for i, text in enumerate(part):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [wo.END_ID]
+
+
+def test_tasks_of_a_worker_share_the_words():
+    assert wo._encoder(FILE) is wo._encoder(FILE)
+
+
 def expected_rows(rows):
     tokenizer = Tokenizer.from_file(FILE)
     out, start = [], 0

@@ -18,9 +18,10 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,18 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 512
 ENCODE_BYTES = 4 << 20  # of text encoded at once
-HELD_WORDS = 400_000  # distinct words whose ids a task remembers
+HELD_WORDS = 1_000_000  # distinct words whose ids a worker remembers
+RUN_WORDS = 1000  # unknown words encoded as one text
 MAGIC = b"TMWM1"
 
 LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 OTHER = (np.arange(256) < 128) & ~LETTER & ~np.isin(np.arange(256), np.arange(48, 58))
 
 
+def _narrowest(bits: int) -> type:
+    return np.uint16 if bits <= 16 else np.uint32
+
+
 @dataclass(frozen=True)
 class WaveletMatrix:
     """``planes`` are packed bits, highest first; ``zeros`` their counts of 0; ``ranks`` ones before each block."""
@@ -58,16 +64,18 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        ids = np.asarray(ids, np.uint32)
+        bits = max(1, int(np.max(ids, initial=0)).bit_length())
+        ids = np.asarray(ids, _narrowest(bits))
         planes, zeros, ranks = [], [], []
-        for bit in reversed(range(max(1, int(ids.max(initial=0)).bit_length()))):
-            ones = (ids >> np.uint32(bit)) & np.uint32(1) == 1
-            padded = np.zeros(-(-len(ids) // BLOCK_BITS) * BLOCK_BITS, bool)
-            padded[: len(ids)] = ones
-            planes.append(np.packbits(padded, bitorder="little"))
-            ranks.append(np.concatenate(([0], np.cumsum(padded.reshape(-1, BLOCK_BITS).sum(axis=1)))).astype(np.uint32))
+        for bit in reversed(range(bits)):
+            ones = (ids & ids.dtype.type(1 << bit)) != 0
+            plane = np.zeros(-(-len(ids) // BLOCK_BITS) * (BLOCK_BITS // 8), np.uint8)
+            plane[: -(-len(ids) // 8)] = np.packbits(ones, bitorder="little")
+            in_block = np.bitwise_count(plane.view(np.uint64)).reshape(-1, BLOCK_BITS // 64).sum(axis=1)
+            planes.append(plane)
+            ranks.append(np.concatenate(([0], np.cumsum(in_block))).astype(np.uint32))
             zeros.append(int(len(ids) - ranks[-1][-1]))
-            ids = np.concatenate((ids[~ones], ids[ones]))
+            ids = np.concatenate((np.compress(~ones, ids), np.compress(ones, ids)))
         return cls(len(ids), planes, zeros, ranks)
 
     # A file: magic, ids, planes, then per plane its zeros, the compressed sizes, rank counts and bits.
@@ -152,13 +160,14 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids: from the last plane up, each plane's partition undone."""
-        value = np.zeros(self.size, np.uint32)
+        value = np.zeros(self.size, _narrowest(len(self.planes)))
         for shift, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
-            ones = np.unpackbits(plane, count=self.size, bitorder="little").astype(bool)
+            ones = np.unpackbits(plane, count=self.size, bitorder="little").view(bool)
             above = np.empty_like(value)
-            above[~ones], above[ones] = value[:zeros], value[zeros:]
-            value = above | (ones.astype(np.uint32) << np.uint32(shift))
-        return value
+            above[np.flatnonzero(~ones)] = value[:zeros]
+            above[np.flatnonzero(ones)] = value[zeros:] | value.dtype.type(1 << shift)
+            value = above
+        return value.astype(np.uint32)
 
 
 # --- on DataFrames ------------------------------------------------------------------------------
@@ -189,40 +198,111 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-class WordEncoder:
-    """Encodes every distinct word once, as long as its memory of up to ``held`` words lasts.
+class WordIds:
+    """The ids of words, each distinct one encoded once as long as a memory of up to ``held`` words lasts.
 
-    The ids are those the tokenizers library gives for the whole text: a text that has the name of
-    an added token in it is not cut into words.
+    ``encode`` gives (how many ids each word has, the ids one after the other) of an Arrow array of words.
     """
 
-    def __init__(self, tokenizer: Tokenizer, held: int = HELD_WORDS) -> None:
-        self.tokenizer, self.held = tokenizer, held
-        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], held: int, kind: type) -> None:
+        self.encode, self.held, self.kind = encode, held, kind
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.sizes, self.flat = np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.sizes, self.begins, self.flat = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, self.kind)
 
-    def _places(self, words: list[str]) -> np.ndarray:
-        """Where the words stand in ``sizes``; unknown ones are encoded."""
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words stand in ``sizes`` and ``begins``; unknown ones are encoded."""
         if len(self.place) > self.held:
             self._forget()
-        place, known = self.place, len(self.place)
-        at = [place.setdefault(w, len(place)) for w in words]
-        new = list(islice(place, known, None))
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        names = words.to_numpy(zero_copy_only=False)
+        at = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            sizes, flat = self.encode(words.take(pa.array(new)))
+            at[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
+            self.place.update(zip(names[new].tolist(), at[new].tolist()))
+            begins = len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes
+            self.sizes = np.concatenate((self.sizes, sizes.astype(np.int32)))
+            self.begins = np.concatenate((self.begins, begins))
+            self.flat = np.concatenate((self.flat, flat))
+        return at
+
+    def of(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words that begin at these places of the bytes, offsets between the words)."""
+        which = np.empty(0, np.int64)
+        if len(begins):
+            bounds = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
+            words = pa.Array.from_buffers(
+                pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
+            coded = words.dictionary_encode()
+            which = self.places(coded.dictionary)[coded.indices.to_numpy()]
+        lengths = self.sizes[which]
+        ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+        at = np.repeat(self.begins[which] - ends[:-1], lengths)
+        at += np.arange(ends[-1])
+        return self.flat[at], ends
+
+
+def entry_bytes(tokenizer: Tokenizer) -> np.ndarray:
+    """How many bytes every id of a byte-level vocabulary stands for: each character of its name is one."""
+    entries = tokenizer.get_vocab()
+    sizes = np.zeros(max(entries.values()) + 1, np.int64)
+    sizes[list(entries.values())] = [len(name) for name in entries]
+    return sizes
+
+
+class WordEncoder:
+    """Encodes every distinct word once, as long as its memory of up to ``held`` words lasts.
+
+    The ids are those the tokenizers library gives for the whole text: a text that has the name of
+    an added token in it is not cut into words. Unknown words go to the library as one text of
+    many words, where they may be cut off from each other; the bytes of the ids tell whose they are.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, held: int = HELD_WORDS) -> None:
+        self.tokenizer, self.bytes_of = tokenizer, entry_bytes(tokenizer)
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.words = WordIds(self._encoded, held, np.uint32)
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
-        self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, flat))
-        return np.array(at, np.int64)
+        return sizes, np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids each word has, the ids one after the other)."""
+        data, offsets = text_bytes(words)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[word_starts(data, np.array([0, len(data)]))] = True
+        joined = cut[offsets[:-1]]  # whether a word may follow the one before in one text
+        joined[::RUN_WORDS] = False
+        named = self._named(words)
+        joined[named] = joined[1:][named[:-1]] = False
+        first = np.flatnonzero(~joined)
+        last = np.append(first[1:], len(words))
+        raw = data.tobytes()
+        runs = [raw[b:e].decode() for b, e in zip(offsets[first].tolist(), offsets[last].tolist())]
+        sizes, ids = self._library(runs)
+        ends = np.cumsum(self.bytes_of[ids])
+        # Runs are taken apart where a token ends with every word. Words that only together have an added token's name are not.
+        at = np.searchsorted(ends, offsets[1:])
+        fits = len(ids) > 0 and ends[-1] == len(data) and (ends[np.minimum(at, len(ids) - 1)] == offsets[1:]).all()
+        if not fits or self._named(pa.array(runs, pa.large_string()))[~named[first]].any():
+            return self._library(words.to_pylist())
+        return np.diff(at + 1, prepend=0), ids
+
+    def _named(self, texts: pa.Array) -> np.ndarray:
+        """Whether each text has the name of an added token in it."""
+        named = np.zeros(len(texts), bool)
+        for name in self.added:
+            named |= pc.match_substring(texts, name).fill_null(False).to_numpy(zero_copy_only=False)
+        return named
 
     def _whole(self, column: pa.Array, offsets: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """The begins without those inside texts that name an added token."""
-        named = np.zeros(len(column), bool)
-        for name in self.added:
-            named |= pc.match_substring(column, name).fill_null(False).to_numpy(zero_copy_only=False)
+        named = self._named(column)
         if not named.any():
             return begins
         text = np.searchsorted(offsets, begins, side="right") - 1
@@ -232,26 +312,22 @@ class WordEncoder:
         """(ids of all texts, each with the end id, offsets between the texts)."""
         data, offsets = text_bytes(column)
         begins = self._whole(column, offsets, word_starts(data, offsets))
-        which = np.empty(0, np.int64)
-        if len(begins):
-            bounds = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
-            words = pa.Array.from_buffers(
-                pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
-            coded = words.dictionary_encode()
-            which = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        lengths = self.sizes[which]
-        total = np.cumsum(lengths)
-        step = np.arange(total[-1] if len(total) else 0) - np.repeat(total - lengths, lengths)
-        ids = self.flat[np.repeat((np.cumsum(self.sizes) - self.sizes)[which], lengths) + step]
-        ends = np.concatenate(([0], total))[np.searchsorted(begins, offsets)]
+        ids, ends = self.words.of(data, begins)
+        ends = ends[np.searchsorted(begins, offsets)]
         return np.insert(ids, ends[1:], END_ID), ends + np.arange(len(offsets))
 
 
+@cache
+def _encoder(tokenizer_file: str) -> WordEncoder:
+    """One for all tasks of a Python worker: the words it remembers serve the next task too."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return WordEncoder(Tokenizer.from_file(tokenizer_file))
+
+
 def _shard_batches(
     batches: Iterator[pa.RecordBatch], tokenizer_file: str, tokens: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    encoder = WordEncoder(Tokenizer.from_file(tokenizer_file))
+    encoder = _encoder(tokenizer_file)
     part, shard = TaskContext.get().partitionId(), 0
     ids, keys, size = [], [], 0
 

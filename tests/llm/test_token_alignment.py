@@ -125,3 +125,25 @@ def test_links_in_slices(monkeypatch):
     assert all((x == y).all() for x, y in zip(whole, again))
     assert whole[2].sum() == block.a_sizes.sum()
     assert shared == {tuple(p) for i, j in token_alignment.shared_group_links(block) for p in zip(i.tolist(), j.tolist())}
+
+
+def test_unknown_words_are_encoded_many_at_once(monkeypatch):
+    encoders = token_alignment.Encoders(*FILES)
+    given, library = [], encoders.pieces._library
+    monkeypatch.setattr(encoders.pieces, "_library", lambda texts: given.extend(texts) or library(texts))
+    text = "".join(f" w{n}é" for n in range(3000)) + "  two   spaces 😀 end "
+    ids, _ = encoders.pieces.texts(token_alignment.pa.array([text], token_alignment.pa.large_string()))
+    assert ids.tolist() == encoders.pieces.model.encode(text[1:])
+    assert len(given) < 20
+
+
+def test_words_of_pieces_in_every_order():
+    encoders = token_alignment.Encoders(*FILES)
+    rng = np.random.default_rng(5)
+    marks = [*" \n\ta'é\u3000\u0085ß世x1!.<>", "  ", " the", " <unk>", "<0x41>", "</s>", "\x00", "ﬁ"]
+    for _ in range(20):
+        texts = [" " + "".join(rng.choice(marks, n)) for n in rng.integers(0, 30, 100)]
+        ids, offsets = encoders.pieces.texts(token_alignment.pa.array(texts, token_alignment.pa.large_string()))
+        for i, text in enumerate(texts):
+            expected = encoders.pieces.model.encode(text[1:]) if len(text) > 1 else [encoders.pieces.model.piece_to_id("▁")]
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == expected, repr(text)

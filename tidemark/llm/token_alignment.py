@@ -25,7 +25,6 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +39,12 @@ from tokenizers import Tokenizer
 from tidemark.functions.joins import lookup_join
 from tidemark.llm.chunks import pieces, text_bytes
 from tidemark.llm.common import stored
-from tidemark.llm.wavelet_output import WordEncoder
+from tidemark.llm.wavelet_output import WordEncoder, WordIds, in_runs, listed
 
 BLOCK_BYTES = 2 << 20  # of text in a block; a longer text is a block of its own
 SLICE_BYTES = 1 << 18  # bytes whose row products are formed at once
 MARK = "\u2581"  # a space, in the names of pieces
-HELD_WORDS = 150_000  # distinct words whose ids a worker remembers, of each tokenizer
+HELD_WORDS = 300_000  # distinct words whose ids a worker remembers, of each tokenizer
 
 
 # --- sparse matrices ----------------------------------------------------------------------------
@@ -249,24 +248,18 @@ class PieceWords:
 
     def __init__(self, model: sentencepiece.SentencePieceProcessor, entries: list[bytes]) -> None:
         self.model, self.cuts = model, not any(b" " in r.lstrip(b" ") for r in entries)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.sizes, self.flat = np.empty(0, np.int64), np.empty(0, np.int32)
-
-    def _places(self, words: list[str]) -> np.ndarray:
-        if len(self.place) > HELD_WORDS:
-            self._forget()
-        place, known = self.place, len(self.place)
-        at = [place.setdefault(w, len(place)) for w in words]
-        new = list(islice(place, known, None))
-        found = self.model.encode([w[1:] for w in new], num_threads=1)  # the model adds the space, but to no empty text
-        found = [ids if len(w) > 1 else [self.model.piece_to_id(MARK)] for w, ids in zip(new, found)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int32, sizes.sum())
-        self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, flat))
-        return np.array(at, np.int64)
+        self.bytes_of = np.array([len(r) for r in entries], np.int64)
+        self.words = WordIds(self._encoded, HELD_WORDS, np.int32)
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.model.encode([t[1:] for t in texts], num_threads=1)  # the model adds the space, but to no empty text
+        return listed([ids if len(t) > 1 else [self.model.piece_to_id(MARK)] for t, ids in zip(texts, found)])
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        data, offsets = text_bytes(words)
+        joined = np.full(len(words), self.cuts)
+        joined[1:] &= data[offsets[1:-1] - 1] != 32  # what follows a space would be cut off nowhere
+        return in_runs(words, joined, self._library, self.bytes_of)
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets between the texts) of texts that are empty or begin with the added space."""
@@ -277,16 +270,8 @@ class PieceWords:
         cut[offsets[1:]] = False
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         begins = np.flatnonzero(cut)
-        which = np.empty(0, np.int64)
-        if len(begins):
-            bounds = pa.py_buffer(np.append(begins, len(data)).astype(np.int64))
-            words = pa.Array.from_buffers(
-                pa.large_string(), len(begins), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
-            coded = words.dictionary_encode()
-            which = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        lengths = self.sizes[which]
-        ids = gathered(self.flat, (np.cumsum(self.sizes) - self.sizes)[which], lengths)
-        return ids, np.concatenate(([0], np.cumsum(lengths)))[np.searchsorted(begins, offsets)]
+        ids, ends = self.words.of(data, begins)
+        return ids, ends[np.searchsorted(begins, offsets)]
 
 
 class Encoders:
@@ -328,7 +313,7 @@ class Encoders:
 
 @cache
 def _encoders(byte_file: str, piece_file: str) -> Encoders:
-    """One for all tasks of a Python worker: the words it remembers serve the next task too."""
+    """One for all tasks of a Python worker: the words it remembers serve the next task too. Later stages drop it."""
     return Encoders(byte_file, piece_file)
 
 
@@ -389,6 +374,7 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
     blocks, sizes = encodings(docs, byte_file, piece_file), entry_sizes(byte_file, piece_file)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoders.cache_clear()
         for batch in batches:
             for row in batch.to_pylist():
                 pairs, n = _pairs(_read(row, sizes))
@@ -409,6 +395,7 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], names).schema)
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        _encoders.cache_clear()
         order = np.argsort(right.column("pair").to_numpy())
         pairs, total = (right.column(c).to_numpy()[order] for c in ("pair", "total"))
         best = right.column("best").to_numpy()[order].astype(np.int64)
@@ -419,7 +406,8 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
             of_a = np.repeat(np.arange(texts), block.n_a)
             n_links, n_best, count_sum = (np.zeros(texts, np.int64) for _ in range(3))
             for i, j, _ in overlap_links(block):
-                at = np.searchsorted(pairs, block.a[i] << 32 | block.b[j])
+                coded = pa.array(block.a[i] << 32 | block.b[j]).dictionary_encode()
+                at = np.searchsorted(pairs, coded.dictionary.to_numpy())[coded.indices.to_numpy()]
                 # Links stand in order of their text: its sums are differences of running ones.
                 bounds = np.searchsorted(of_a[i], np.arange(texts + 1))
                 n_links += np.diff(bounds)

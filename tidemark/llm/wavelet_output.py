@@ -201,10 +201,12 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class WordIds:
     """The ids of words, each distinct one encoded once as long as a memory of up to ``held`` words lasts.
 
-    ``encode`` gives (how many ids each word has, the ids one after the other) of an Arrow array of words.
+    ``encode`` gives (where each word's ids begin, how many they are, all ids) of an Arrow array of words.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], held: int, kind: type) -> None:
+    def __init__(
+        self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]], held: int, kind: type
+    ) -> None:
         self.encode, self.held, self.kind = encode, held, kind
         self._forget()
 
@@ -220,13 +222,12 @@ class WordIds:
         at = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(at < 0)
         if len(new):
-            sizes, flat = self.encode(words.take(pa.array(new)))
+            begins, sizes, flat = self.encode(words.take(pa.array(new)))
             at[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
             self.place.update(zip(names[new].tolist(), at[new].tolist()))
-            begins = len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes
             self.sizes = np.concatenate((self.sizes, sizes.astype(np.int32)))
-            self.begins = np.concatenate((self.begins, begins))
-            self.flat = np.concatenate((self.flat, flat))
+            self.begins = np.concatenate((self.begins, len(self.flat) + begins))
+            self.flat = np.concatenate((self.flat, flat.astype(self.kind)))
         return at
 
     def of(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,6 +246,50 @@ class WordIds:
         return self.flat[at], ends
 
 
+def listed(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths of the lists, the lists one after the other)."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return sizes, np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
+
+
+def in_runs(
+    words: pa.Array,
+    joined: np.ndarray,
+    library: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+    bytes_of: np.ndarray,
+    unfit: Callable[[list[str]], np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' ids in the form of ``WordIds``, from ``library``'s ids of runs of words, each one text.
+
+    A word that is ``joined`` may follow the one before in a run. A run is taken apart where a token ends with every
+    word; the words of one where that fails, or that is ``unfit``, are encoded one by one.
+    """
+    data, offsets = text_bytes(words)
+    follows = joined.copy()
+    follows[::RUN_WORDS] = False
+    first, run = np.flatnonzero(~follows), np.cumsum(~follows) - 1
+    begin, end = offsets[first], np.append(offsets[first[1:]], len(data))
+    raw = data.tobytes()
+    runs = [raw[b:e].decode() for b, e in zip(begin.tolist(), end.tolist())]
+    sizes, ids = library(runs)
+    each = bytes_of[ids]
+    upto = np.concatenate(([0], np.cumsum(np.where(each > 0, each, len(data) + 1))))  # a token of no bytes fits nowhere
+    tokens = upto[np.concatenate(([0], np.cumsum(sizes)))]
+    bad = np.diff(tokens) != end - begin
+    if unfit is not None:
+        bad |= unfit(runs) & (np.diff(np.append(first, len(words))) > 1)
+    shift = (tokens[:-1] - begin)[run]
+    at, last = (np.searchsorted(upto, o + shift) for o in (offsets[:-1], offsets[1:]))
+    bad[run[upto[np.minimum(last, len(ids))] != offsets[1:] + shift]] = True
+    alone = np.flatnonzero(bad[run])
+    if len(alone):
+        sizes, more = library(words.take(pa.array(alone)).to_pylist())
+        last[alone] = len(ids) + np.cumsum(sizes)
+        at[alone] = last[alone] - sizes
+        ids = np.concatenate((ids, more))
+    return at, last - at, ids
+
+
 def entry_bytes(tokenizer: Tokenizer) -> np.ndarray:
     """How many bytes every id of a byte-level vocabulary stands for: each character of its name is one."""
     entries = tokenizer.get_vocab()
@@ -267,31 +312,21 @@ class WordEncoder:
         self.words = WordIds(self._encoded, held, np.uint32)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return sizes, np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
+        return listed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
-    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(how many ids each word has, the ids one after the other)."""
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, offsets = text_bytes(words)
         cut = np.zeros(len(data) + 1, bool)
         cut[word_starts(data, np.array([0, len(data)]))] = True
-        joined = cut[offsets[:-1]]  # whether a word may follow the one before in one text
-        joined[::RUN_WORDS] = False
         named = self._named(words)
-        joined[named] = joined[1:][named[:-1]] = False
-        first = np.flatnonzero(~joined)
-        last = np.append(first[1:], len(words))
-        raw = data.tobytes()
-        runs = [raw[b:e].decode() for b, e in zip(offsets[first].tolist(), offsets[last].tolist())]
-        sizes, ids = self._library(runs)
-        ends = np.cumsum(self.bytes_of[ids])
-        # Runs are taken apart where a token ends with every word. Words that only together have an added token's name are not.
-        at = np.searchsorted(ends, offsets[1:])
-        fits = len(ids) > 0 and ends[-1] == len(data) and (ends[np.minimum(at, len(ids) - 1)] == offsets[1:]).all()
-        if not fits or self._named(pa.array(runs, pa.large_string()))[~named[first]].any():
-            return self._library(words.to_pylist())
-        return np.diff(at + 1, prepend=0), ids
+        joined = cut[offsets[:-1]] & ~named
+        joined[1:] &= ~named[:-1]
+
+        def together(runs: list[str]) -> np.ndarray:
+            """Words that only together have the name of an added token are no run."""
+            return self._named(pa.array(runs, pa.large_string()))
+
+        return in_runs(words, joined, self._library, self.bytes_of, together)
 
     def _named(self, texts: pa.Array) -> np.ndarray:
         """Whether each text has the name of an added token in it."""

@@ -2,11 +2,13 @@
 
 from datetime import date
 from decimal import Decimal as D
+from types import SimpleNamespace
 
 from builders import closes, day, rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import returns, var, views
+from tidemark.operators import returns, silver, var, views
+from tidemark.plans import queries
 from tidemark.sources import tables
 
 T = date(2024, 1, 31)
@@ -93,3 +95,28 @@ def test_model_views_are_seen_by_another_session(spark, tmp_path):
         assert tables.named_table(other, "view_test.vw_counterparty_risk").count() == 0
     finally:
         spark.sql("DROP DATABASE view_test CASCADE")
+
+
+def test_prices_of_the_daily_positions_are_shuffled_once(spark, monkeypatch):
+    """The stored price months are the clean prices, written where they were cleaned (advanced_positions_job)."""
+    trades = spark.createDataFrame(
+        [(f"t{n}", day(n), day(n + 2), f"i{n % 3}", "c", "buy", D(n), D("2.5"), "usd", "x", "b", "open") for n in range(1, 9)],
+        "trade_id string, trade_date date, settlement_date date, instrument_id string, counterparty_id string, "
+        "trade_type string, quantity decimal(18,4), price decimal(18,4), currency string, trader_id string, book_id string, status string")
+    quotes = [(f"p{n}", day(n // 2), f"i{n % 3}", D(n + 3), D(n + 1), D(n + 2) * (-1 if n == 7 else 1)) for n in range(80)]
+    prices = spark.createDataFrame(
+        quotes + quotes[:9],
+        "price_id string, price_date date, instrument_id string, high_price decimal(18,4), low_price decimal(18,4), close_price decimal(18,4)")
+    inputs = SimpleNamespace(spark=spark, raw_trades=lambda: trades, raw_prices=lambda: prices, last_day=day(39))
+    written, write = [], tables.replace_partitioned
+
+    def seen(df, path, *more, **named):
+        write(df, path, *more, **named)
+        written.append((df, path, named.get("together", False)))
+
+    monkeypatch.setattr(tables, "replace_partitioned", seen)
+    queries._advanced_positions(inputs)
+    df, path, together = written[1]
+    assert together and plan_of(df).count("Exchange") == 1
+    stored = tables.read_table(spark, path).select(prices.columns)
+    assert rows(stored) == rows(silver.silver_prices(prices))

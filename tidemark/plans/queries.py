@@ -623,9 +623,12 @@ def stored_instrument_var(t: Tables) -> DataFrame:
 def _advanced_positions(t: Tables) -> tuple[str, list[date]]:
     """The position table after four daily runs: the first from all trades, the others from the day before."""
     trades, prices, state, held = (scratch_folder(t.spark, p) for p in ("trades", "prices", "position-state", "positions"))
-    for df, day, path in ((_silver_trades(t), "trade_date", trades), (_silver_prices(t), "price_date", prices)):
-        dated = df.withColumns({"year": F.year(day), "month": F.month(day)})
-        tables.replace_partitioned(dated, path, ["year", "month"])
+    dated = _silver_trades(t).withColumns({"year": F.year("trade_date"), "month": F.month("trade_date")})
+    tables.replace_partitioned(dated, trades, ["year", "month"])
+    # Prices are cleaned where their months are brought together for the write: one shuffle and one sort of them.
+    by_month = silver.silver_prices_by_month(t.raw_prices())
+    dated = by_month.withColumns({"year": F.year("price_date"), "month": F.month("price_date")})
+    tables.replace_partitioned(dated, prices, ["year", "month"], together=True)
     days = [t.last_day - timedelta(days=n) for n in (3, 2, 1, 0)]
     for day in days:
         daily.advance_positions(t.spark, trades, prices, state, held, day)

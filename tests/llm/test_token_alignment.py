@@ -1,6 +1,7 @@
 """Token alignment against the libraries and a plain computation, and its matrices against dense ones."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -147,3 +148,31 @@ def test_words_of_pieces_in_every_order():
         for i, text in enumerate(texts):
             expected = encoders.pieces.model.encode(text[1:]) if len(text) > 1 else [encoders.pieces.model.piece_to_id("▁")]
             assert ids[offsets[i] : offsets[i + 1]].tolist() == expected, repr(text)
+
+
+def test_libraries_get_few_texts_at_once_and_words_are_held_small():
+    encoders = token_alignment.Encoders(*FILES)
+    model, given = encoders.pieces.model, []
+
+    class Watched:
+        def encode(self, texts, **how):
+            given.append(len(texts))
+            return model.encode(texts, **how)
+
+        def __getattr__(self, name):
+            return getattr(model, name)
+
+    encoders.pieces.model = Watched()
+    text = "".join(f" w{n}x" for n in range(40_000))
+    column = token_alignment.pa.array([text], token_alignment.pa.large_string())
+    tracemalloc.start()
+    try:
+        found = [side.texts(column)[0] for side in (encoders.words, encoders.pieces)]
+        size, held = len(text), sum(len(side.words.sizes) for side in (encoders.words, encoders.pieces))
+        own = [x.nbytes for x in found]
+        del found
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held >= 80_000 and max(given) <= 8 and sum(own) > size
+    assert kept < 60 * held  # a dict of strings takes over 100 bytes a word

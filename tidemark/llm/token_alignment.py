@@ -39,7 +39,7 @@ from tokenizers import Tokenizer
 from tidemark.functions.joins import lookup_join
 from tidemark.llm.chunks import pieces, text_bytes
 from tidemark.llm.common import stored
-from tidemark.llm.wavelet_output import WordEncoder, WordIds, in_runs, listed
+from tidemark.llm.wavelet_output import WordEncoder, WordIds, in_runs, listed_by
 
 BLOCK_BYTES = 2 << 20  # of text in a block; a longer text is a block of its own
 SLICE_BYTES = 1 << 18  # bytes whose row products are formed at once
@@ -252,8 +252,11 @@ class PieceWords:
         self.words = WordIds(self._encoded, HELD_WORDS, np.int32)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.model.encode([t[1:] for t in texts], num_threads=1)  # the model adds the space, but to no empty text
-        return listed([ids if len(t) > 1 else [self.model.piece_to_id(MARK)] for t, ids in zip(texts, found)])
+        def encoded(some: list[str]) -> list[list[int]]:
+            found = self.model.encode([t[1:] for t in some], num_threads=1)  # the model adds the space, but to no empty text
+            return [ids if len(t) > 1 else [self.model.piece_to_id(MARK)] for t, ids in zip(some, found)]
+
+        return listed_by(encoded, texts)
 
     def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, offsets = text_bytes(words)
@@ -317,6 +320,11 @@ def _encoders(byte_file: str, piece_file: str) -> Encoders:
     return Encoders(byte_file, piece_file)
 
 
+def _forget_encoders() -> None:
+    _encoders.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 # --- on DataFrames ------------------------------------------------------------------------------
 
 
@@ -340,7 +348,8 @@ def encodings(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
                    _packed(block.b, "<u4" if block.b.max(initial=0) >> 16 else "<u2")]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
             number += 1
-        pa.default_memory_pool().release_unused()
+            del block, row
+            pa.default_memory_pool().release_unused()
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, names), "alignment-blocks")
 
@@ -374,7 +383,7 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
     blocks, sizes = encodings(docs, byte_file, piece_file), entry_sizes(byte_file, piece_file)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _encoders.cache_clear()
+        _forget_encoders()
         for batch in batches:
             for row in batch.to_pylist():
                 pairs, n = _pairs(_read(row, sizes))
@@ -395,7 +404,7 @@ def aligned_documents(docs: DataFrame, byte_file: str, piece_file: str) -> DataF
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], names).schema)
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        _encoders.cache_clear()
+        _forget_encoders()
         order = np.argsort(right.column("pair").to_numpy())
         pairs, total = (right.column(c).to_numpy()[order] for c in ("pair", "total"))
         best = right.column("best").to_numpy()[order].astype(np.int64)

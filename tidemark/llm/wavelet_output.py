@@ -21,7 +21,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,7 @@ BLOCK_BITS = 512
 ENCODE_BYTES = 4 << 20  # of text encoded at once
 HELD_WORDS = 1_000_000  # distinct words whose ids a worker remembers
 RUN_WORDS = 1000  # unknown words encoded as one text
+RUNS = 8  # texts given to a library at once: it makes many times their size
 MAGIC = b"TMWM1"
 
 LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
@@ -211,20 +212,23 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.sizes, self.begins, self.flat = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, self.kind)
 
     def places(self, words: pa.Array) -> np.ndarray:
-        """Where distinct words stand in ``sizes`` and ``begins``; unknown ones are encoded."""
-        if len(self.place) > self.held:
+        """Where distinct words stand in ``sizes`` and ``begins``; unknown ones are encoded.
+
+        The known words are one Arrow array, hashed anew for every call: a dict of strings takes ten times its memory.
+        """
+        if len(self.known) > self.held:
             self._forget()
-        names = words.to_numpy(zero_copy_only=False)
-        at = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
+        at = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
         new = np.flatnonzero(at < 0)
         if len(new):
-            begins, sizes, flat = self.encode(words.take(pa.array(new)))
+            unknown = words.take(pa.array(new))
+            begins, sizes, flat = self.encode(unknown)
             at[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
-            self.place.update(zip(names[new].tolist(), at[new].tolist()))
+            self.known = pa.concat_arrays([self.known, unknown])
             self.sizes = np.concatenate((self.sizes, sizes.astype(np.int32)))
             self.begins = np.concatenate((self.begins, len(self.flat) + begins))
             self.flat = np.concatenate((self.flat, flat.astype(self.kind)))
@@ -252,6 +256,12 @@ def listed(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return sizes, np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
 
 
+def listed_by(encode: Callable[[list[str]], list[list[int]]], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``listed`` of a library's ids of the texts, which gets a few of them at a time."""
+    found = [listed(encode(texts[i : i + RUNS])) for i in range(0, max(1, len(texts)), RUNS)]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def in_runs(
     words: pa.Array,
     joined: np.ndarray,
@@ -312,7 +322,7 @@ class WordEncoder:
         self.words = WordIds(self._encoded, held, np.uint32)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return listed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        return listed_by(lambda some: [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)], texts)
 
     def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, offsets = text_bytes(words)

@@ -113,6 +113,67 @@ def test_repeated_snapshots_are_not_shuffled(spark, frequency):
         assert "Exchange" not in plan.split("Generate explode")[0] and plan.count("Generate explode") == 1
 
 
+def odd_history(spark):
+    """Closes before, between and after the trades, with gaps, none at all, and without an instrument; no book, two a day."""
+    start = date(2023, 11, 29)
+    bought = [("A", 3, "b1"), ("A", 9, "b1"), ("A", 40, "b2"), ("A", 40, "b1"), ("B", 0, "b1"), ("B", 61, None), ("C", 5, "b3"), (None, 7, "b1"), ("D", 50, None)]
+    quotes = [("A", 0, 5), ("A", 3, 6), ("A", 37, None), ("A", 38, 7), ("B", 30, 8), ("B", 33, 8), ("B", 90, 9), (None, 2, 4), ("D", 1, 3), ("D", 400, 2)]
+    held = trades(spark, *[
+        {"trade_date": start + timedelta(d), "instrument_id": i, "book_id": b, "quantity": D(d + 1), "price": D(2)} for i, d, b in bought])
+    quoted = prices(spark, *[
+        {"price_date": start + timedelta(d), "instrument_id": i, "close_price": None if c is None else D(c)} for i, d, c in quotes])
+    return held, quoted, date(2024, 3, 5)
+
+
+def test_stretches_stand_for_the_daily_snapshots(spark):
+    daily = positions.position_snapshots(*odd_history(spark), "day")
+    stretches = positions.position_snapshots(*odd_history(spark), "day", stretches=True)
+    assert rows(positions.every_day(stretches)) == rows(daily)
+    told = rows(stretches, "as_of_date", "until", "market_value")
+    assert len(told) < daily.count() / 10
+    assert all(a <= b and (value is None or (a.year, a.month) == (b.year, b.month)) for a, b, value in told)
+    with pytest.raises(ValueError):
+        positions.position_snapshots(*odd_history(spark), "week", stretches=True)
+
+
+def test_pnl_of_stretches(spark):
+    """The first day of a stretch has its daily P&L; the sums to date hold on all its days."""
+    daily = pnl.position_pnl(positions.position_snapshots(*odd_history(spark), "day"))
+    stretches = pnl.position_pnl(positions.position_snapshots(*odd_history(spark), "day", stretches=True))
+    begins = stretches.select("position_id", F.col("as_of_date").alias("begin"), "until", *[F.col(c).alias(f"s_{c}") for c in ("daily_pnl", "mtd_pnl", "ytd_pnl")])
+    both = daily.join(begins, "position_id").filter("as_of_date between begin and until")
+    assert both.count() == daily.count()
+    wrong = "not (s_mtd_pnl <=> mtd_pnl and s_ytd_pnl <=> ytd_pnl and daily_pnl <=> if(as_of_date = begin, s_daily_pnl, s_daily_pnl * 0))"
+    assert both.filter(wrong).count() == 0
+
+
+def test_book_pnl_of_stretches_is_that_of_the_days(spark):
+    """The positions are not repeated for every day, and books are added up with the same figures, missing ones too."""
+    by_day = pnl.book_pnl(pnl.position_pnl(positions.position_snapshots(*odd_history(spark), "day")))
+    by_stretch = pnl.book_pnl(pnl.position_pnl(positions.position_snapshots(*odd_history(spark), "day", stretches=True)))
+    assert by_stretch.schema["mtd_pnl"].dataType == by_day.schema["mtd_pnl"].dataType
+    wanted = rows(by_day, "book_id", "currency", "as_of_date", "daily_pnl", "mtd_pnl", "ytd_pnl")
+    assert any(r[3] is None for r in wanted)
+    assert rows(by_stretch, "book_id", "currency", "as_of_date", "daily_pnl", "mtd_pnl", "ytd_pnl") == wanted
+
+
+def test_pnl_of_many_gaps(spark):
+    """Every figure against plain sums of the daily changes, with missing values at ends of months and years."""
+    start = date(2023, 11, 25)
+    known = {0: 5, 3: 7, 5: None, 6: None, 7: 4, 20: None, 36: 9, 37: None, 40: None, 66: None, 68: 1, 69: 1, 99: None}
+    found = rows(pnl.position_pnl(snapshots(spark, *[(start + timedelta(d), v) for d, v in known.items()])), "as_of_date", "daily_pnl", "mtd_pnl", "ytd_pnl")
+    last, changes, expected = D(0), [], []
+    for d, v in sorted(known.items()):
+        when = start + timedelta(d)
+        if v is not None:
+            changes.append((when, D(v) - last))
+            last = D(v)
+        of = lambda parts: [c for w, c in changes if parts(w) == parts(when)]
+        sums = [sum(x) if x else None for x in (of(lambda w: (w.year, w.month)), of(lambda w: w.year))]
+        expected.append((when, None if v is None else changes[-1][1], *sums))
+    assert found == expected
+
+
 def snapshots(spark, *values):
     """One position with the given (date, unrealised P&L)."""
     return spark.createDataFrame(

@@ -20,23 +20,43 @@ def position_pnl(snapshots: DataFrame) -> DataFrame:
     before the first), so the daily figures of a position add up to its latest unrealised
     P&L. A snapshot without a value has no daily P&L and leaves the running sums as they were.
     """
-    # Date order spelled as year, month, day: the three windows then share one sort. The parts of a position's
-    # key go with its id: snapshots that lie together by a part of it, as those of ``position_snapshots`` do, stay there.
-    dated = snapshots.withColumns({"_year": F.year("as_of_date"), "_month": F.month("as_of_date")})
+    # A running sum of daily P&L is the last known value less the one known before the sum began, which its first row
+    # has at hand. The parts of a position's key go with its id: snapshots that lie together by a part of it, as those
+    # of ``position_snapshots`` do, stay there.
     key = [*(c for c in POSITION_KEY if c in snapshots.columns), "position_id"]
-    position = Window.partitionBy(*key).orderBy("_year", "_month", "as_of_date")
-    year = Window.partitionBy(*key, "_year").orderBy("_month", "as_of_date")
-    month = Window.partitionBy(*key, "_year", "_month").orderBy("as_of_date")
-
-    def to_date(window: WindowSpec) -> Column:
-        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.sum("daily_pnl").over(running).cast(MONEY)
-
+    position = Window.partitionBy(*key).orderBy("as_of_date")
     earlier = position.rowsBetween(Window.unboundedPreceding, -1)
-    previous = F.coalesce(F.last("unrealized_pnl", ignorenulls=True).over(earlier), F.lit(0).cast(MONEY))
-    daily = dated.withColumn("daily_pnl", (F.col("unrealized_pnl") - previous).cast(MONEY))
-    return daily.select(
-        *snapshots.columns, "daily_pnl", to_date(month).alias("mtd_pnl"), to_date(year).alias("ytd_pnl")
+    to_date = position.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value, year, month = F.col("unrealized_pnl"), F.year("as_of_date"), F.month("as_of_date")
+
+    def began(unit: str) -> Column:
+        return F.coalesce(F.col(f"_{unit}") != F.col(f"_{unit}_before"), F.lit(True))
+
+    numbered = snapshots.withColumns(
+        {"_year": F.coalesce(year, F.lit(-1)), "_month": F.coalesce(12 * year + month, F.lit(-1))})
+    seen = numbered.withColumns(
+        {
+            "_previous": F.coalesce(F.last(value, ignorenulls=True).over(earlier), F.lit(0).cast(MONEY)),
+            "_year_before": F.last("_year").over(earlier),
+            "_month_before": F.last("_month").over(earlier),
+        }
+    )
+    based = seen.withColumns(
+        {
+            **{f"_{u}_base": F.last(F.when(began(u), F.col("_previous")), ignorenulls=True).over(to_date) for u in ("month", "year")},
+            **{f"_{u}_known": F.last(F.when(value.isNotNull(), F.col(f"_{u}")), ignorenulls=True).over(to_date) for u in ("month", "year")},
+        }
+    )
+
+    def since(unit: str) -> Column:
+        gained = F.coalesce(value, "_previous") - F.col(f"_{unit}_base")
+        return F.when(F.col(f"_{unit}_known") == F.col(f"_{unit}"), gained).cast(MONEY)
+
+    return based.select(
+        *snapshots.columns,
+        (value - F.col("_previous")).cast(MONEY).alias("daily_pnl"),
+        since("month").alias("mtd_pnl"),
+        since("year").alias("ytd_pnl"),
     )
 
 
@@ -169,8 +189,46 @@ def pnl_rows(advanced: DataFrame) -> DataFrame:
     return held.select("held.*", "daily_pnl", "mtd_pnl", "ytd_pnl")
 
 
+_PNL = ("daily_pnl", "mtd_pnl", "ytd_pnl")
+
+
 def book_pnl(pnl: DataFrame) -> DataFrame:
-    """P&L of whole books per snapshot date."""
-    return pnl.groupBy("book_id", "currency", "as_of_date").agg(
-        *[F.sum(c).alias(c) for c in ("daily_pnl", "mtd_pnl", "ytd_pnl")]
+    """P&L of whole books per snapshot date.
+
+    Stretches of days (a column ``until``) are taken as whole histories, as ``position_snapshots`` makes them: without
+    gaps up to a last day, and with a value from a first one on. A book's daily P&L then is zero but where a
+    stretch begins, and its sums to date are those of its daily P&L, as the sum of running sums is the running
+    sum of sums. So the positions are added up once per stretch, and only the books are repeated for every day.
+    """
+    if "until" in pnl.columns:
+        return _book_pnl_of_stretches(pnl)
+    return pnl.groupBy("book_id", "currency", "as_of_date").agg(*[F.sum(c).alias(c) for c in _PNL])
+
+
+def _book_pnl_of_stretches(pnl: DataFrame) -> DataFrame:
+    book = ("book_id", "currency")
+    begun = pnl.groupBy(*book, "as_of_date").agg(
+        F.sum("daily_pnl").alias("gained"), F.count("daily_pnl").alias("valued"), F.max("until").alias("until"))
+    by_day = Window.partitionBy(*book).orderBy("as_of_date")
+    following = F.lead("as_of_date").over(by_day)
+    last = F.max("until").over(Window.partitionBy(*book))
+    changes = begun.withColumn("until", F.coalesce(F.date_sub(following, 1), last))
+    every_day = changes.withColumn("day", F.explode(F.sequence("as_of_date", "until"))).select(
+        *book,
+        F.col("day").alias("as_of_date"),
+        *[F.when(F.col("day") == F.col("as_of_date"), F.col(c)).alias(c) for c in ("gained", "valued")],
+        F.year("day").alias("year"),
+        F.month("day").alias("month"),
     )
+    year = Window.partitionBy(*book, "year").orderBy("month", "as_of_date")
+    month = Window.partitionBy(*book, "year", "month").orderBy("as_of_date")
+    by_date = Window.partitionBy(*book).orderBy("year", "month", "as_of_date")
+
+    def to_date(column: str, window: WindowSpec) -> Column:
+        return F.coalesce(
+            F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0).cast(MONEY))
+
+    sums = {"daily_pnl": F.coalesce("gained", F.lit(0).cast(MONEY)), "mtd_pnl": to_date("gained", month), "ytd_pnl": to_date("gained", year)}
+    known = every_day.withColumns({**sums, "valued": to_date("valued", by_date)})
+    return known.select(
+        *book, "as_of_date", *[F.when(F.col("valued") > 0, F.col(c)).cast("decimal(38,2)").alias(c) for c in _PNL])

@@ -32,7 +32,7 @@ def position_id() -> Column:
     return F.concat_ws("|", *[F.coalesce(k, F.lit("\\N")) for k in escaped])
 
 
-def _valued(positions: DataFrame) -> DataFrame:
+def _valued(positions: DataFrame, *extra: str) -> DataFrame:
     quantity = F.col("quantity").cast("decimal(28,4)")
     close = F.col("close_price").cast("decimal(18,4)")
     # The product of two decimal(18,4) is exact; a larger quantity's is good to six digits.
@@ -49,6 +49,7 @@ def _valued(positions: DataFrame) -> DataFrame:
         value.cast(MONEY).alias("market_value"),
         (value - cost).cast(MONEY).alias("unrealized_pnl"),
         "currency",
+        *extra,
     )
 
 
@@ -71,7 +72,7 @@ def snapshot_at(trades: DataFrame, prices: DataFrame, as_of: date | Column) -> D
 
 # How much finer the shuffle is cut than the session's: rows are repeated for every period after it, and
 # what sorts them then should find a task's share in memory. Months repeat little.
-_FINER = {"day": 8, "week": 2}
+_FINER = {"day": 8, "week": 2, "stretch": 2}
 
 
 def _by_instrument(df: DataFrame, frequency: str) -> DataFrame:
@@ -110,8 +111,63 @@ def _close_series(closes: DataFrame, frequency: str) -> DataFrame:
     )
 
 
+def _close_stretches(closes: DataFrame, last: Column) -> DataFrame:
+    """(instrument_id, first_day, stretches, place): the days up to ``last`` on which an instrument's close stays.
+
+    ``closes`` as in ``_close_series``, by day. A stretch (``since``, ``upto``, ``close_price``) lies within a month; the
+    first is the time before the first close. ``place`` has, for every day from the first close, its stretch.
+    """
+    known = F.sort_array(F.collect_list(F.struct("period", "close_price")))
+
+    def by_month(entry: Column, i: Column) -> Column:
+        upto = F.coalesce(F.date_sub(F.get(F.col("known"), i + 1)["period"], 1), last)
+        months = F.sequence(F.trunc(entry["period"], "month").cast("date"), upto, F.expr("interval 1 month"))
+        return F.transform(months, lambda month: F.struct(
+            F.greatest(month, entry["period"]).alias("since"),
+            F.least(F.last_day(month), upto).alias("upto"),
+            entry["close_price"].alias("close_price"),
+        ))
+
+    first = F.col("known")[0]["period"]
+    unknown = F.struct(
+        F.lit(None).cast("date").alias("since"), F.date_sub(first, 1).alias("upto"),
+        F.lit(None).cast(closes.schema["close_price"].dataType).alias("close_price"))
+    series = closes.groupBy("instrument_id").agg(known.alias("known")).select(
+        "instrument_id", first.alias("first_day"), unknown.alias("unknown"),
+        F.flatten(F.transform("known", by_month)).alias("held"),
+    )
+    days = F.transform("held", lambda s, i: F.array_repeat(i + 2, F.datediff(s["upto"], s["since"]) + 1))
+    return series.select(
+        "instrument_id", "first_day", F.concat(F.array("unknown"), "held").alias("stretches"), F.flatten(days).alias("place"))
+
+
+def _stretches(held: DataFrame, closes: DataFrame, last: Column) -> DataFrame:
+    """The positions of ``held``, from ``period`` to ``until``, cut where their close changes or a month ends."""
+    def place(day: str) -> Column:
+        since = F.datediff(day, "first_day")
+        return F.when(since < 0, 1).otherwise(F.get("place", since))
+
+    unpriced = F.array(F.struct(
+        F.lit(None).cast("date").alias("since"), F.lit(None).cast("date").alias("upto"),
+        F.lit(None).cast(closes.schema["close_price"].dataType).alias("close_price")))
+    touched = F.slice("stretches", place("period"), place("until") - place("period") + 1)
+    every = held.join(_close_stretches(closes, last), "instrument_id", "left").withColumn(
+        "stretch", F.explode(F.coalesce(touched, unpriced)))
+    return every.withColumns(
+        {
+            "close_price": F.col("stretch")["close_price"],
+            "as_of_date": F.greatest("period", F.col("stretch")["since"]),
+            "until": F.least("until", F.col("stretch")["upto"]),
+        }
+    )
+
+
 def position_snapshots(
-    trades: DataFrame, prices: DataFrame, as_of: date | Column | None = None, frequency: str = "month"
+    trades: DataFrame,
+    prices: DataFrame,
+    as_of: date | Column | None = None,
+    frequency: str = "month",
+    stretches: bool = False,
 ) -> DataFrame:
     """Positions at the end of every day, week or month from their first trade to ``as_of``.
 
@@ -123,7 +179,14 @@ def position_snapshots(
     row, its series; a position's changes meet it where they lie, are repeated for every period
     until the next change, and look the period's close up. The result stays partitioned by instrument, so
     what groups it by position shuffles nothing.
+
+    With ``stretches`` the daily snapshots that equal the one before them are told, not repeated: a row stands for
+    the days from ``as_of_date`` to ``until``. Rows that have a value lie within a month, so that the P&L of
+    the month and the year stays on their days as well. ``every_day`` repeats them.
     """
+    if stretches and frequency != "day":
+        raise ValueError("stretches are of days")
+    cut = "stretch" if stretches else frequency
     if as_of is None:
         as_of = F.greatest(
             trades.agg(F.max("trade_date")).scalar(), prices.agg(F.max("price_date")).scalar()
@@ -137,7 +200,7 @@ def position_snapshots(
     )
     by_period = Window.partitionBy(*POSITION_KEY).orderBy("period")
     to_date = by_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    held = _by_instrument(deltas, frequency).select(
+    held = _by_instrument(deltas, cut).select(
         *POSITION_KEY,
         position_id().alias("position_id"),
         "period",
@@ -152,7 +215,10 @@ def position_snapshots(
         .groupBy("instrument_id", period_start(F.col("price_date"), frequency).alias("period"))
         .agg(F.max_by("close_price", "price_date").alias("close_price"))
     )
-    series = _close_series(_by_instrument(last_closes, frequency), frequency)
+    last_closes = _by_instrument(last_closes, cut)
+    if stretches:
+        return _valued(_stretches(held, last_closes, last), "until")
+    series = _close_series(last_closes, frequency)
 
     step = F.expr(f"interval 1 {frequency}")
     every = held.join(series, "instrument_id", "left").withColumn(
@@ -164,6 +230,12 @@ def position_snapshots(
         every.withColumn("close_price", close).withColumn("as_of_date", period_end(F.col("period"), frequency)))
 
 
+def every_day(stretches: DataFrame) -> DataFrame:
+    """The daily snapshots that rows of ``position_snapshots`` with ``stretches`` stand for."""
+    days = F.explode(F.sequence("as_of_date", "until"))
+    return stretches.withColumn("as_of_date", days).drop("until")
+
+
 # --- positions as a fold over stored state ------------------------------------------------------
 
 

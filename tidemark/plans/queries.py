@@ -60,8 +60,8 @@ def _current_positions(t: Tables) -> DataFrame:
     return positions.snapshot_at(_silver_trades(t), _silver_prices(t), t.last_day)
 
 
-def _snapshots(t: Tables, frequency: str = "month") -> DataFrame:
-    return positions.position_snapshots(_silver_trades(t), _silver_prices(t), t.last_day, frequency)
+def _snapshots(t: Tables, frequency: str = "month", stretches: bool = False) -> DataFrame:
+    return positions.position_snapshots(_silver_trades(t), _silver_prices(t), t.last_day, frequency, stretches)
 
 
 def _recent_returns(t: Tables) -> DataFrame:
@@ -274,7 +274,7 @@ def latest_pnl(t: Tables) -> DataFrame:
 
 @query
 def book_pnl_daily(t: Tables) -> DataFrame:
-    every_day = pnl.position_pnl(_snapshots(t, "day"))
+    every_day = pnl.position_pnl(_snapshots(t, "day", stretches=True))
     return _rounded(pnl.book_pnl(every_day), 2, "daily_pnl", "mtd_pnl", "ytd_pnl")
 
 

@@ -206,3 +206,13 @@ def test_book_summary_is_sorted_with_unknown_last(spark):
         ("y", 3, pytest.approx(-4.5), pytest.approx(-9.0), Decimal(30)),
         ("z", 1, None, None, Decimal(5)),
     ]
+
+
+def test_a_join_with_the_var_leaves_the_returns_as_they_are(spark):
+    """A filter on the joined instruments would make the returns another plan than that of their newest date: both would run."""
+    recent = returns.lookback_returns(prices(spark, {}, {"price_date": day(1)}))
+    held = spark.createDataFrame([("A", Decimal(5))], "instrument_id string, market_value decimal(18,2)")
+    for bucketed in (False, True):
+        joined = var.attach_var(held, var.instrument_var(recent), bucketed=bucketed)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" in plan and "isnotnull(instrument_id" not in plan.partition("Aggregate")[2]

@@ -1,10 +1,12 @@
 from datetime import date
 from decimal import Decimal as D
+from types import SimpleNamespace
 
 import pytest
-from builders import rows
+from builders import prices, rows, trades
 
 from tidemark.operators import views
+from tidemark.plans import queries
 
 T = date(2024, 1, 31)
 U = date(2024, 2, 29)
@@ -69,3 +71,32 @@ def test_many_books_do_not_multiply_rows_in_the_join(spark, build):
     row = build(held, known, risk).first()
     times = 2000 if build is views.portfolio_summary else 1
     assert row["total_market_value"] == row["total_daily_pnl"] == 2000 * times and row["avg_var_95"] == 2.0
+
+
+def test_portfolio_history_works_where_the_snapshots_lie(spark):
+    """Positions get their VaR, are summed and their instruments counted without being sent anywhere again."""
+    dates = {"trade_date": T, "settlement_date": U}
+    bought = trades(spark, dates, {**dates, "trade_id": "t2", "instrument_id": "B", "book_id": "b2"})
+    quoted = prices(spark, {"price_date": T}, {"price_date": U, "instrument_id": "B"})
+    known = spark.createDataFrame([("A", "EQ", "tech")], "instrument_id string, asset_class string, sector string")
+    given = SimpleNamespace(
+        raw_trades=lambda: bought, raw_prices=lambda: quoted, daily_prices=lambda: quoted, instruments=lambda: known,
+        last_day=date(2024, 5, 1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = queries.portfolio_history(given)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Generate explode" in plan and plan.split("Generate explode")[0].count("Exchange hash") == 1
+        assert df.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_instruments_listed_twice_are_counted_once(spark):
+    held, _, risk = model(spark)
+    known = spark.createDataFrame(
+        [("A", "EQ", "tech"), ("A", "EQ", "tech"), ("A", "FX", "g10"), ("B", "EQ", "tech"), (None, "EQ", "tech")],
+        "instrument_id string, asset_class string, sector string")
+    found = rows(views.portfolio_summary_once(held, known, risk), *SUMMARY[:5])
+    assert [r for r in found if r[0] == T] == [
+        (T, "EQ", "tech", 2, D(650)), (T, "FX", "g10", 1, D(300)), (T, None, None, 1, D(6))]

@@ -34,7 +34,11 @@ def instrument_var(
         (F.row_number().over(by_return) - 1).alias("position"),
         F.count("daily_return").over(whole).alias("n"),
     )
-    return ranked.groupBy("instrument_id").agg(*_level_columns(levels, min_returns), F.count(F.lit(1)).alias("returns"))
+    # The id comes as an aggregate: a join with the result then adds no filter on it to the returns, and returns whose
+    # newest date is a scalar of their own plan are the same plan in both places, which is run once.
+    told = ranked.groupBy(F.col("instrument_id").alias("_key")).agg(
+        F.max("instrument_id").alias("instrument_id"), *_level_columns(levels, min_returns), F.count(F.lit(1)).alias("returns"))
+    return told.drop("_key")
 
 
 def _level_columns(levels: Sequence[float], min_returns: int) -> list[Column]:
@@ -107,9 +111,9 @@ def attach_var(
 ) -> DataFrame:
     """Position VaR and CVaR: market value times the size of the instrument's return.
 
-    A position without VaR stays, with NULL. A short position yields a negative figure. ``bucketed`` is
-    for two tables stored in the same buckets by instrument: they are joined where they lie, and an
-    instrument's rows stay in one task.
+    A position without VaR stays, with NULL. A short position yields a negative figure. ``bucketed`` is for
+    positions that lie together by instrument, those of ``position_snapshots`` or two tables stored in the
+    same buckets: they are joined where they lie, and an instrument's rows stay in one task.
     """
     value = F.col("market_value").cast("double")
     tags = [f"{kind}_{level_tag(level)}" for level in levels for kind in ("var", "cvar")]

@@ -328,7 +328,7 @@ def portfolio_summary_of_facts(t: Tables) -> DataFrame:
 @query
 def portfolio_history(t: Tables) -> DataFrame:
     """The view over all month ends, with P&L and today's VaR returns applied to each."""
-    level = var.attach_var(pnl.position_pnl(_snapshots(t)), var.instrument_var(_recent_returns(t)))
+    level = var.attach_var(pnl.position_pnl(_snapshots(t)), var.instrument_var(_recent_returns(t)), bucketed=True)
     return _rounded(views.portfolio_summary_of(level, t.instruments()), 2, *_SUMMARY_MONEY)
 
 

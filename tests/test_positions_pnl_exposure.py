@@ -174,6 +174,14 @@ def test_pnl_of_many_gaps(spark):
     assert found == expected
 
 
+@pytest.mark.parametrize("frequency", ["day", "week", "month"])
+def test_partitions_are_not_joined_before_rows_are_repeated(spark, frequency):
+    """Their size before that says nothing about the rows a task then sorts."""
+    series = positions.position_snapshots(*history(spark), as_of=date(2024, 4, 10), frequency=frequency)
+    plan = series._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "REPARTITION_BY_COL" not in plan
+
+
 def snapshots(spark, *values):
     """One position with the given (date, unrealised P&L)."""
     return spark.createDataFrame(

@@ -70,15 +70,13 @@ def snapshot_at(trades: DataFrame, prices: DataFrame, as_of: date | Column) -> D
     return _valued(lookup_join(held, closes, "instrument_id").withColumn("as_of_date", day))
 
 
-# How much finer the shuffle is cut than the session's: rows are repeated for every period after it, and
-# what sorts them then should find a task's share in memory. Months repeat little.
-_FINER = {"day": 8, "week": 2, "stretch": 2}
+# How much finer the shuffle is cut than the session's: rows are repeated for every period after it, and what sorts them
+# then should find a task's share in memory. Adaptive execution would join partitions by their size before that.
+_FINER = {"day": 8, "week": 2, "month": 1, "stretch": 2}
 
 
 def _by_instrument(df: DataFrame, frequency: str) -> DataFrame:
     """All rows of an instrument in one partition, equally many partitions for every frame."""
-    if frequency not in _FINER:
-        return df.repartition("instrument_id")
     shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(_FINER[frequency] * shuffled, "instrument_id")
 
